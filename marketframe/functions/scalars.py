@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marketframe import constants as C
 
-_GUARD_DIGITS = 6
+_GUARD_DIGITS = 4
 
 
 def as_column(value: Column | str) -> Column:

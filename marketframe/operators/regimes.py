@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from marketframe import constants as C
 from marketframe.functions import month_end, simple_return, stable_round, stance_label, signed_percent
 from marketframe.operators.panel import monthly_returns
-from marketframe.operators.risk import regime_spine, trailing_sharpe_asof
+from marketframe.operators.risk import trailing_sharpe_asof
+from marketframe.session import cut_lineage
 
 UNKNOWN = "unknown"
 
@@ -120,11 +121,12 @@ def monthly_panel(
     """One row per month: regime labels, Sharpe per listed symbol, group averages and their difference.
 
     ``groups`` lists the symbols of the two groups. With ``wide=False`` the per-symbol columns are left
-    out, which suits long symbol lists.
+    out, which suits long symbol lists. The regime rows, one per calendar month, are materialised first
+    because several parts of the plan read them.
     """
     symbols = [*groups[left], *groups[right]]
     returns = monthly_returns(prices.where(F.col("symbol").isin(*symbols)))
-    monthly = first_per_month(regimes)
+    monthly = cut_lineage(first_per_month(regimes))
     sharpe = trailing_sharpe_asof(returns, monthly, null_rf=null_rf)
 
     def mean_of(members: Sequence[str]) -> Column:
@@ -137,7 +139,7 @@ def monthly_panel(
         mean_of(groups[right]).alias("avg_integrator_sharpe"),
     )
     premium = F.col("avg_builder_sharpe") - F.col("avg_integrator_sharpe")
-    return regime_spine(returns, monthly).join(averages, "month").withColumn("builder_premium", premium)
+    return monthly.join(averages, "month").withColumn("builder_premium", premium)
 
 
 def premium_by_regime(panel: DataFrame) -> DataFrame:

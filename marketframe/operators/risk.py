@@ -167,12 +167,13 @@ def trailing_sharpe_asof(
     A symbol's window moments stay valid until its next return, so each return row is spread over the
     months it covers and matched to the spine by equality. Before its first return a symbol has a row
     with a NULL Sharpe. Output: ``(symbol, month, sharpe)`` for every symbol and spine month.
+    ``regimes`` has one row per month and is read several times: pass it stored or materialised.
     """
     if null_rf not in ("zero", "null"):
         raise ValueError("null_rf must be 'zero' or 'null'")
     spine = regime_spine(returns, regimes)
-    last_month = spine.agg(F.max("month")).scalar()
-    first_month = spine.agg(F.min("month")).scalar()
+    first_month = regimes.agg(F.min("month")).scalar()
+    last_month = regimes.agg(F.max("month")).scalar()
 
     moments = _window_moments(returns.select("symbol", "month", "ret"), "month", n, None)
     ordered = W.partitionBy("symbol").orderBy("month")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def rnd(expr: str, digits: int) -> str:
     """Half-up rounding on decimal digits, as ``stable_round`` does it."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 6})), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
 
 
 def _with(*parts: str) -> str:
@@ -413,7 +413,8 @@ SELECT run_id, combined_regime, start_month,
 _add("stance", SUMMARY_PARTS, """
 SELECT split_part(combined_regime, '_', 1) || ' / ' || split_part(combined_regime, '_', 2) AS regime, combined_regime,
        builder_premium AS avg_builder_premium,
-       printf('%+.1f%%', CAST(round(CAST(builder_premium AS DECIMAL(18,6)), 1) AS DOUBLE)) AS premium_fmt, n_months AS month_count,
+       CASE WHEN builder_premium < 0 THEN '-' ELSE '+' END
+         || printf('%.1f%%', CAST(round(CAST(abs(builder_premium) AS DECIMAL(18,6)), 1) AS DOUBLE)) AS premium_fmt, n_months AS month_count,
        CASE WHEN builder_premium > 0.05 THEN 'Strong Builders' WHEN builder_premium > 0.01 THEN 'Lean Builders'
             WHEN builder_premium > -0.01 THEN 'Neutral' ELSE 'Lean Integrators' END AS stance
 FROM summary""")

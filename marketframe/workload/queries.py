@@ -17,7 +17,7 @@ from marketframe.operators.fundamentals import annual_only, fundamentals
 from marketframe.operators.ordered import first_per_key
 from marketframe.operators.panel import max_drawdown, monthly_returns, period_returns, rolling_mean
 from marketframe.plans import sqlcatalog
-from marketframe.session import scratch_path
+from marketframe.session import cut_lineage, scratch_path
 from marketframe.sinks import tables as sinks
 from marketframe.sources import landed
 from marketframe.sources import tables as stored
@@ -287,7 +287,7 @@ def trailing_sharpe_nulls(spark, sf):
 @query
 def trailing_sharpe_asof(spark, sf):
     returns = monthly_returns(T.part_prices(spark, sf))
-    monthly = regimes.first_per_month(_regimes(spark, sf))
+    monthly = cut_lineage(regimes.first_per_month(_regimes(spark, sf)))
     return risk.trailing_sharpe_asof(returns, monthly).withColumn("sharpe", stable_round("sharpe", 6))
 
 

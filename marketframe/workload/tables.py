@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ THRESHOLDS = Thresholds(inflation_pct=0.5, unemployment_pct=5.0)
 STREAM_TYPES = {"Infrastructure": "CLICK", "AI Builder": "VIEW", "AI Integrator": "ERROR", "Legacy Tech": "PURCHASE"}
 
 
+@lru_cache(maxsize=256)
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The scan of one table; remembered so that its schema is looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
