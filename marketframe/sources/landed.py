@@ -33,7 +33,9 @@ def parse_quotes(docs: DataFrame, symbol: str = "symbol", text: str = "value") -
     a field that is missing from a quote gets its default.
     """
     extra = [c for c in docs.columns if c not in (symbol, text)]
-    quotes = docs.withColumn("q", F.from_json(text, S.QUOTE_DOC)["Global Quote"]).where(F.size("q") > 0)
+    # Filtering inside the generator keeps it to one parse per document.
+    filled = F.filter(F.array(F.from_json(text, S.QUOTE_DOC)["Global Quote"]), lambda q: F.size(q) > 0)
+    quotes = docs.select(*extra, symbol, F.explode(filled).alias("q"))
 
     def field(key: str, default: Column) -> Column:
         return F.coalesce(F.try_element_at("q", F.lit(key)), default)

@@ -48,14 +48,12 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per part: very many symbols with missing months."""
-    return (
+    monthly = (
         load(spark, sf_dir, "lineitem")
-        .groupBy(
-            F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"),
-            F.last_day(F.to_date("l_shipdate")).alias("date"),
-        )
+        .groupBy("l_partkey", F.last_day(F.to_date("l_shipdate")).alias("date"))
         .agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("close"))
     )
+    return monthly.select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"), "date", "close")
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
