@@ -6,6 +6,7 @@ from marketframe.functions.metrics import (
     relative_premium,
 )
 from marketframe.functions.scalars import (
+    Stamp,
     build_or_rent,
     case_label,
     chain_rank,
@@ -23,6 +24,7 @@ from marketframe.functions.scalars import (
 )
 
 __all__ = [
+    "Stamp",
     "annualised_return",
     "annualised_volatility",
     "build_or_rent",

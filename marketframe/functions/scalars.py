@@ -13,6 +13,9 @@ from marketframe import constants as C
 _GUARD_DIGITS = 4
 
 
+Stamp = datetime | str | Column | None
+
+
 def as_column(value: Column | str) -> Column:
     return value if isinstance(value, Column) else F.col(value)
 
@@ -35,10 +38,12 @@ def iso_date(value: Column | str) -> Column:
     return F.date_format(as_column(value), "yyyy-MM-dd")
 
 
-def iso_stamp(stamp: datetime | str | None = None) -> Column:
+def iso_stamp(stamp: Stamp = None) -> Column:
     """Extraction stamp as ISO text: the given moment, or the start of the query."""
     if stamp is None:
         return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    if isinstance(stamp, Column):
+        return stamp
     return F.lit(stamp.isoformat() if isinstance(stamp, datetime) else stamp)
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketframe import constants as C
+from marketframe.functions import Stamp, iso_stamp
 
 
 def annual_only(facts: DataFrame, tags: Sequence[str] | None = None, min_year: int | None = None) -> DataFrame:
@@ -24,7 +25,7 @@ def fundamentals(
     capex_tag: str = C.CAPEX_TAG,
     revenue_tags: Sequence[str] = C.REVENUE_TAGS,
     min_year: int = C.MIN_FISCAL_YEAR,
-    stamp: Column | None = None,
+    stamp: Stamp = None,
 ) -> DataFrame:
     """One row per annual capex filing from ``min_year`` on, with that company's revenue of the year.
 
@@ -58,4 +59,4 @@ def fundamentals(
         F.col("end").alias("period_end"),
         "filed",
     ]
-    return out.select(*columns, *([] if stamp is None else [stamp.alias("extracted_at")]))
+    return out.select(*columns, iso_stamp(stamp).alias("extracted_at"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketframe import constants as C
 from marketframe import schemas as S
-from marketframe.functions import iso_stamp
+from marketframe.functions import Stamp
 from marketframe.operators.fundamentals import annual_only, fundamentals
 from marketframe.operators.quality import (
     assert_nonempty,
@@ -31,31 +31,31 @@ class Load:
     report: DataFrame
 
 
-def load_quotes(raw: DataFrame, root: str, day: str, expected: DataFrame, stamp: Column | None = None) -> Load:
+def load_quotes(raw: DataFrame, root: str, day: str, expected: DataFrame, stamp: Stamp = None) -> Load:
     """Text quotes of one day into ``stocks``. A failed check stops the load; a stored day is left alone.
 
     The report lists every expected symbol as loaded or failed.
     """
-    quotes = assert_quotes(landed.normalise_quotes(raw, stamp if stamp is not None else iso_stamp()))
+    quotes = assert_quotes(landed.normalise_quotes(raw, stamp))
     write_table(quotes.withColumn("date", F.lit(day)), root, S.STOCKS, SKIP)
     return Load(quotes, load_report(expected, quotes))
 
 
-def load_macro(spark: SparkSession, path: str, root: str, stamp: Column | None = None, mode: str = OVERWRITE) -> Load:
+def load_macro(spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE) -> Load:
     """Macro documents into ``macro_indicators``, one partition per series and year."""
     parsed = landed.read_macro_json(spark, path)
-    records = landed.macro_records(parsed, stamp if stamp is not None else iso_stamp())
+    records = landed.macro_records(parsed, stamp)
     assert_nonempty(records, "No macro records extracted: all values missing")
     write_table(records.withColumn("series", F.col("series_id")), root, S.MACRO, mode)
     return Load(records, check_macro(records, macro_ranges(spark)))
 
 
 def load_fundamentals(
-    spark: SparkSession, path: str, root: str, stamp: Column | None = None, mode: str = OVERWRITE
+    spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE
 ) -> Load:
     """Company facts into ``fundamentals``, one partition per company and year."""
     facts = landed.parse_xbrl(landed.read_documents(spark, path), [C.CAPEX_TAG, *C.REVENUE_TAGS])
-    records = fundamentals(annual_only(facts), stamp=stamp if stamp is not None else iso_stamp())
+    records = fundamentals(annual_only(facts), stamp=stamp)
     assert_nonempty(records, "No fundamental records extracted")
     write_table(records, root, S.FUNDAMENTALS, mode)
     checked = records.withColumnsRenamed({"capex_usd": "capex", "revenue_usd": "revenue"})
@@ -70,12 +70,12 @@ def backfill_prices(
     end: str,
     expected: DataFrame,
     start: str = C.PRICE_START,
-    stamp: Column | None = None,
+    stamp: Stamp = None,
 ) -> Load:
     """Monthly price documents into ``historical_prices``; a symbol's partition is replaced.
 
     ``symbol`` says how to read the symbol from a document's ``path``.
     """
-    records = landed.read_monthly_json(spark, path, symbol, start, end, stamp if stamp is not None else iso_stamp())
+    records = landed.read_monthly_json(spark, path, symbol, start, end, stamp)
     write_table(records, root, S.PRICES, OVERWRITE)
     return Load(records, load_report(expected, records))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketframe import constants as C
 from marketframe import schemas as S
-from marketframe.functions import change_percent, parse_date
+from marketframe.functions import Stamp, change_percent, iso_stamp, parse_date
 
 
 def read_documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
@@ -53,7 +53,7 @@ def parse_quotes(docs: DataFrame, symbol: str = "symbol", text: str = "value") -
     )
 
 
-def normalise_quotes(raw: DataFrame, stamp: Column) -> DataFrame:
+def normalise_quotes(raw: DataFrame, stamp: Stamp = None) -> DataFrame:
     """Typed quotes with the percent change recomputed. Unreadable numbers become NULL for the checks to report."""
     known = {f.name for f in S.RAW_QUOTES}
     extra = [c for c in raw.columns if c not in known]
@@ -63,7 +63,7 @@ def normalise_quotes(raw: DataFrame, stamp: Column) -> DataFrame:
         *[F.col(c).try_cast("double").alias(c) for c in ("price", "previous_close", "change")],
         F.col("volume").try_cast("bigint").alias("volume"),
         "trading_day",
-        stamp.alias("timestamp"),
+        iso_stamp(stamp).alias("timestamp"),
     )
     return typed.withColumn("change_percent", change_percent("change", "previous_close"))
 
@@ -86,7 +86,7 @@ def parse_macro(docs: DataFrame, text: str = "value") -> DataFrame:
     ).select("series_id", "description", "units", "pos", "o.date", F.col("o.value").alias("raw_value"))
 
 
-def macro_records(parsed: DataFrame, stamp: Column, missing: str = ".") -> DataFrame:
+def macro_records(parsed: DataFrame, stamp: Stamp = None, missing: str = ".") -> DataFrame:
     """Observations with a value, typed, with year and month taken from the date."""
     day = parse_date("date")
     return parsed.where(F.col("raw_value") != missing).select(
@@ -97,7 +97,7 @@ def macro_records(parsed: DataFrame, stamp: Column, missing: str = ".") -> DataF
         F.year(day).cast("bigint").alias("year"),
         F.month(day).cast("bigint").alias("month"),
         F.col("raw_value").try_cast("double").alias("value"),
-        stamp.alias("extracted_at"),
+        iso_stamp(stamp).alias("extracted_at"),
     )
 
 
@@ -139,13 +139,13 @@ def parse_xbrl(
 
 
 def read_monthly_json(
-    spark: SparkSession, path: str, symbol: Column, start: str | date, end: str | date, stamp: Column
+    spark: SparkSession, path: str, symbol: Column, start: str | date, end: str | date, stamp: Stamp = None
 ) -> DataFrame:
     docs = read_documents(spark, path).withColumn("symbol", symbol)
     return parse_monthly(docs, start, end, stamp)
 
 
-def parse_monthly(docs: DataFrame, start: str | date, end: str | date, stamp: Column, text: str = "value") -> DataFrame:
+def parse_monthly(docs: DataFrame, start: str | date, end: str | date, stamp: Stamp = None, text: str = "value") -> DataFrame:
     """Documents keyed by date to ``(symbol, date, close, volume, extracted_at)`` within the date bounds."""
     months = docs.select(
         "symbol", F.explode(F.from_json(text, S.MONTHLY_DOC)["Monthly Adjusted Time Series"]).alias("date", "m")
@@ -156,7 +156,7 @@ def parse_monthly(docs: DataFrame, start: str | date, end: str | date, stamp: Co
         "date",
         F.col("m")["5. adjusted close"].try_cast("double").alias("close"),
         F.col("m")["6. volume"].try_cast("bigint").alias("volume"),
-        stamp.alias("extracted_at"),
+        iso_stamp(stamp).alias("extracted_at"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from marketframe import constants as C
 from marketframe import schemas as S
-from marketframe.functions import iso_date, iso_stamp, stable_round
+from marketframe.functions import iso_date, stable_round
 from marketframe.operators import compare, freshness, quality, regimes, risk
 from marketframe.operators.fundamentals import annual_only, fundamentals
 from marketframe.operators.ordered import first_per_key
@@ -92,7 +92,7 @@ def _summary(spark, sf):
 @query
 def quote_normalise(spark, sf):
     raw = landed.parse_quotes(D.quote_documents(spark, sf))
-    return landed.normalise_quotes(raw, iso_stamp(STAMP)).select(
+    return landed.normalise_quotes(raw, STAMP).select(
         "quote_id", "symbol", "price", "change_percent", "volume", "trading_day", "timestamp",
         stable_round("previous_close", 6).alias("previous_close"), stable_round("change", 6).alias("change"),
     )
@@ -101,7 +101,7 @@ def quote_normalise(spark, sf):
 @query
 def macro_parse(spark, sf):
     parsed = landed.parse_macro(D.macro_documents(spark, sf))
-    return landed.macro_records(parsed, iso_stamp(STAMP)).withColumn("value", stable_round("value", 6))
+    return landed.macro_records(parsed, STAMP).withColumn("value", stable_round("value", 6))
 
 
 @query
@@ -118,12 +118,12 @@ def xbrl_annual(spark, sf):
 @query
 def company_fundamentals(spark, sf):
     annual = annual_only(T.filings(spark, sf))
-    return fundamentals(annual, T.CAPEX_TAG, T.REVENUE_TAGS, T.MIN_YEAR, iso_stamp(STAMP))
+    return fundamentals(annual, T.CAPEX_TAG, T.REVENUE_TAGS, T.MIN_YEAR, STAMP)
 
 
 @query
 def prices_clean(spark, sf):
-    rows = landed.parse_monthly(D.monthly_documents(spark, sf), "1996-01-01", "2000-12-31", iso_stamp(STAMP))
+    rows = landed.parse_monthly(D.monthly_documents(spark, sf), "1996-01-01", "2000-12-31", STAMP)
     return rows.withColumn("close", stable_round("close", 6))
 
 
