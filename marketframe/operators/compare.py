@@ -27,24 +27,33 @@ def category_stats(metrics: DataFrame, order: Sequence[str] = C.REPORT_ORDER) ->
     return stats.orderBy(chain_rank("category", order), "category")
 
 
+def chain_members(metrics: DataFrame, security: DataFrame, order: Sequence[str] = C.CHAIN_ORDER) -> DataFrame:
+    """``(rank, category, pos, symbol)`` rows of the categories in ``order``."""
+    ranked = metrics.where(F.col("category").isin(*order)).select("symbol", "category")
+    placed = ranked.join(security.select("symbol", "pos"), "symbol", "left")
+    return placed.select(chain_rank("category", order).alias("rank"), "category", "pos", "symbol")
+
+
 def value_chain_summary(
-    metrics: DataFrame, security: DataFrame, order: Sequence[str] = C.CHAIN_ORDER
+    metrics: DataFrame, security: DataFrame, order: Sequence[str] = C.CHAIN_ORDER, listing: bool = True
 ) -> DataFrame:
-    """Ranked category rows with averages and the category's symbols in input order.
+    """Ordered category rows with averages and, as one text cell, the category's symbols in input order.
 
-    The numbers are combined on the map side. The symbol list is one text cell per category by definition;
-    it is built from the names alone. Categories outside ``order`` are left out.
+    Categories outside ``order`` are left out. For universes too large to list in a cell turn ``listing``
+    off and use the rows of ``chain_members``.
     """
-    ranked = metrics.where(F.col("category").isin(*order))
-    listing = F.array_sort(F.collect_list(F.struct("pos", "symbol")))
-    out = ranked.join(security.select("symbol", "pos"), "symbol", "left").groupBy("category").agg(
-        F.array_join(F.transform(listing, lambda s: s["symbol"]), ", ").alias("stocks"),
+    rows = metrics.where(F.col("category").isin(*order))
+    measures = [
         stable_round(F.avg("annualized_return"), 2).alias("avg_return"),
         stable_round(F.avg("annualized_volatility"), 2).alias("avg_volatility"),
         stable_round(F.avg("sharpe_ratio"), 3).alias("avg_sharpe"),
         F.count("symbol").alias("stock_count"),
-    )
-    return out.withColumn("rank", chain_rank("category", order)).orderBy("rank")
+    ]
+    if listing:
+        rows = rows.join(security.select("symbol", "pos"), "symbol", "left")
+        in_order = F.array_sort(F.collect_list(F.struct("pos", "symbol")))
+        measures.append(F.array_join(F.transform(in_order, lambda s: s["symbol"]), ", ").alias("stocks"))
+    return rows.groupBy("category").agg(*measures).withColumn("rank", chain_rank("category", order)).orderBy("rank")
 
 
 def group_premium(

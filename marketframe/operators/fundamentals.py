@@ -34,8 +34,8 @@ def fundamentals(
     no row, companies without revenue give NULL revenue and tag. Repeated capex filings are all kept.
 
     Revenue is aggregated to (company, tag, year) before anything is ordered, so choosing the tag looks
-    at a few rows per company, and a company with very many filings only makes the left side of an
-    equi-join longer.
+    at a few rows per company, and a company with very many filings only makes the left side of the one
+    equi-join longer, which adaptive execution splits.
     """
     priority = F.array_position(F.array(*[F.lit(t) for t in revenue_tags]), F.col("tag"))
     by_year = (
@@ -46,9 +46,13 @@ def fundamentals(
     chosen = by_year.withColumn("best", F.min("priority").over(W.partitionBy("cik"))).where(
         F.col("priority") == F.col("best")
     )
-    tag_of = chosen.groupBy("cik").agg(F.first("revenue_tag").alias("revenue_tag"))
+    # One row per company: the tag and its revenue by fiscal year, as many entries as there are years.
+    revenue = chosen.groupBy("cik").agg(
+        F.first("revenue_tag").alias("revenue_tag"),
+        F.map_from_entries(F.collect_list(F.struct("fy", "revenue_usd"))).alias("by_year"),
+    )
     capex = annual.where((F.col("tag") == capex_tag) & (F.col("fy") >= min_year))
-    out = capex.join(chosen.select("cik", "fy", "revenue_usd"), ["cik", "fy"], "left").join(tag_of, "cik", "left")
+    out = capex.join(revenue, "cik", "left").withColumn("revenue_usd", F.try_element_at("by_year", F.col("fy")))
     columns = [
         "cik",
         "symbol",

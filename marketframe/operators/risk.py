@@ -171,32 +171,33 @@ def trailing_sharpe_asof(
     """
     if null_rf not in ("zero", "null"):
         raise ValueError("null_rf must be 'zero' or 'null'")
-    spine = regime_spine(returns, regimes)
-    first_month = regimes.agg(F.min("month")).scalar()
-    last_month = regimes.agg(F.max("month")).scalar()
+    spine = regime_spine(returns, regimes).withColumn("place", _month_number("month"))
+    ends = regimes.agg(F.min(_month_number("month")).alias("first"), F.max(_month_number("month")).alias("last"))
 
     moments = _window_moments(returns.select("symbol", "month", "ret"), "month", n, None)
     ordered = W.partitionBy("symbol").orderBy("month")
-    until = F.coalesce(F.add_months(F.lead("month").over(ordered), -1), last_month)
+    own = _month_number("month")
+    until = F.coalesce(_month_number(F.lead("month").over(ordered)) - 1, ends.select("last").scalar())
     # The first return also covers the months before it, with no moments yet.
     is_first = F.lag("month").over(ordered).isNull()
-    first_day = F.when(is_first, F.least(first_month, F.col("month"))).otherwise(F.col("month"))
-    covered = moments.withColumns({"since": F.trunc(first_day, "month"), "until": F.trunc(until, "month")})
-    months = F.when(
-        F.col("since") <= F.col("until"),
-        F.transform(F.sequence("since", "until", F.expr("INTERVAL 1 MONTH")), lambda d: F.last_day(d)),
-    )
-    cells = covered.select(
-        "symbol", F.col("month").alias("own_month"), "n_obs", "mean", "deviation", F.explode(months).alias("month")
-    )
+    since = F.when(is_first, F.least(ends.select("first").scalar(), own)).otherwise(own)
+    covered = moments.withColumns({"own": own, "since": since, "until": until})
+    places = F.when(F.col("since") <= F.col("until"), F.sequence("since", "until"))
+    cells = covered.select("symbol", "own", "n_obs", "mean", "deviation", F.explode(places).alias("place"))
     rate = F.col("fedfunds") / 100
-    usable = (F.col("n_obs") == n) & (F.col("month") >= F.col("own_month"))
+    usable = (F.col("n_obs") == n) & (F.col("place") >= F.col("own"))
     missing = F.lit(0.0) if null_rf == "zero" else F.lit(None).cast("double")
     value = F.when(
         usable,
         F.when(F.col("fedfunds").isNull(), missing).otherwise(excess_sharpe(F.col("mean"), F.col("deviation"), rate)),
     )
-    return cells.join(spine, "month").select("symbol", "month", value.alias("sharpe"))
+    return cells.join(spine, "place").select("symbol", "month", value.alias("sharpe"))
+
+
+def _month_number(month: Column | str) -> Column:
+    """Months since year 0, so that a span of months is a range of integers."""
+    month = F.col(month) if isinstance(month, str) else month
+    return F.year(month) * 12 + F.month(month)
 
 
 def regime_spine(returns: DataFrame, regimes: DataFrame) -> DataFrame:

@@ -91,9 +91,13 @@ def moving_average(
     columns = ["symbol", "trading_day", "price", *tiebreak, *keep, *([position] if position else [])]
     rows = stocks.select(*dict.fromkeys(columns))
     averaged = rolling_mean(rows, "symbol", ["trading_day", *tiebreak], "price", 3, name="mean", segments=segments)
-    return averaged.select(
-        *keep, "symbol", "trading_day", "price", stable_round("mean", 2).alias("moving_avg_3d")
-    ).orderBy(F.col("symbol").asc_nulls_last(), F.col("trading_day").asc_nulls_last())
+    tiebreak_only = [c for c in tiebreak if c not in ("symbol", "trading_day", "price", *keep)]
+    listed = averaged.select(
+        *keep, "symbol", "trading_day", "price", stable_round("mean", 2).alias("moving_avg_3d"), *tiebreak_only
+    )
+    # The tiebreak is part of the sort so that a symbol's busiest day can be split over several ranges.
+    order = [F.col(c).asc_nulls_last() for c in ("symbol", "trading_day", *tiebreak)]
+    return listed.orderBy(*order).drop(*tiebreak_only)
 
 
 def high_volume(spark: SparkSession, keep: Sequence[str] = (), **_) -> DataFrame:
@@ -111,8 +115,11 @@ def high_volume(spark: SparkSession, keep: Sequence[str] = (), **_) -> DataFrame
         .select(
             *keep, "symbol", "trading_day", "price", "volume", "change_percent",
             stable_round("mean_volume", 0).alias("avg_volume"), stable_round(ratio, 2).alias("volume_ratio"),
+            ratio.alias("exact"),
         )
-        .orderBy(F.col("volume_ratio").desc_nulls_last())
+        # Rounded ratios repeat very often; the exact one spreads the sort and keeps the rounded order.
+        .orderBy(F.col("exact").desc_nulls_last())
+        .drop("exact")
     )
 
 

@@ -353,6 +353,11 @@ _add("comparison_table", (*METRIC_PARTS, PREMIUM), """
 SELECT 'Sharpe Ratio' AS metric, left_sharpe AS left_value, right_sharpe AS right_value, '+' || premium_pct || '%' AS premium FROM premium
 UNION ALL SELECT 'Annualized Return %', left_return, right_return, '' FROM premium
 UNION ALL SELECT 'Volatility %', left_vol, right_vol, '' FROM premium""")
+_add("premium_text", (*METRIC_PARTS, PREMIUM), """
+SELECT CASE WHEN premium_pct < 0 THEN '-' ELSE '+' END || printf('%.1f%%', abs(premium_pct)) AS premium FROM premium""")
+_add("chain_members", METRIC_PARTS, """
+SELECT CAST(list_position(['Infrastructure', 'AI Builder', 'AI Integrator', 'Control', 'Legacy Tech'], m.category) AS INTEGER) AS rank,
+       m.category, pos, m.symbol FROM metrics m JOIN security s ON s.symbol = m.symbol""")
 _add("spend_efficiency", EFFICIENCY_PARTS, f"SELECT * EXCLUDE (eff), {rnd('eff', 4)} AS sharpe_per_B FROM efficiency")
 _add("efficiency_gap", EFFICIENCY_PARTS, f"""
 , best AS (SELECT symbol, eff FROM efficiency ORDER BY eff DESC, symbol LIMIT 1),
@@ -378,6 +383,7 @@ SELECT * EXCLUDE (months_analyzed, start_date, end_date),
        CASE category WHEN 'AI Builder' THEN 'Build' WHEN 'AI Integrator' THEN 'Rent' ELSE 'N/A' END AS build_or_rent,
        CAST(list_position(['Infrastructure', 'AI Builder', 'AI Integrator', 'Control', 'Legacy Tech'], category) AS INTEGER) AS value_chain_rank
 FROM metrics""")
+ORACLES["backtest_run"] = ORACLES["export_master"]
 _add("nest_flatten", ROLLING_PARTS, "SELECT * FROM rolling")
 
 # --- macro regimes ------------------------------------------------------------------------------
@@ -393,6 +399,10 @@ SELECT p.* REPLACE ({rnd('fedfunds', 6)} AS fedfunds, {rnd('avg_builder_sharpe',
        {', '.join(f'{rnd(chr(34) + b + "_sharpe" + chr(34), 6)} AS "{b}_sharpe"' for b in _BRANDS)}
 FROM panel p JOIN (SELECT month AS m, {_PER_SYMBOL} FROM group_sharpe GROUP BY 1) ON m = p.month""")
 _add("premium_by_regime", SUMMARY_PARTS, "SELECT * FROM summary")
+ORACLES["regime_run"] = ORACLES["premium_by_regime"]
+_add("regime_parts", SUMMARY_PARTS, """
+SELECT combined_regime, avg_builder_sharpe, avg_integrator_sharpe, builder_premium AS avg_builder_premium, n_months AS month_count,
+       split_part(combined_regime, '_', 1) AS rate_regime, split_part(combined_regime, '_', 2) AS inflation_regime FROM summary""")
 _add("overall_premium", PANEL_PARTS, f"""
 SELECT {rnd('avg(builder_premium)', 6)} AS overall_premium, count(builder_premium) AS n_months FROM panel""")
 _add("regime_crosstab", SUMMARY_PARTS, f"""
@@ -450,6 +460,8 @@ _add("dq_fundamentals", (FILINGS, FUNDAMENTALS), """
   FROM records WHERE revenue_usd IS NOT NULL)
 SELECT *, CASE WHEN capex_exceeds_revenue > 0 THEN 'capex >= revenue: ' || capex_exceeds_revenue || ' rows' ELSE '' END AS errors,
        capex_exceeds_revenue = 0 AS valid FROM stats""")
+_add("missing_series", (SECURITY, SPEND), "SELECT symbol FROM security WHERE symbol NOT IN (SELECT symbol FROM spend)")
+_add("record_counts", (QUOTES,), "SELECT kind, trading_day, count(*) AS records FROM quotes GROUP BY 1, 2")
 _add("load_report", (SECURITY, SPEND), """
 SELECT symbol, CASE WHEN symbol IN (SELECT symbol FROM spend) THEN 'loaded' ELSE 'failed' END AS status FROM security""")
 _add("completeness", (QUOTES, NEWEST, COMPLETE), f"""

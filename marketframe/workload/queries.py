@@ -16,7 +16,7 @@ from marketframe.operators import compare, freshness, quality, regimes, risk
 from marketframe.operators.fundamentals import annual_only, fundamentals
 from marketframe.operators.ordered import first_per_key
 from marketframe.operators.panel import max_drawdown, monthly_returns, period_returns, rolling_mean
-from marketframe.plans import sqlcatalog
+from marketframe.plans import backtest, regime, sqlcatalog
 from marketframe.session import cut_lineage, scratch_path
 from marketframe.sinks import tables as sinks
 from marketframe.sources import landed
@@ -330,6 +330,16 @@ def comparison_table(spark, sf):
     return compare.comparison_table(_premium(spark, sf))
 
 
+@query
+def premium_text(spark, sf):
+    return compare.premium_text(_premium(spark, sf))
+
+
+@query
+def chain_members(spark, sf):
+    return compare.chain_members(_metrics(spark, sf), T.security(spark, sf))
+
+
 @query
 def spend_efficiency(spark, sf):
     return compare.spend_efficiency(_metrics(spark, sf), T.spend(spark, sf)).drop("efficiency")
@@ -433,6 +443,33 @@ def regime_stance(spark, sf):
     return regimes.stance(_summary(spark, sf), cuts=(0.05, 0.01, -0.01))
 
 
+@query
+def regime_parts(spark, sf):
+    return regimes.split_regime(_summary(spark, sf))
+
+
+# --- whole plans --------------------------------------------------------------------------------
+
+
+@query
+def backtest_run(spark, sf):
+    """Prices to stored result records to the master export, read back from CSV."""
+    out, security, spend = scratch_path(spark, "backtest"), T.security(spark, sf), T.spend(spark, sf)
+    results = backtest.run_backtest(T.prices(spark, sf), security, spend, _rate(spark, sf), out)
+    backtest.export_analyses(results, security, spend, out)
+    columns = S.EXPORTS["export_master"]
+    schema = StructType([S.RESULTS[c] for c in columns[:-2]]).add("build_or_rent", "string").add("value_chain_rank", "int")
+    return stored.read_csv(spark, f"{out}/export_master", schema)
+
+
+@query
+def regime_run(spark, sf):
+    """Macro series and prices to the stored panel and its stored summary."""
+    out = scratch_path(spark, "regimes")
+    _, summary = regime.run_regimes(T.macro(spark, sf), T.prices(spark, sf), out, GROUPS, T.THRESHOLDS)
+    return summary
+
+
 # --- quality and freshness ----------------------------------------------------------------------
 
 
@@ -459,6 +496,17 @@ def dq_fundamentals(spark, sf):
     return quality.check_fundamentals(rows.withColumnsRenamed({"capex_usd": "capex", "revenue_usd": "revenue"}))
 
 
+@query
+def missing_series(spark, sf):
+    """Brands of the catalogue without spending data."""
+    return stored.missing_series(T.security(spark, sf), T.spend(spark, sf), "symbol")
+
+
+@query
+def record_counts(spark, sf):
+    return quality.record_counts(T.quotes(spark, sf), ["kind", "trading_day"])
+
+
 @query
 def load_report(spark, sf):
     return quality.load_report(T.security(spark, sf), T.spend(spark, sf))

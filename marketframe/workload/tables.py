@@ -57,13 +57,9 @@ def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(symbol, date, close)`` of everything together."""
-    return (
-        load(spark, sf_dir, "lineitem")
-        .groupBy(F.last_day(F.to_date("l_shipdate")).alias("date"))
-        .agg((F.sum("l_extendedprice") / F.sum("l_quantity")).alias("close"))
-        .withColumn("symbol", F.lit("MARKET"))
-    )
+    """``(symbol, date, close)`` of everything together, from the monthly brand totals."""
+    totals = sales_by_month(spark, sf_dir).groupBy("date")
+    return totals.agg((F.sum("amount") / F.sum("quantity")).alias("close")).withColumn("symbol", F.lit("MARKET"))
 
 
 def security(spark: SparkSession, sf_dir: str) -> DataFrame:
