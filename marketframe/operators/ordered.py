@@ -2,7 +2,7 @@
 
 A window over ``partitionBy(key)`` sends the whole key to one task. That is fine for a monthly
 panel, where a key has one row per month. For raw rows the helpers below cut each hot key into
-consecutive segments along a position column and repair the segment edges exactly.
+consecutive segments along its order and repair the segment edges exactly.
 """
 
 from __future__ import annotations
@@ -14,55 +14,69 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketframe.session import cut_lineage
+from marketframe.session import broadcast_if_small, cut_lineage
 
 _SEGMENT, _EDGE = "__segment", "__edge"
 _MAX_PIECES = 512
+_OVERSAMPLE = 20
 
 Expressions = Mapping[str, Callable[[WindowSpec], Column]]
 
 
 @dataclass(frozen=True)
 class Segments:
-    """Cut points along ``position`` for the hot keys only: at most one row per shuffle partition."""
+    """Cut points along ``order`` for the hot keys only: at most one row per shuffle partition."""
 
     by: tuple[str, ...]
-    position: str
+    order: tuple[str, ...]
     bounds: DataFrame
 
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add the segment number; rows of ordinary keys are all in segment 0."""
-        below = F.size(F.filter("__bounds", lambda b: b < F.col(self.position)))
+        """Add the segment number, found by bisection; rows of ordinary keys are all in segment 0."""
+        steps = [2**i for i in reversed(range(_MAX_PIECES.bit_length()))]
+        key = F.struct(*self.order)
+
+        def advance(below: Column, step: Column) -> Column:
+            passed = F.try_element_at("__bounds", below + step) < key
+            return F.when(passed, below + step).otherwise(below)
+
+        place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
         return (
-            df.join(self.bounds, list(self.by), "left")
-            .withColumn(_SEGMENT, F.when(F.col("__bounds").isNull(), 0).otherwise(below))
+            df.join(broadcast_if_small(self.bounds, 256), list(self.by), "left")
+            .withColumn(_SEGMENT, place)
             .withColumn("__hot", F.col("__bounds").isNotNull())
             .drop("__bounds")
         )
 
 
 def find_segments(
-    df: DataFrame, by: Sequence[str], position: str, min_rows: int = 1_000_000, pieces: int | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[str], min_rows: int = 1_000_000, pieces: int | None = None
 ) -> Segments | None:
     """Cut points for keys that outgrow a fair share of the rows, or None when there are none.
 
     A key is hot above ``min_rows`` and above an even split of the table over the shuffle partitions, so
-    there are fewer hot keys than partitions. Both passes combine on the map side. The cut points are
-    materialised once, so every later use of them agrees. ``position`` must sort like the window order.
+    there are fewer hot keys than partitions. The cut points are quantiles of the whole order, taken from
+    the hash-selected ordering values of a few rows; they only decide where a key is cut, every row stays.
+    They are materialised once, so all later uses agree. ``order`` columns sort ascending, and together
+    should be nearly unique: rows equal in all of them stay in one segment.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = pieces or max(8, min(_MAX_PIECES, parts))
+    pieces = min(_MAX_PIECES, pieces or max(8, parts))
     counts = df.groupBy(*by).agg(F.count("*").alias("__n"))
     share = counts.agg(F.sum("__n") / F.lit(parts)).scalar()
-    hot = counts.where((F.col("__n") > min_rows) & (F.col("__n") > share)).select(*by)
-    fractions = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    bounds = (
-        df.join(hot, list(by), "left_semi")
-        .groupBy(*by)
-        .agg(F.array_distinct(F.percentile_approx(position, fractions)).alias("__bounds"))
+    hot = counts.where((F.col("__n") > min_rows) & (F.col("__n") > share))
+    # About pieces * _OVERSAMPLE rows of each hot key, whatever its size.
+    grain = F.greatest((F.col("__n") / (pieces * _OVERSAMPLE)).cast("bigint"), F.lit(1))
+    # Fewer hot keys than partitions by the condition above, so broadcasting them is safe at any size.
+    picked = df.select(*by, *order).join(F.broadcast(hot), list(by)).where(F.pmod(F.xxhash64(*order), grain) == 0)
+    values = F.array_sort(F.collect_list(F.struct(*order)))
+    found = picked.groupBy(*by).agg(values.alias("__values"))
+    at = F.transform(
+        F.sequence(F.lit(1), F.lit(pieces - 1)),
+        lambda i: F.element_at("__values", F.greatest((F.size("__values") * i / pieces).cast("int"), F.lit(1))),
     )
-    bounds = cut_lineage(bounds)
-    return None if bounds.isEmpty() else Segments(tuple(by), position, bounds)
+    bounds = cut_lineage(found.select(*by, F.array_distinct(at).alias("__bounds")))
+    return None if bounds.isEmpty() else Segments(tuple(by), tuple(order), bounds)
 
 
 def over_recent_rows(
@@ -157,11 +171,11 @@ def ordinal_rank(
     )
     local = F.col("__mono") - F.shiftleft(F.col("__part").cast("long"), 33)
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("__size"))
-    # One row per shuffle partition, so this window is small whatever the table holds.
+    # One row per shuffle partition, so this window and the broadcast are small whatever the table holds.
     before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     placed = (
-        ranged.join(offsets, "__part")
+        ranged.join(F.broadcast(offsets), "__part")
         .withColumn(name, F.col("__offset") + local + 1)
         .drop("__part", "__mono", "__offset")
     )

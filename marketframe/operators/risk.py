@@ -17,6 +17,8 @@ from marketframe.functions import (
     stable_round,
 )
 from marketframe.operators.ordered import Segments, over_recent_rows
+from marketframe.operators.panel import max_drawdown, period_returns
+from marketframe.session import broadcast_if_small
 
 Rate = float | Column | DataFrame
 
@@ -39,32 +41,36 @@ def risk_free_rate(
     return picked.agg(F.coalesce(F.avg("value") / 100, F.lit(fallback)).alias("rf"))
 
 
-def raw_metrics(prices: DataFrame, min_obs: int = C.MIN_RETURNS) -> DataFrame:
+def raw_metrics(prices: DataFrame, min_obs: int = C.MIN_RETURNS, segments: Segments | None = None) -> DataFrame:
     """Unrounded metrics, one row per symbol with at least ``min_obs`` returns.
 
     Returns and running peaks share one window partitioning, and the aggregate reuses it. A symbol has one
-    price per period, so a window partition is no longer than the calendar.
+    price per period, so a window partition is no longer than the calendar. For finer prices, where one
+    symbol may hold most rows, pass ``segments``: then both parts work on pieces of a symbol.
     """
-    ordered = W.partitionBy("symbol").orderBy("date")
-    peak = F.max("close").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
-    series = prices.select("symbol", "date", "close").withColumns(
-        {"ret": simple_return(F.col("close"), F.lag("close").over(ordered)), "peak": peak}
-    )
-    observations = F.count("ret")
-    return (
-        series.groupBy("symbol")
-        .agg(
-            annualised_return(F.avg("ret"), observations, min_obs).alias("ann_return"),
-            annualised_volatility(F.stddev_samp("ret")).alias("ann_vol"),
-            F.when(F.count("close") < 2, F.lit(0.0))
-            .otherwise(F.min((F.col("close") - F.col("peak")) / F.col("peak")))
-            .alias("drawdown"),
-            observations.alias("months_analyzed"),
-            F.min("date").alias("first_date"),
-            F.max("date").alias("last_date"),
+    series = prices.select("symbol", "date", "close")
+    if segments is None:
+        ordered = W.partitionBy("symbol").orderBy("date")
+        peak = F.max("close").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+        series = series.withColumns(
+            {"ret": simple_return(F.col("close"), F.lag("close").over(ordered)), "peak": peak}
         )
-        .where(F.col("months_analyzed") >= min_obs)
+        fall = F.min((F.col("close") - F.col("peak")) / F.col("peak"))
+        drawdown = [F.when(F.count("close") < 2, F.lit(0.0)).otherwise(fall).alias("drawdown")]
+    else:
+        series, drawdown = period_returns(series, segments=segments), []
+    observations = F.count("ret")
+    metrics = series.groupBy("symbol").agg(
+        annualised_return(F.avg("ret"), observations, min_obs).alias("ann_return"),
+        annualised_volatility(F.stddev_samp("ret")).alias("ann_vol"),
+        *drawdown,
+        observations.alias("months_analyzed"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
     )
+    if segments is not None:
+        metrics = metrics.join(max_drawdown(prices, name="drawdown", segments=segments), "symbol")
+    return metrics.where(F.col("months_analyzed") >= min_obs)
 
 
 def risk_metrics(
@@ -73,13 +79,14 @@ def risk_metrics(
     spend: DataFrame | None = None,
     rf: Rate = C.RISK_FREE_RATE,
     min_obs: int = C.MIN_RETURNS,
+    segments: Segments | None = None,
 ) -> DataFrame:
     """Report row per symbol: annualised return and volatility, Sharpe, drawdown, coverage, attributes.
 
     ``security`` adds category and strategy, ``spend`` the spending columns; both are left lookups.
     """
     rate = as_scalar(rf)
-    metrics = raw_metrics(prices, min_obs).select(
+    metrics = raw_metrics(prices, min_obs, segments).select(
         "symbol",
         stable_round(F.col("ann_return") * 100, 2).alias("annualized_return"),
         stable_round(F.col("ann_vol") * 100, 2).alias("annualized_volatility"),
@@ -191,7 +198,8 @@ def trailing_sharpe_asof(
         usable,
         F.when(F.col("fedfunds").isNull(), missing).otherwise(excess_sharpe(F.col("mean"), F.col("deviation"), rate)),
     )
-    return cells.join(spine, "place").select("symbol", "month", value.alias("sharpe"))
+    months = broadcast_if_small(spine, rows_of=regimes)
+    return cells.join(months, "place").select("symbol", "month", value.alias("sharpe"))
 
 
 def _month_number(month: Column | str) -> Column:

@@ -11,6 +11,7 @@ from marketframe import constants as C
 from marketframe.functions import case_label, dollar_volume_billions, stable_round
 from marketframe.operators.ordered import find_segments, first_per_key
 from marketframe.operators.panel import rolling_mean
+from marketframe.session import broadcast_if_small, cut_lineage
 
 
 def default_groups() -> dict[str, list[str]]:
@@ -75,7 +76,6 @@ def change_spread(spark: SparkSession, **_) -> DataFrame:
 
 def moving_average(
     spark: SparkSession,
-    position: str | None = None,
     tiebreak: Sequence[str] = ("timestamp",),
     keep: Sequence[str] = (),
     segment_rows: int = 1_000_000,
@@ -83,14 +83,12 @@ def moving_average(
 ) -> DataFrame:
     """Mean price of the row and the two before it, per symbol in trading-day order.
 
-    ``position`` is a date, time or numeric column that sorts like trading day and tiebreak. With it,
-    symbols holding too many rows for one task are cut into segments.
+    Symbols holding too many rows for one task are cut into segments.
     """
-    stocks = spark.table("stocks")
-    segments = find_segments(stocks, ["symbol"], position, segment_rows) if position else None
-    columns = ["symbol", "trading_day", "price", *tiebreak, *keep, *([position] if position else [])]
-    rows = stocks.select(*dict.fromkeys(columns))
-    averaged = rolling_mean(rows, "symbol", ["trading_day", *tiebreak], "price", 3, name="mean", segments=segments)
+    order = ["trading_day", *tiebreak]
+    rows = spark.table("stocks").select(*dict.fromkeys(["symbol", *order, "price", *keep]))
+    segments = find_segments(rows, ["symbol"], order, segment_rows)
+    averaged = rolling_mean(rows, "symbol", order, "price", 3, name="mean", segments=segments)
     tiebreak_only = [c for c in tiebreak if c not in ("symbol", "trading_day", "price", *keep)]
     listed = averaged.select(
         *keep, "symbol", "trading_day", "price", stable_round("mean", 2).alias("moving_avg_3d"), *tiebreak_only
@@ -103,14 +101,14 @@ def moving_average(
 def high_volume(spark: SparkSession, keep: Sequence[str] = (), **_) -> DataFrame:
     """Rows trading more than 1.5 times their symbol's average volume.
 
-    The averages are one row per symbol; joining them back keeps a symbol with very many rows spread out,
-    which a window over the symbol would not.
+    The averages are one row per symbol. They are stored and counted first: joined as a broadcast the
+    large table is not shuffled at all, and beyond the limit the join is split by symbol size.
     """
     stocks = spark.table("stocks")
-    averages = stocks.groupBy("symbol").agg(F.avg("volume").alias("mean_volume"))
+    averages = cut_lineage(stocks.groupBy("symbol").agg(F.avg("volume").alias("mean_volume")))
     ratio = F.col("volume").cast("double") / F.col("mean_volume")
     return (
-        stocks.join(averages, "symbol")
+        stocks.join(broadcast_if_small(averages), "symbol")
         .where(F.col("volume") > F.col("mean_volume") * 1.5)
         .select(
             *keep, "symbol", "trading_day", "price", "volume", "change_percent",

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "marketframe", master: str | None = None, conf: dict | None = None) -> SparkSession:
@@ -51,3 +52,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 100_000, rows_of: DataFrame | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast once it is known to hold at most ``limit`` rows; otherwise leave the join to Spark.
+
+    The rows counted are those of ``rows_of`` when that is a cheaper upper bound. Size estimates of aggregates
+    carry the size of their input, so a small result of a large table is not recognised without counting.
+    """
+    counted = (df if rows_of is None else rows_of).limit(limit + 1).count()
+    return F.broadcast(df) if counted <= limit else df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas as S
+from marketframe.session import broadcast_if_small
 from marketframe.sources.tables import partitions
 
 OVERWRITE, SKIP, APPEND = "overwrite_partitions", "skip", "append"
@@ -51,7 +52,7 @@ def new_partitions_only(df: DataFrame, spark: SparkSession, root: str, keys: Seq
     """Rows whose partition is not stored yet."""
     if not _has_files(spark, root):
         return df
-    return df.join(partitions(spark, root, keys), list(keys), "left_anti")
+    return df.join(broadcast_if_small(partitions(spark, root, keys)), list(keys), "left_anti")
 
 
 def write_table(df: DataFrame, root: str, table: S.Table, mode: str = OVERWRITE) -> None:

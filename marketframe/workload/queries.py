@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from marketframe import constants as C
 from marketframe import schemas as S
@@ -458,7 +458,7 @@ def backtest_run(spark, sf):
     results = backtest.run_backtest(T.prices(spark, sf), security, spend, _rate(spark, sf), out)
     backtest.export_analyses(results, security, spend, out)
     columns = S.EXPORTS["export_master"]
-    schema = StructType([S.RESULTS[c] for c in columns[:-2]]).add("build_or_rent", "string").add("value_chain_rank", "int")
+    schema = StructType([S.RESULTS[c] for c in columns[:-2]]).add("build_or_rent", StringType()).add("value_chain_rank", IntegerType())
     return stored.read_csv(spark, f"{out}/export_master", schema)
 
 
@@ -578,9 +578,7 @@ def _catalogue(name, **options):
 QUERIES["sql1_daily_leader"] = _catalogue("daily_leader", tiebreak=("symbol", "quote_id"))
 QUERIES["sql2_asset_summary"] = _catalogue("asset_summary")
 QUERIES["sql3_change_spread"] = _catalogue("change_spread")
-QUERIES["sql4_moving_average"] = _catalogue(
-    "moving_average", position="ts", tiebreak=("timestamp", "quote_id"), keep=("quote_id",)
-)
+QUERIES["sql4_moving_average"] = _catalogue("moving_average", tiebreak=("timestamp", "quote_id"), keep=("quote_id",))
 QUERIES["sql5_high_volume"] = _catalogue("high_volume", keep=("quote_id",))
 QUERIES["sql6_price_range"] = _catalogue("price_range")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from marketframe.operators.ordered import find_segments, first_per_key, ordinal_rank
 from marketframe.operators.panel import max_drawdown, period_returns, rolling_mean
-from marketframe.operators.risk import rolling_sharpe
+from marketframe.operators.risk import raw_metrics, rolling_sharpe
 from marketframe.functions import stable_round
 
 
@@ -26,7 +26,7 @@ def skewed(spark):
 
 @pytest.fixture(scope="module")
 def segments(skewed):
-    found = find_segments(skewed, ["symbol"], "date", min_rows=500, pieces=16)
+    found = find_segments(skewed, ["symbol"], ["date", "id"], min_rows=500, pieces=16)
     assert [r.symbol for r in found.bounds.collect()] == ["HOT"]
     tagged = found.tag(skewed).where("symbol = 'HOT'").groupBy("__segment").count().collect()
     assert len(tagged) == 16 and max(r["count"] for r in tagged) < 600
@@ -38,7 +38,7 @@ def one_per_time(df):
 
 
 def test_no_segments_without_a_hot_key(skewed):
-    assert find_segments(skewed, ["symbol"], "date", min_rows=10_000) is None
+    assert find_segments(skewed, ["symbol"], ["date", "id"], min_rows=10_000) is None
 
 
 @pytest.mark.parametrize("n", [2, 3, 40])
@@ -53,20 +53,55 @@ def test_segmented_rolling_mean_equals_the_plain_window(skewed, segments, n):
 @pytest.mark.parametrize("lookback", [5, 400])
 def test_edges_reach_back_over_several_small_segments(skewed, lookback):
     """A lookback longer than a segment takes rows from more than one of them."""
-    split = find_segments(skewed, ["symbol"], "date", min_rows=500, pieces=60)
+    split = find_segments(skewed, ["symbol"], ["date", "id"], min_rows=500, pieces=60)
     plain = period_returns(skewed, "symbol", ["date", "id"], "close", lag=lookback)
     cut = period_returns(skewed, "symbol", ["date", "id"], "close", lag=lookback, segments=split)
     assert rows(cut, "symbol", "id", "ret") == rows(plain, "symbol", "id", "ret")
 
 
-def test_segmented_drawdown_equals_the_plain_one(skewed, segments):
-    unique = one_per_time(skewed)
-    assert rows(max_drawdown(unique, segments=segments)) == rows(max_drawdown(unique))
+@pytest.fixture(scope="module")
+def panel(skewed):
+    return one_per_time(skewed)
+
+
+@pytest.fixture(scope="module")
+def panel_segments(panel):
+    return find_segments(panel, ["symbol"], ["date"], min_rows=500, pieces=16)
+
+
+def test_segmented_drawdown_equals_the_plain_one(panel, panel_segments):
+    assert rows(max_drawdown(panel, segments=panel_segments)) == rows(max_drawdown(panel))
 
 
-def test_segmented_rolling_sharpe_equals_the_plain_one(skewed, segments):
-    returns = one_per_time(skewed).withColumn("ret", F.col("close") / 100)
-    assert rows(rolling_sharpe(returns, segments=segments)) == rows(rolling_sharpe(returns))
+def test_segmented_rolling_sharpe_equals_the_plain_one(panel, panel_segments):
+    returns = panel.withColumn("ret", F.col("close") / 100)
+    assert rows(rolling_sharpe(returns, segments=panel_segments)) == rows(rolling_sharpe(returns))
+
+
+def test_segmented_metrics_equal_the_plain_ones(panel, panel_segments):
+    def report(segments):
+        out = raw_metrics(panel, segments=segments)
+        return rows(out.select("symbol", "months_analyzed", *[stable_round(c, 6).alias(c) for c in ("ann_return", "ann_vol", "drawdown")]))
+
+    assert report(panel_segments) == report(None) and len(report(None)) == 2
+
+
+def test_a_key_whose_rows_share_one_time_is_still_cut(spark):
+    """Half of the rows on one day: the rest of the order separates them."""
+    df = spark.range(4000).select(
+        F.lit("HOT").alias("symbol"),
+        F.when(F.col("id") < 3900, "2024-01-01").otherwise("2024-01-02").alias("date"),
+        F.format_string("%05d", F.pmod(F.col("id") * 7919, F.lit(4000))).alias("stamp"),
+        (F.col("id") % 100).cast("double").alias("close"),
+    )
+    df = df.unionByName(df.limit(100).withColumn("symbol", F.lit("COLD")))
+    segments = find_segments(df, ["symbol"], ["date", "stamp"], min_rows=500, pieces=16)
+    sizes = [r["count"] for r in segments.tag(df).where("symbol = 'HOT'").groupBy("__segment").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 600
+    plain = rolling_mean(df, "symbol", ["date", "stamp"], "close", 3)
+    cut = rolling_mean(df, "symbol", ["date", "stamp"], "close", 3, segments=segments)
+    value = stable_round("rolling_mean", 6).alias("m")
+    assert rows(cut, "symbol", "stamp", value) == rows(plain, "symbol", "stamp", value)
 
 
 def test_first_per_key_limits_before_the_shuffle(skewed, capsys):

@@ -37,6 +37,33 @@ def test_query_equals_its_sql(spark, db, name):
     assert ordered([r.asDict() for r in frame.collect()], columns) == ordered(expected, columns)
 
 
+# Plan steps that would not scale, or leave the JVM.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow")
+
+
+def plan_of(frame, capsys):
+    capsys.readouterr()
+    frame.explain("extended")
+    return capsys.readouterr().out
+
+
+@pytest.mark.parametrize("name", ["risk_metrics", "rolling_sharpe", "trailing_sharpe_asof", "monthly_panel", "fundamentals",
+                                  "sql4_moving_average", "sql5_high_volume", "sql7_category_performance", "beta", "max_drawdown",
+                                  "regime_crosstab", "spend_efficiency", "completeness", "dq_quotes", "xbrl_annual"])
+def test_plans_have_no_unwanted_steps(spark, capsys, name):
+    plan = plan_of(contract.queries()[name](spark, SF_DIR), capsys)
+    assert not [step for step in UNWANTED if step in plan]
+
+
+def test_the_flagship_reads_four_line_item_columns_and_sorts_once_per_symbol(spark, capsys):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = plan_of(contract.queries()["risk_metrics"](spark, SF_DIR), capsys).split("== Physical Plan ==")[1]
+    schema = plan.split("ReadSchema: struct<l_")[1].split(">")[0]
+    assert schema.count(":") == 4
+    # The monthly totals, the series of each symbol, and the distinct symbols of the security table.
+    assert plan.count("hashpartitioning(symbol") == 3
+
+
 def test_every_query_has_sql_and_the_entry_runs(spark):
     assert contract.queries().keys() == contract.oracle_sql().keys()
     assert contract.entry(spark).count() > 0

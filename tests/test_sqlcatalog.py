@@ -44,6 +44,21 @@ def test_moving_average(views):
     assert [(s, p, m) for s, _, p, m in out if s == "NVDA"] == [("NVDA", 100.0, 100.0), ("NVDA", 101.0, 100.5), ("NVDA", 103.0, 101.33)]
 
 
+def test_moving_average_of_a_symbol_cut_into_segments(views):
+    spark = views
+    hot = spark.range(2000).selectExpr(
+        "CASE WHEN id % 10 < 8 THEN 'HOT' ELSE concat('S', id % 10) END AS symbol", "'2026-01-05' AS trading_day",
+        "CAST(id % 37 AS DOUBLE) AS price", "id AS volume", "0D AS change_percent", "format_string('%06d', id) AS timestamp",
+    )
+    kept = spark.table("stocks")
+    hot.createOrReplaceTempView("stocks")
+    try:
+        cut = rows(sqlcatalog.run(spark, "moving_average", keep=("timestamp",), segment_rows=100))
+        assert cut == rows(sqlcatalog.run(spark, "moving_average", keep=("timestamp",))) and len(cut) == 2000
+    finally:
+        kept.createOrReplaceTempView("stocks")
+
+
 def test_high_volume(views):
     assert run(views, "high_volume") == [("NVDA", "2026-01-05", 101.0, 30, 2.0, 17.0, 1.8)]
 
