@@ -102,11 +102,11 @@ def classify_regimes(
     return labelled.withColumn("combined_regime", F.concat_ws("_", *parts))
 
 
-def first_per_month(regimes: DataFrame) -> DataFrame:
-    """Keep the earliest dated regime row of each month."""
-    columns = [c for c in regimes.columns if c not in ("month", "date")]
+def first_per_month(regimes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Keep the earliest dated regime row of each month (and of each ``by``, such as the region)."""
+    columns = [c for c in regimes.columns if c not in ("month", "date", *by)]
     first = F.min_by(F.struct(*columns), F.col("date"))
-    return regimes.groupBy("month").agg(first.alias("r")).select("month", "r.*")
+    return regimes.groupBy(*by, "month").agg(first.alias("r")).select(*by, "month", "r.*")
 
 
 def monthly_panel(
@@ -194,24 +194,24 @@ def stance(summary: DataFrame, cuts: Sequence[float] = C.STANCE_CUTS) -> DataFra
     ).orderBy(F.col("avg_builder_premium").desc_nulls_last(), "combined_regime")
 
 
-def regime_runs(panel: DataFrame, drop_last: bool = False) -> DataFrame:
+def regime_runs(panel: DataFrame, drop_last: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Runs of consecutive months with one label: start, the month the next run begins, months.
 
     The last run ends with its own last month; ``drop_last`` leaves it out. ``panel`` has one row per
-    month, so the window is calendar sized.
+    month (and ``by``), so the windows are calendar sized.
     """
-    ordered = W.partitionBy().orderBy("month")
+    ordered = W.partitionBy(*by).orderBy("month")
     label = F.col("combined_regime")
-    starts = panel.select("month", label, (~label.eqNullSafe(F.lag(label).over(ordered))).cast("int").alias("starts"))
-    numbered = starts.select("month", label, F.sum("starts").over(ordered).alias("run_id"))
-    runs = numbered.groupBy("run_id", "combined_regime").agg(
+    starts = panel.select(*by, "month", label, (~label.eqNullSafe(F.lag(label).over(ordered))).cast("int").alias("starts"))
+    numbered = starts.select(*by, "month", label, F.sum("starts").over(ordered).alias("run_id"))
+    runs = numbered.groupBy(*by, "run_id", "combined_regime").agg(
         F.min("month").alias("start_month"), F.max("month").alias("last_month"), F.count("*").alias("n_months")
     )
-    following = F.lead("start_month").over(W.partitionBy().orderBy("run_id"))
-    out = runs.withColumn("next_start", following)
+    out = runs.withColumn("next_start", F.lead("start_month").over(W.partitionBy(*by).orderBy("run_id")))
     if drop_last:
         out = out.where(F.col("next_start").isNotNull())
     return out.select(
+        *by,
         F.col("run_id").cast("bigint").alias("run_id"),
         "combined_regime",
         "start_month",

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from marketframe import schemas as S
 from marketframe.session import broadcast_if_small
-from marketframe.sources.tables import partitions
+from marketframe.sources.tables import has_files, partitions
 
 OVERWRITE, SKIP, APPEND = "overwrite_partitions", "skip", "append"
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -42,15 +42,9 @@ def conform(df: DataFrame, table: S.Table) -> DataFrame:
     return df.select(*out)
 
 
-def _has_files(spark: SparkSession, root: str) -> bool:
-    """Whether anything is stored below ``root``; asks the file system, reads no data."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
 def new_partitions_only(df: DataFrame, spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """Rows whose partition is not stored yet."""
-    if not _has_files(spark, root):
+    if not has_files(spark, root):
         return df
     return df.join(broadcast_if_small(partitions(spark, root, keys)), list(keys), "left_anti")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,15 +34,10 @@ def scan_series(
     table: S.Table = S.MACRO,
 ) -> DataFrame:
     """Rows of some series and years. Both conditions prune partitions; absent partitions are simply not there."""
-    keys = table.keys
-    rows = read_table(spark, table, root).where(
-        F.col(keys[0]).isin(*series) & F.col(keys[1]).cast("int").between(*years)
-    )
-    if require_any and partitions(spark, root, keys).where(
-        F.col(keys[0]).isin(*series) & F.col(keys[1]).cast("int").between(*years)
-    ).isEmpty():
+    wanted = F.col(table.keys[0]).isin(*series) & F.col(table.keys[1]).cast("int").between(*years)
+    if require_any and (not has_files(spark, root) or partitions(spark, root, table.keys).where(wanted).isEmpty()):
         raise ValueError(f"no data under {root} for series {list(series)} in {years[0]}-{years[1]}")
-    return rows
+    return read_table(spark, table, root).where(wanted)
 
 
 def missing_series(wanted: DataFrame, present: DataFrame, key: str = "series_id") -> DataFrame:
@@ -49,6 +45,17 @@ def missing_series(wanted: DataFrame, present: DataFrame, key: str = "series_id"
     return wanted.select(key).distinct().join(present.select(key).distinct(), key, "left_anti")
 
 
+def has_files(spark: SparkSession, root: str) -> bool:
+    """Whether anything is stored below ``root``, which need not exist."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return not files.select("path").isEmpty()
+
+
 def file_inventory(spark: SparkSession, root: str, keys: Sequence[str] = ()) -> DataFrame:
     """``(keys..., path, modified, length)`` of the files below ``root``. File contents are not read."""
     schema = T.StructType(_FILE_COLUMNS + [T.StructField(key, T.StringType()) for key in keys])

@@ -1,13 +1,16 @@
 import json
+from datetime import date
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import PRICE, price_rows, rows
+from helpers import PRICE, months, price_rows, rows
 from marketframe import schemas as S
 from marketframe.operators.quality import DataQualityError
 from marketframe.plans.backtest import export_analyses, run_backtest
+from marketframe.operators.risk import risk_free_rate
+from marketframe.plans.regime import run_regimes, stored_macro
 from marketframe.plans.loads import backfill_prices, load_fundamentals, load_macro, load_quotes
 from marketframe.schemas import dims
 from marketframe.sources import landed
@@ -87,3 +90,30 @@ def test_nested_results_survive_the_round_trip(spark, path):
     Path(path("r.json")).write_text(json.dumps(document))
     row = stored.read_results(spark, path("r.json")).first()
     assert (row.symbol, row.rolling_sharpe[0].date) == ("META", "2024-01-01")
+
+
+def test_stored_tables_to_regime_summary(spark, path):
+    """Landed documents to tables, and from the tables to the rate and the regime summary."""
+    observed = months(40, date(2022, 1, 1))
+    document = {
+        series: {
+            "series_id": series, "description": "d", "units": "u",
+            "observations": [{"date": d.isoformat(), "value": str(base + step * i)} for i, d in enumerate(observed)],
+        }
+        for series, base, step in (("GS10", 3.0, 0.05), ("CPIAUCSL", 280.0, 2.0), ("UNRATE", 6.0, 0.0), ("FEDFUNDS", 5.0, 0.0))
+    }
+    load_macro(spark, write(path("m.json"), document), path("macro"))
+    Path(path("in")).mkdir()
+    for i, symbol in enumerate(("META", "GOOGL", "MSFT", "AMZN")):
+        closes = walk(30, seed=i)
+        body = {d.isoformat(): {"5. adjusted close": str(c), "6. volume": "7"} for d, c in zip(months(30, date(2022, 12, 1)), closes)}
+        write(path(f"in/{symbol}.json"), {"Monthly Adjusted Time Series": body})
+    symbol = F.regexp_extract("path", "([A-Z]+)[.]json", 1)
+    backfill_prices(spark, path("in"), path("prices"), symbol, "2026-01-01", dims(spark).security)
+
+    table = stored.read_table(spark, S.MACRO, path("macro"))
+    assert risk_free_rate(table).first().rf == pytest.approx(0.05)
+    prices = landed.stored_prices(stored.read_table(spark, S.PRICES, path("prices")))
+    panel, summary = run_regimes(stored_macro(table), prices, path("out"))
+    assert panel.count() == 28  # returns begin in January 2023, macro rows end in April 2025
+    assert [(r.combined_regime, r.n_months) for r in summary.collect()] == [("rising_high_elevated", 17)]

@@ -154,3 +154,16 @@ def test_run_stores_panel_summary_and_chart_tables(spark, path):
     assert spark.read.option("header", True).csv(path("out/regime_summary_csv")).count() == summary.count()
     assert {name: df.count() for name, df in chart_tables(panel, summary).items()}["heatmap"] == 9
     assert compared_groups() == {"AI Builder": ["META", "GOOGL"], "AI Integrator": ["MSFT", "AMZN"]}
+
+
+def test_regions_are_classified_and_followed_separately(spark):
+    data = [(region, s, d, v if region == "east" else v + 3.0) for region in ("east", "west") for s, d, v in macro_rows()]
+    macro = spark.createDataFrame(data, "region string, " + MACRO)
+    wide = R.pivot_series(macro, R.Thresholds().series, by=["region"])
+    labels = R.classify_regimes(wide, region="region")
+    monthly = R.first_per_month(labels, ["region"])
+    assert monthly.count() == 48
+    got = {(r.region, r.unemployment_regime) for r in monthly.collect()}
+    assert got == {("east", "normal"), ("west", "elevated")}
+    runs = R.regime_runs(monthly, by=["region"]).where("region = 'west'").orderBy("run_id").collect()
+    assert [r.combined_regime for r in runs] == ["falling_normal_elevated", "rising_normal_elevated"]

@@ -157,3 +157,13 @@ def test_stream_takes_only_new_files(spark, path):
     land("B", "2024-01-01")
     land("A", "2024-01-02")
     assert run() == [("A", "2024-01-01"), ("A", "2024-01-02"), ("B", "2024-01-01")]
+
+
+def test_loads_into_an_absent_or_empty_table(spark, path):
+    assert not stored.has_files(spark, path("t"))
+    sinks.write_table(macro(spark, FIRST).limit(0), path("t"), S.MACRO, sinks.SKIP)
+    assert not stored.has_files(spark, path("t"))
+    with pytest.raises(ValueError):
+        stored.scan_series(spark, path("t"), ["GS10"], (2020, 2023))
+    sinks.write_table(macro(spark, FIRST), path("t"), S.MACRO, sinks.SKIP)
+    assert len(kept(spark, path("t"))) == 3
