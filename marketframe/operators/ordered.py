@@ -139,12 +139,10 @@ def _descending(order: str | Column) -> Column:
     return F.col(order).desc_nulls_last() if isinstance(order, str) else order.desc_nulls_last()
 
 
-def carry_over_segments(
-    df: DataFrame, by: Sequence[str], segments: Segments | None
-) -> tuple[DataFrame, list[str]]:
-    """Tag segments and return the finer key ``by + segment`` for two-level (mergeable) aggregation."""
+def by_segment(df: DataFrame, by: Sequence[str], segments: Segments | None) -> tuple[DataFrame, list[str]]:
+    """Tagged rows and the finer key for two-level aggregation; without segments the rows and key as they are."""
     if segments is None:
-        return df.withColumn(_SEGMENT, F.lit(0)), [*by, _SEGMENT]
+        return df, list(by)
     return segments.tag(df).drop("__hot"), [*by, _SEGMENT]
 
 

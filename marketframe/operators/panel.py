@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketframe.functions import month_end, simple_return
-from marketframe.operators.ordered import Segments, carry_over_segments, over_recent_rows
+from marketframe.operators.ordered import Segments, by_segment, over_recent_rows
 
 
 def names(value: str | Sequence[str]) -> list[str]:
@@ -83,7 +83,7 @@ def max_drawdown(
     ``min(own drawdown, lowest / P - 1)``.
     """
     by = names(by)
-    tagged, fine = carry_over_segments(prices.select(*by, *names(order), value), by, segments)
+    tagged, fine = by_segment(prices.select(*by, *names(order), value), by, segments)
     peaked = running_peak(tagged, fine, order, value)
     pieces = peaked.groupBy(*fine).agg(
         F.min((F.col(value) - F.col("peak")) / F.col("peak")).alias("own"),
@@ -93,8 +93,7 @@ def max_drawdown(
     )
     if segments is not None:
         earlier = W.partitionBy(*by).orderBy(fine[-1]).rowsBetween(W.unboundedPreceding, -1)
-        pieces = pieces.withColumn("carried", F.max("high").over(earlier)).withColumn(
-            "own", F.least("own", (F.col("low") - F.col("carried")) / F.col("carried"))
-        )
-    worst = pieces.groupBy(*by).agg(F.min("own").alias("own"), F.sum("n").alias("n"))
-    return worst.select(*by, F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("own")).alias(name))
+        carried = F.max("high").over(earlier)
+        under = pieces.withColumn("own", F.least("own", (F.col("low") - carried) / carried))
+        pieces = under.groupBy(*by).agg(F.min("own").alias("own"), F.sum("n").alias("n"))
+    return pieces.select(*by, F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("own")).alias(name))

@@ -18,7 +18,7 @@ from marketframe.functions import (
 )
 from marketframe.operators.ordered import Segments, over_recent_rows
 from marketframe.operators.panel import max_drawdown, period_returns
-from marketframe.session import broadcast_if_small
+from marketframe.session import broadcast_if_small, cut_lineage
 
 Rate = float | Column | DataFrame
 
@@ -217,10 +217,11 @@ def beta(stock: DataFrame, market: DataFrame, min_obs: int = C.MIN_RETURNS, stri
     """Covariance of symbol and market returns over the market variance, per symbol.
 
     NULL below ``min_obs`` pairs, for a market without variance and, with ``strict_length``, when the
-    symbol's series and the market's differ in length.
+    symbol's series and the market's differ in length. The market, one row per month, is materialised and
+    counted, so that the symbols' returns need no shuffle by month.
     """
-    other = market.select("month", F.col("ret").alias("market_ret"))
-    pairs = stock.select("symbol", "month", "ret").join(other, "month", "left")
+    other = cut_lineage(market.select("month", F.col("ret").alias("market_ret")))
+    pairs = stock.select("symbol", "month", "ret").join(broadcast_if_small(other), "month", "left")
     stats = pairs.groupBy("symbol").agg(
         F.count("ret").alias("n_stock"),
         F.count(F.when(F.col("ret").isNotNull(), F.col("market_ret"))).alias("n_pairs"),
@@ -229,6 +230,6 @@ def beta(stock: DataFrame, market: DataFrame, min_obs: int = C.MIN_RETURNS, stri
     )
     usable = (F.col("n_pairs") >= min_obs) & (F.col("var") != 0)
     if strict_length:
-        market_length = market.agg(F.count("ret")).scalar()
+        market_length = other.agg(F.count("market_ret")).scalar()
         usable = usable & (F.col("n_stock") == market_length) & (F.col("n_pairs") == market_length)
     return stats.select("symbol", "n_pairs", F.when(usable, F.col("cov") / F.col("var")).alias("beta"))

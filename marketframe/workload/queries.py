@@ -293,7 +293,8 @@ def trailing_sharpe_asof(spark, sf):
 
 @query
 def beta(spark, sf):
-    stock, market = monthly_returns(T.prices(spark, sf)), monthly_returns(T.market(spark, sf))
+    sales = cut_lineage(T.sales_by_month(spark, sf))  # both sides come from one pass over the line items
+    stock, market = monthly_returns(T.brand_prices(sales)), monthly_returns(T.market_prices(sales))
     return risk.beta(stock, market).withColumn("beta", stable_round("beta", 6))
 
 

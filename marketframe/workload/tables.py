@@ -28,7 +28,7 @@ def _brand_number(column: str = "p_brand"):
 
 
 def sales_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(symbol, date, value, volume)``: monthly brand totals, the only pass over the line items."""
+    """``(symbol, date, amount, quantity)``: monthly brand totals."""
     lines = load(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_quantity", "l_extendedprice")
     brands = load(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("symbol"))
     return (
@@ -38,14 +38,24 @@ def sales_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_prices(sales: DataFrame) -> DataFrame:
     """``(symbol, date, close, volume)``: one row per brand and month."""
-    return sales_by_month(spark, sf_dir).select(
+    return sales.select(
         "symbol", "date", (F.col("amount") / F.col("quantity")).alias("close"),
         F.col("quantity").cast("bigint").alias("volume"),
     )
 
 
+def market_prices(sales: DataFrame) -> DataFrame:
+    """``(symbol, date, close)`` of everything together."""
+    close = (F.sum("amount") / F.sum("quantity")).alias("close")
+    return sales.groupBy("date").agg(close).withColumn("symbol", F.lit("MARKET"))
+
+
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brand_prices(sales_by_month(spark, sf_dir))
+
+
 def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per part: very many symbols with missing months."""
     monthly = (
@@ -56,12 +66,6 @@ def part_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("symbol"), "date", "close")
 
 
-def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(symbol, date, close)`` of everything together, from the monthly brand totals."""
-    totals = sales_by_month(spark, sf_dir).groupBy("date")
-    return totals.agg((F.sum("amount") / F.sum("quantity")).alias("close")).withColumn("symbol", F.lit("MARKET"))
-
-
 def security(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = _brand_number("symbol")
     brands = load(spark, sf_dir, "part").select(F.col("p_brand").alias("symbol")).distinct()
