@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from marketframe.llm.bpe import op3_bpe
 from marketframe.llm.quality import op8_quality_rules, quality_sql
+from marketframe.llm.tokenfiles import op4_token_files
 
 LLM_QUERIES = {
+    "op3_bpe": op3_bpe,
+    "op4_token_files": op4_token_files,
     "op8_quality_rules": op8_quality_rules,
 }
 
