@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 # The byte-level pattern that cuts a text into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _REMEMBERED = 400_000
+_ROWS = 500
 _SHIFT = 32
 
 
@@ -232,6 +233,20 @@ def _schema(df: DataFrame, keep: list[str], *extra: T.StructField) -> T.StructTy
     return T.StructType([*(df.schema[k] for k in keep), *extra])
 
 
+def _decode_lists(model: ByteBpe, lists: pa.ListArray) -> pa.StringArray:
+    lists = lists.fill_null([]) if lists.null_count else lists
+    bounds, ids = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    texts = (model.decode(ids[low:high])[0].tobytes().decode("utf-8", "replace") for low, high in zip(bounds[:-1], bounds[1:]))
+    return pa.array(texts, pa.string(), size=len(lists))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so what a task holds besides one incoming batch stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(low, _ROWS)
+
+
 def encode_texts(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
     """``keep`` and ``ids`` (array<int>): the ids of each whole ``text``; an empty array for a null or empty text.
 
@@ -240,7 +255,7 @@ def encode_texts(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = backtracking_encoder(path)
-        for batch in batches:
+        for batch in _slices(batches):
             encoded = [encoder.encode(t) for t in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids_array(encoded)], [*keep, "ids"])
 
@@ -257,30 +272,33 @@ def decode_texts(tokens: DataFrame, path: str, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         for batch in batches:
-            lists = batch.column(len(keep)).fill_null([])
-            bounds = lists.offsets.to_numpy()
-            ids = lists.values.to_numpy(zero_copy_only=False)
-            texts = []
-            for row in range(len(lists)):
-                raw, _ = model.decode(ids[bounds[row] : bounds[row + 1]])
-                texts.append(raw.tobytes().decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string())], [*keep, "decoded"])
+            texts = _decode_lists(model, batch.column(len(keep)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], texts], [*keep, "decoded"])
 
     out = _schema(tokens, keep, T.StructField("decoded", T.StringType()))
     return tokens.select(*keep, F.col("ids").alias("__ids")).mapInArrow(run, out)
 
 
+def round_trip(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
+    """``keep``, ``ids`` and ``decoded`` of every text: both directions in one pass over the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, model = backtracking_encoder(path), load(path)
+        for batch in _slices(batches):
+            ids = ids_array([encoder.encode(t) for t in batch.column(len(keep)).to_pylist()])
+            columns = [*batch.columns[: len(keep)], ids, _decode_lists(model, ids)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "ids", "decoded"])
+
+    extra = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, _schema(docs, keep, *extra))
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
-def round_trip(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
-    """``keep``, ``ids`` and ``decoded`` of every text."""
-    return decode_texts(encode_texts(docs, path, keep), path, [*keep, "ids"])
-
-
 def digests(coded: DataFrame) -> DataFrame:
     return coded.select(
         "doc_id",
