@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marketframe.llm.bpe import op3_bpe
+from marketframe.llm.neardup import op9_near_duplicates
 from marketframe.llm.quality import op8_quality_rules, quality_sql
 from marketframe.llm.tokenfiles import op4_token_files
 
@@ -10,6 +11,7 @@ LLM_QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_token_files": op4_token_files,
     "op8_quality_rules": op8_quality_rules,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 LLM_ORACLES = {
