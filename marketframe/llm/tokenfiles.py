@@ -1,8 +1,8 @@
 """Token files: equal-length sequences and masks as fixed-size-list batches in Arrow's stream-based file format.
 
 Documents are range partitioned by id; each task encodes its documents in ascending order and writes two files: ``*.tokens.arrow``
-with one row per sequence (``tokens`` fixed_size_list<uint32>, ``mask`` fixed_size_list<uint8>: 1 a token, 0 padding at the end of
-the file) and ``*.docs.arrow`` with the place of each document. As every row has the same length and every batch but the last the
+with one row per sequence (``tokens`` fixed_size_list<uint16>, or uint32 for vocabularies of more than 65,536 ids; ``mask``
+fixed_size_list<bool>: true for a token, false for padding at the end of the file) and ``*.docs.arrow`` with the place of each document. As every row has the same length and every batch but the last the
 same number of rows, any sequence is found by arithmetic and read without copying from a memory map.
 
 A task names its files anew at each attempt and reports them in a manifest that Spark commits, so files of lost or repeated
@@ -48,7 +48,7 @@ class LibraryEncoder(TextEncoder):
         library, tables = Tokenizer.from_file(path), load(path)
         library.no_padding()
         library.no_truncation()
-        self.library = library
+        self.library, self.largest = library, len(tables.offsets) - 2
         self.spaced = np.zeros(len(tables.offsets), bool)
         self.spaced[[int(i) for i, b in zip(tables.ids, tables.bytes) if b.startswith(b" ")]] = True
         super().__init__(lambda piece: self.ids(piece).tobytes(), tables.special, tables.specials)
@@ -105,15 +105,15 @@ def _open(path: str) -> tuple[arrow_fs.FileSystem, str]:
 class _Writer:
     """One pair of files."""
 
-    def __init__(self, folder: str, length: int):
-        self.length, self.left, self.place, self.docs = length, [], 0, []
+    def __init__(self, folder: str, length: int, width: type[np.unsignedinteger]):
+        self.length, self.width, self.left, self.place, self.docs = length, width, [], 0, []
         self.waiting = 0
         system, base = _open(folder)
         system.create_dir(base, recursive=True)
         name = uuid.uuid4().hex
         self.tokens_file, self.docs_file = f"{folder}/{name}.tokens.arrow", f"{folder}/{name}.docs.arrow"
         self.system, self.docs_path = system, f"{base}/{name}.docs.arrow"
-        self.schema = pa.schema([("tokens", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("tokens", pa.list_(pa.from_numpy_dtype(width), length)), ("mask", pa.list_(pa.bool_(), length))])
         self.stream = system.open_output_stream(f"{base}/{name}.tokens.arrow")
         self.file = pa.ipc.new_file(self.stream, self.schema)
 
@@ -140,8 +140,8 @@ class _Writer:
         self.left, self.waiting = [rest.tobytes()], len(rest)
 
     def _batch(self, values: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(values)) < real).astype(np.uint8)
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in (values, mask)]
+        columns = values.astype(self.width), np.arange(len(values)) < real
+        lists = [pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in columns]
         self.file.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
 
     def close(self) -> tuple[int, int, str, str]:
@@ -163,6 +163,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, length: int = 20
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = library_encoder(vocabulary), np.uint32(end_id).tobytes()
+        width = np.uint16 if max(encoder.largest, end_id) < 1 << 16 else np.uint32
         part, roll, writer, closed = TaskContext.get().partitionId(), 0, None, []
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -170,7 +171,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, length: int = 20
             for low in range(0, len(texts), 2000):
                 for doc_id, ids in zip(numbers[low : low + 2000], encoder.encode_all(texts[low : low + 2000])):
                     if writer is None:
-                        writer = _Writer(folder, length)
+                        writer = _Writer(folder, length, width)
                     writer.add(doc_id, ids + end)
                     if writer.place >= _FILE_TOKENS:
                         closed.append((part, roll, *writer.close()))
@@ -203,23 +204,23 @@ class TokenFile:
         self.length = self.file.schema.field("tokens").type.list_size
 
     def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens and mask of one sequence, as views."""
+        """Tokens and mask of one sequence; the tokens are a view of the file."""
         batch = self.file.get_batch(number // _ROWS)
         low = number % _ROWS * self.length
-        tokens, mask = (batch.column(i).values.to_numpy() for i in (0, 1))
-        return tokens[low : low + self.length], mask[low : low + self.length]
+        tokens, mask = (batch.column(i).values.slice(low, self.length) for i in (0, 1))
+        return tokens.to_numpy(), mask.to_numpy(zero_copy_only=False)
 
     def span(self, start: int, count: int) -> np.ndarray:
         """``count`` tokens from ``start`` on, over as many batches as they take."""
         step, parts, end = self.length * _ROWS, [], start + count
         for number in range(start // step, -(-end // step)):
             batch = self.file.get_batch(number)
-            tokens, mask = (batch.column(i).values.to_numpy() for i in (0, 1))
+            tokens, mask = (batch.column(i).values for i in (0, 1))
             low, high = max(start - number * step, 0), min(end - number * step, len(tokens))
-            if not mask[low:high].all():
+            if not mask[high - 1].as_py():
                 raise ValueError("a document reaches into padding")
-            parts.append(tokens[low:high])
-        return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.zeros(0, np.uint32)])
+            parts.append(tokens.slice(low, high - low).to_numpy())
+        return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.zeros(0, np.uint16)])
 
     def close(self) -> None:
         self.source.close()
@@ -239,7 +240,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                     docs = pa.ipc.open_file(source).read_all()
                 starts, counts = docs["start"].to_numpy(), docs["n_tokens"].to_numpy()
                 file = TokenFile(row["tokens_file"])
-                crcs = [zlib.crc32(file.span(int(s), int(n)).tobytes()) for s, n in zip(starts, counts)]
+                crcs = [zlib.crc32(file.span(int(s), int(n)).astype("<u4").tobytes()) for s, n in zip(starts, counts)]
                 file.close()
                 columns = [docs["doc_id"].combine_chunks(), pa.array(starts + row["start"]), pa.array(counts), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
