@@ -299,12 +299,14 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def digests(coded: DataFrame) -> DataFrame:
+def digests(coded: DataFrame, *more: str) -> DataFrame:
+    """Number and digests of each row's ids and decoded text, and further columns."""
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
 
 

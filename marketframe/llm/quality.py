@@ -98,8 +98,9 @@ def repeated_words(words: Column, width: int = 3) -> Column:
     return F.when(count > width, whole).otherwise(0).cast("long")
 
 
-def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
+def measure(docs: DataFrame, keep: list[Column]) -> DataFrame:
     """``keep`` and the counts the rules use, one row per document; a null text has no words and no lines."""
+    names = docs.select(*keep).columns
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def chars(of: str) -> Column:
@@ -109,7 +110,7 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
     return (
         docs.select(*keep, text.alias("__text"), words_of(text).alias("__words"))
         .select(
-            *keep,
+            *names,
             F.size("__words").cast("long").alias("n_words"),
             F.char_length(F.translate("__text", _SPACES, "")).cast("long").alias("word_chars"),
             chars(SYMBOLS).alias("n_symbols"),
@@ -170,7 +171,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float =
     if one label says so; rows without id or quality count for nothing.
     """
     good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
-    holdout = measured.where(~base_failed()).join(good, "doc_id", "left_semi")
+    holdout = measured.where(~base_failed()).join(good, F.col("__id") == F.col("doc_id"), "left_semi")
     rejected = [
         F.array(*[F.sum((make() > c).cast("long")) for c in LADDER]).alias(f"k_{name}") for name, make in RULES.items()
     ]
@@ -196,23 +197,23 @@ def judge(
 ) -> DataFrame:
     """``keep``, the counts, ``base_failed`` and ``kept`` per document (null and repeated rows included, each judged by itself).
 
-    The narrow counts are written once to the shared folder: they serve the tests and the verdicts. A null stratum is a stratum
-    of its own.
+    ``keep`` and the counts are written once to the shared folder: they serve the tests and the verdicts. A null stratum is a stratum
+    of its own. Other columns of ``docs`` are not read; ``keep`` should not name a result.
     """
     spark = docs.sparkSession
-    columns = list(dict.fromkeys([*keep, "doc_id", stratum]))
     path = scratch_path(spark, "quality")
-    measure(docs, columns).write.parquet(path)
+    row = F.struct(*[F.col(k) for k in keep]).alias("__row")
+    measure(docs, [row, F.col("doc_id").alias("__id"), F.col(stratum).alias("__stratum")]).write.parquet(path)
     measured = spark.read.parquet(path)
-    proven = cutoffs(measured, labels, stratum, risk, error)
-    wide = proven.groupBy(F.col(stratum).alias("__stratum")).pivot("rule", list(RULES)).agg(F.min("cutoff"))
+    proven = cutoffs(measured, labels, "__stratum", risk, error)
+    wide = proven.groupBy(F.col("__stratum").alias("__proven")).pivot("rule", list(RULES)).agg(F.min("cutoff"))
     above = [F.coalesce(make() > F.col(f"cut_{name}"), F.lit(False)) for name, make in RULES.items()]
     fails = above[0]
     for rule in above[1:]:
         fails = fails | rule
-    wide = wide.select("__stratum", *[F.col(name).alias(f"cut_{name}") for name in RULES])
-    joined = measured.join(wide, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
-    return joined.select(*keep, *COUNTS, base_failed().alias("base_failed"), (~base_failed() & ~fails).alias("kept"))
+    wide = wide.select("__proven", *[F.col(name).alias(f"cut_{name}") for name in RULES])
+    joined = measured.join(wide, F.col("__stratum").eqNullSafe(F.col("__proven")), "left")
+    return joined.select("__row.*", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & ~fails).alias("kept"))
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from marketframe.llm.bpe import op3_bpe
+from marketframe.llm.mixing import op1_mixing
 from marketframe.llm.neardup import op9_near_duplicates
 from marketframe.llm.quality import op8_quality_rules, quality_sql
+from marketframe.llm.substring import op6_substring_dedup
 from marketframe.llm.tokenfiles import op4_token_files
 
 LLM_QUERIES = {
+    "op1_mixing": op1_mixing,
     "op3_bpe": op3_bpe,
     "op4_token_files": op4_token_files,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
 }
