@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marketframe.llm.bpe import op3_bpe
+from marketframe.llm.katz import op2_katz
 from marketframe.llm.mixing import op1_mixing
 from marketframe.llm.neardup import op9_near_duplicates
 from marketframe.llm.quality import op8_quality_rules, quality_sql
@@ -11,6 +12,7 @@ from marketframe.llm.tokenfiles import op4_token_files
 
 LLM_QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_katz": op2_katz,
     "op3_bpe": op3_bpe,
     "op4_token_files": op4_token_files,
     "op6_substring_dedup": op6_substring_dedup,
