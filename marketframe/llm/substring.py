@@ -3,8 +3,8 @@
 Every window of ``width`` words of every text gets a Rabin-Karp hash. A task first compares the windows of the texts it reads
 together: of equal ones, all but those of the smallest document are settled on the spot, so a passage that many documents share
 leaves each task once. The rest go to the range of hashes they belong to (packed, a few bytes each), where the smallest document of each
-hash is found over the whole corpus and the windows of all others are reported to their documents. There the windows found merge
-into maximal intervals of words, which are cut out.
+hash is found over the whole corpus and the windows of all others return to the slice of texts they came from. There the windows found merge
+into maximal intervals of words, which the documents then lose.
 
 Hashes have 64 bits; two different windows of a corpus of n windows meet with a probability of about n^2 / 2^65.
 """
@@ -16,6 +16,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,140 +27,153 @@ from marketframe.llm.packs import (
 from marketframe.llm.words import hash_words, rolling, row_slices, text_buffers, window_rows
 
 WIDTH = 13
-_SLICE_BYTES = 24_000_000
+_SLICE_BYTES = 12_000_000
 _BUCKET_BYTES = 16_000_000
-_SENT = (
-    "bucket int, hashes binary, windows binary, doc_ids binary, keys binary, firsts binary, doc_id long, doc_key long, spans binary"
-)
-_FOUND = "doc_id long, doc_key long, points binary, spans binary"
+_SENT = "bucket int, slice long, hashes binary, windows binary, doc_ids binary, firsts binary, keys binary"
 _NAMES = [c.split()[0] for c in _SENT.split(", ")]
-_SENT_TYPES = [pa.int32(), *[pa.binary()] * 5, pa.int64(), pa.int64(), pa.binary()]
+_TYPES = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+_SPANS = "doc_id long, doc_key long, spans binary"
+
+
+def _batches(rows: Iterator[tuple], at_most: int) -> Iterator[pa.RecordBatch]:
+    waiting: list[tuple] = []
+    for row in rows:
+        waiting.append(row)
+        if len(waiting) == at_most:
+            yield _batch(waiting)
+            waiting = []
+    if waiting:
+        yield _batch(waiting)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), _TYPES)], _NAMES)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def _runs(points: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal intervals covered by windows that begin at ascending ``points``."""
-    if not len(points):
-        return points, points
-    new = np.concatenate([[True], points[1:] > points[:-1] + width])
-    starts = np.flatnonzero(new)
-    return points[starts], points[np.append(starts[1:], len(points)) - 1] + width
+def _runs(points: np.ndarray, width: int) -> np.ndarray:
+    """Maximal intervals (start, end in turn) covered by windows that begin at ascending ``points``."""
+    starts = np.flatnonzero(np.concatenate([[True], points[1:] > points[:-1] + width]))
+    return np.stack([points[starts], points[np.append(starts[1:], len(points)) - 1] + width], 1).ravel()
+
+
+def _least_owner(order: np.ndarray, sorted_hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The smallest owner of each run of equal hashes, in sorted order."""
+    starts = group_starts(sorted_hashes)
+    return np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(order))))
 
 
 def _send(width: int, buckets: int):
-    def settle(ids: np.ndarray, keys: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
-        words, _, _, first = hash_words(data, offsets)
-        row, at = window_rows(first, width)
+    """Per slice of texts: the windows already settled, with what is known of its texts; and per range of hashes the other windows."""
+
+    def settle(number: int, ids: np.ndarray, keys: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
+        words, _, _, word_first = hash_words(data, offsets)
+        row, at = window_rows(word_first, width)
         if not len(row):
             return
         hashes = rolling(words, width)[at]
+        texts, first = np.unique(row, return_index=True)
         order = np.argsort(hashes)
-        sorted_hashes = hashes[order]
-        starts = group_starts(sorted_hashes)
-        owner = ids[row[order]]
-        least = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(order))))
+        sorted_hashes, owner = hashes[order], ids[row[order]]
+        least = _least_owner(order, sorted_hashes, owner)
         settled = np.sort(order[owner > least])
-        for low, high in _pieces(row[settled]):
-            doc = row[settled[low]]
-            starts_at, ends_at = _runs(at[settled[low:high]] - first[doc], width)
-            spans = pack(np.stack([starts_at, ends_at], 1).ravel())
-            yield (int(ids[doc] % buckets), None, None, None, None, None, int(ids[doc]), int(keys[doc]), spans)
+        yield (
+            number % buckets, number, None, pack_ascending(settled), ids[texts].tobytes(), pack_ascending(first), keys[texts].tobytes()
+        )
         mine = owner == least
         order, sorted_hashes = order[mine], sorted_hashes[mine]
         found, bounds = bucket_bounds(sorted_hashes, buckets)
         for bucket, low, high in zip(found, bounds[:-1], bounds[1:]):
-            part = order[low:high]
-            place = np.argsort(part)
-            part = part[place]
-            docs = np.unique(row[part])
+            place = np.argsort(order[low:high])
+            part = order[low:high][place]
+            here = np.unique(np.searchsorted(first, part, "right") - 1)
             yield (
-                int(bucket), sorted_hashes[low:high][place].tobytes(), pack_ascending(at[part]), ids[docs].tobytes(),
-                keys[docs].tobytes(), pack_ascending(first[docs]), None, None, None,
+                int(bucket), number, sorted_hashes[low:high][place].tobytes(), pack_ascending(part), ids[texts[here]].tobytes(),
+                pack_ascending(first[here]), None,
             )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        number = TaskContext.get().partitionId() << 24
         for batch in batches:
             ids, keys = (batch.column(i).to_numpy() for i in (0, 1))
             data, offsets = text_buffers(batch.column(2))
             for low, high in row_slices(offsets, _SLICE_BYTES):
                 part = offsets[low : high + 1]
-                rows = list(settle(ids[low:high], keys[low:high], data[part[0] : part[-1]], part - part[0]))
-                for start in range(0, len(rows), 2000):
-                    columns = zip(*rows[start : start + 2000])
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _SENT_TYPES)], _NAMES)
+                yield from settle(number, ids[low:high], keys[low:high], data[part[0] : part[-1]], part - part[0])
+                number += 1
+
+    return lambda batches: _batches(rows(batches), 512)
 
-    return run
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All windows of one range of hashes: those that a smaller document has too go back to their slice."""
+
+    def rows() -> Iterator[tuple]:
+        cells, hashes, ids = [], [], []
+        for row in _rows(batches):
+            if row[2] is None:
+                yield row
+                continue
+            windows, first = unpack_ascending(row[3]), unpack_ascending(row[5])
+            cells.append((row[1], windows))
+            hashes.append(np.frombuffer(row[2], np.uint64))
+            ids.append(np.frombuffer(row[4], np.int64)[np.searchsorted(first, windows, "right") - 1])
+        if not cells:
+            return
+        bounds = np.cumsum([0, *map(len, hashes)])
+        hashes, ids = np.concatenate(hashes), np.concatenate(ids)
+        order = np.argsort(hashes)
+        owner = ids[order]
+        again = np.zeros(len(order), bool)
+        again[order[owner > _least_owner(order, hashes[order], owner)]] = True
+        for (number, windows), low, high in zip(cells, bounds[:-1], bounds[1:]):
+            found = windows[again[low:high]]
+            if len(found):
+                yield 0, number, None, pack_ascending(found), None, None, None
 
-def _pieces(sorted_rows: np.ndarray) -> Iterator[tuple[int, int]]:
-    starts = group_starts(sorted_rows)
-    return zip(starts.tolist(), np.append(starts[1:], len(sorted_rows)).tolist())
+    return _batches(rows(), 64)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All windows of one range of hashes: those that a smaller document has too, by document."""
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    names = ["doc_id", "doc_key", "points", "spans"]
-    hashes, ids, keys, points = [], [], [], []
-    for batch in batches:
-        passed = batch.filter(batch.column(8).is_valid())
-        if passed.num_rows:
+def _gather(width: int):
+    """All windows found of some slices, merged into intervals by document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[np.ndarray]] = {}
+        texts = {}
+        for _, number, _, windows, ids, firsts, keys in _rows(batches):
+            found.setdefault(number, []).append(unpack_ascending(windows))
+            if ids is not None:
+                texts[number] = np.frombuffer(ids, np.int64), np.frombuffer(keys, np.int64), unpack_ascending(firsts)
+        for number, (ids, keys, first) in texts.items():
+            windows = np.sort(np.concatenate(found[number]))
+            text = np.searchsorted(first, windows, "right") - 1
+            starts = group_starts(text)
+            ends = np.append(starts[1:], len(text))
+            here = text[starts]
+            spans = [pack(_runs(windows[a:b] - first[t], width)) for a, b, t in zip(starts, ends, here)]
             yield pa.RecordBatch.from_arrays(
-                [passed.column(6), passed.column(7), pa.nulls(passed.num_rows, pa.binary()), passed.column(8)], names
+                [pa.array(ids[here]), pa.array(keys[here]), pa.array(spans, pa.binary())], ["doc_id", "doc_key", "spans"]
             )
-        for cell, windows, doc_ids, doc_keys, firsts in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
-            if cell is None:
-                continue
-            at, first = unpack_ascending(windows), unpack_ascending(firsts)
-            doc = np.searchsorted(first, at, "right") - 1
-            hashes.append(np.frombuffer(cell, np.uint64))
-            ids.append(np.frombuffer(doc_ids, np.int64)[doc])
-            keys.append(np.frombuffer(doc_keys, np.int64)[doc])
-            points.append((at - first[doc]).astype(np.uint32))
-    if not hashes:
-        return
-    hashes, ids, keys, points = (np.concatenate(x) for x in (hashes, ids, keys, points))
-    order = np.argsort(hashes)
-    starts = group_starts(hashes[order])
-    owner = ids[order]
-    least = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(order))))
-    again = order[owner > least]
-    again = again[np.lexsort((points[again], keys[again], ids[again]))]
-    rows = np.stack([ids[again], keys[again]], 1)
-    starts = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])) if len(rows) else np.zeros(0, np.int64)
-    ends = np.append(starts[1:], len(again))
-    for low in range(0, len(starts), 20_000):
-        part, until = starts[low : low + 20_000], ends[low : low + 20_000]
-        cells = [pack_ascending(points[again[a:b]].astype(np.int64)) for a, b in zip(part, until)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[again[part]]), pa.array(keys[again[part]]), pa.array(cells, pa.binary()), pa.nulls(len(part), pa.binary())],
-            names,
-        )
+
+    return run
+
+
+def _intervals(cells: list[bytes] | None) -> np.ndarray:
+    """Disjoint intervals of word numbers, one row each. Equal rows of one id may bring the same intervals more than once."""
+    return np.unique(unpack(cells[0]).reshape(-1, 2), axis=0) if cells else np.zeros((0, 2), np.int64)
 
 
-def _intervals(points: list[bytes] | None, spans: list[bytes] | None, width: int) -> np.ndarray:
-    """Maximal intervals of word numbers, one row each, from the cells found for a document."""
-    parts = [np.zeros((0, 2), np.int64)]
-    for cell in points or []:
-        at = unpack_ascending(cell)
-        parts.append(np.stack([at, at + width], 1))
-    parts += [unpack(cell).reshape(-1, 2) for cell in spans or []]
-    every = np.concatenate(parts)
-    if not len(every):
-        return every
-    every = every[np.argsort(every[:, 0])]
-    reach = np.maximum.accumulate(every[:, 1])
-    new = np.concatenate([[True], every[1:, 0] > reach[:-1]])
-    starts = np.flatnonzero(new)
-    return np.stack([every[starts, 0], reach[np.append(starts[1:], len(every)) - 1]], 1)
-
-
-def _cut(keep: int, names: list[str], width: int, as_text: bool):
+def _cut(keep: int, names: list[str], as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, texts, removals = [], [], [], []
-            for raw, points, spans in zip(*(batch.column(keep + i).to_pylist() for i in range(3))):
+            for raw, spans in zip(*(batch.column(keep + i).to_pylist() for i in range(2))):
                 raw = raw or b""
-                cut = _intervals(points, spans, width)
+                cut = _intervals(spans)
                 words = raw.split()
                 counts.append(len(words))
                 removed.append(int((cut[:, 1] - cut[:, 0]).sum()))
@@ -214,10 +228,11 @@ def remove_repeats(docs: DataFrame, keep: list[str], width: int = WIDTH, as_text
         F.col("doc_id").cast("bigint").alias("doc_id"), key, F.col("text").cast("binary").alias("text")
     )
     sent = numbered.mapInArrow(_send(width, buckets), _SENT).repartitionById(buckets, "bucket")
-    found = sent.mapInArrow(_compare, _FOUND)
-    # At most one cell per range of hashes and task that read the document: bounded by the document's own windows.
+    home = F.pmod(F.xxhash64("slice"), F.lit(buckets)).cast("int")
+    found = sent.mapInArrow(_compare, _SENT).repartitionById(buckets, home).mapInArrow(_gather(width), _SPANS)
+    # One cell per row of the document.
     by_doc = found.groupBy(F.col("doc_id").alias("__id"), F.col("doc_key").alias("__found_key")).agg(
-        F.collect_list("points").alias("__points"), F.collect_list("spans").alias("__spans")
+        F.collect_list("spans").alias("__spans")
     )
     whole = docs.select(*keep, F.col("doc_id").cast("bigint").alias("__doc"), key, F.col("text").cast("binary").alias("__text"))
     joined = whole.join(by_doc, (F.col("__doc") == F.col("__id")) & (F.col("__key") == F.col("__found_key")), "left")
@@ -226,7 +241,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], width: int = WIDTH, as_text
         *(docs.schema[k] for k in keep), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept_text", T.StringType()), T.StructField("removed", span),
     ])
-    return joined.select(*keep, "__text", "__points", "__spans").mapInArrow(_cut(len(keep), out.names, width, as_text), out)
+    return joined.select(*keep, "__text", "__spans").mapInArrow(_cut(len(keep), out.names, as_text), out)
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
