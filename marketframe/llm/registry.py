@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from marketframe.llm.annsearch import op5_multi_index_hashing
 from marketframe.llm.bpe import op3_bpe
+from marketframe.llm.chat import chat_sql, op10_chat_formatting
 from marketframe.llm.katz import op2_katz
 from marketframe.llm.mixing import op1_mixing
 from marketframe.llm.neardup import op9_near_duplicates
@@ -15,11 +17,14 @@ LLM_QUERIES = {
     "op2_katz": op2_katz,
     "op3_bpe": op3_bpe,
     "op4_token_files": op4_token_files,
+    "op5_multi_index_hashing": op5_multi_index_hashing,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 LLM_ORACLES = {
     "op8_quality_rules": quality_sql(),
+    "op10_chat_formatting": chat_sql(),
 }
