@@ -28,8 +28,8 @@ from marketframe.llm.words import hash_words, mix, row_slices, text_buffers
 from marketframe.session import scratch_path
 
 LARGEST = 5
-_SLICE_BYTES = 24_000_000
-_BUCKET_BYTES = 32_000_000
+_SLICE_BYTES = 14_000_000
+_BUCKET_BYTES = 24_000_000
 START, END = mix(np.array([0x5354415254, 0x454E44], np.uint64))
 _CELLS = [f"c{i}" for i in range(7)]
 _ROW = "bucket int, kind string, flush long, " + ", ".join(f"{c} binary" for c in _CELLS)
@@ -75,7 +75,7 @@ def _events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[np.append(0, ends[:-1] + 1)[: len(lengths)]] = START
-    return tokens, before, np.repeat(np.arange(len(lengths)), lengths), lengths
+    return tokens, before, np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), lengths
 
 
 def _send_pairs(buckets: int):
@@ -115,6 +115,11 @@ def _send_pairs(buckets: int):
     return lambda batches: _batches(rows(batches))
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes as they need, to keep."""
+    return values.astype(np.min_scalar_type(int(values.max()))) if len(values) else values
+
+
 def _per_text(text: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
     return np.bincount(text, weights, count)
 
@@ -132,27 +137,29 @@ def _count_pairs(buckets: int):
             text, counts = unpack(text_cell), unpack(count_cell)
             runs = unpack(pair_runs)
             held = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
-            pair = np.repeat(np.arange(len(runs)), runs)
             words.append(np.repeat(np.frombuffer(word_cell, np.uint64), unpack(word_runs)))
-            before.append(np.frombuffer(history_cell, np.uint64))
-            trained.append(np.bincount(pair, np.where(held[text], 0, counts), len(runs)))
-            cells.append((flush, text.astype(np.int32), counts.astype(np.int32), runs, np.frombuffer(bits, np.uint8)))
+            before.append(np.frombuffer(history_cell, np.uint64).copy())
+            trained.append(np.add.reduceat(np.where(held[text], 0, counts), np.cumsum(runs) - runs))
+            cells.append((flush, _narrow(text), _narrow(counts), _narrow(runs), np.frombuffer(bits, np.uint8).copy()))
         if not cells:
             return
         sizes = [len(w) for w in words]
         words, before, trained = (np.concatenate(x) for x in (words, before, trained))
         order = np.lexsort((before, words))
-        sorted_words, sorted_before = words[order], before[order]
-        new_word = np.concatenate([[True], sorted_words[1:] != sorted_words[:-1]])
-        new_pair = new_word | np.concatenate([[True], sorted_before[1:] != sorted_before[:-1]])
-        number = np.empty(len(order), np.int64)
-        number[order] = np.cumsum(new_pair) - 1
+        words, before = words[order], before[order]
+        new_word = np.concatenate([[True], words[1:] != words[:-1]])
+        new_pair = new_word | np.concatenate([[True], before[1:] != before[:-1]])
+        del words
+        number = np.empty(len(order), np.int32)
+        number[order] = np.cumsum(new_pair, dtype=np.int32) - 1
+        del order
         pair_count = np.bincount(number, trained).astype(np.int64)
         first = np.flatnonzero(new_pair)
         word_number = (np.cumsum(new_word) - 1)[first]
         word_count = np.bincount(word_number, pair_count).astype(np.int64)
         of_word = word_count[word_number]  # per distinct pair
-        histories = sorted_before[first]
+        histories = before[first]
+        del before, trained, new_word, new_pair, word_number
 
         def classes(counts: np.ndarray) -> np.ndarray:
             return np.bincount(np.minimum(counts, LARGEST + 2), minlength=LARGEST + 3)[1 : LARGEST + 2]
