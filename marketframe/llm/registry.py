@@ -9,6 +9,7 @@ from marketframe.llm.katz import op2_katz
 from marketframe.llm.mixing import op1_mixing
 from marketframe.llm.neardup import op9_near_duplicates
 from marketframe.llm.quality import op8_quality_rules, quality_sql
+from marketframe.llm.revisits import op7_revisits, revisits_sql
 from marketframe.llm.substring import op6_substring_dedup
 from marketframe.llm.tokenfiles import op4_token_files
 
@@ -19,12 +20,14 @@ LLM_QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_multi_index_hashing": op5_multi_index_hashing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_revisits": op7_revisits,
     "op8_quality_rules": op8_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
 LLM_ORACLES = {
+    "op7_revisits": revisits_sql(),
     "op8_quality_rules": quality_sql(),
     "op10_chat_formatting": chat_sql(),
 }
