@@ -34,9 +34,9 @@ def canonical_url(url: Column) -> Column:
 
 
 def header_map(headers: Column) -> Column:
-    """Names in lower case; of names that differ in case only, the last one stays. Null gives no headers."""
+    """Names in lower case; of names that differ in case only, the last by code point stays. Null gives no headers."""
     entries = F.transform(
-        F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>"))),
+        F.array_sort(F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>")))),
         lambda e: F.struct(F.lower(F.trim(e["key"])).alias("key"), e["value"].alias("value")),
     )
     last = F.filter(
