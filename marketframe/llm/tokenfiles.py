@@ -245,7 +245,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                 columns = [docs["doc_id"].combine_chunks(), pa.array(starts + row["start"]), pa.array(counts), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = placed.select("start", "tokens_file", "docs_file").repartition("tokens_file")
+    # One task per file, however few bytes the list has.
+    spread = placed.select("start", "tokens_file", "docs_file").repartition(max(1, manifest.count()), "tokens_file")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
