@@ -57,7 +57,7 @@ def _tag(headers: Column) -> Column:
     return F.regexp_replace(headers["etag"], r"^[Ww]/", "")
 
 
-def resolve(records: DataFrame, min_hot_rows: int = 1_000_000) -> DataFrame:
+def resolve(records: DataFrame) -> DataFrame:
     """``(record_id, url_key, response_id, state, headers)``, one row per revisit record.
 
     ``records (record_id, url, at, kind, status, headers)``: ``kind`` is "response" or "revisit", ``at`` any ordered time, ``headers``
@@ -72,7 +72,7 @@ def resolve(records: DataFrame, min_hot_rows: int = 1_000_000) -> DataFrame:
         F.when(full, 1).otherwise(0).alias("__full"), _answer(full).alias("__answer"),
     )
     known, unknown = picked.where("url_key IS NOT NULL"), picked.where("url_key IS NULL")
-    segments = find_segments(known, ["url_key"], ["at", "__full", "record_id"], min_hot_rows)
+    segments = find_segments(known, ["url_key"], ["at", "__full", "record_id"])
     rows, by = by_segment(known, ["url_key"], segments)
     # At equal times revisits stand before responses.
     ordered = W.partitionBy(*by).orderBy("at", "__full", "record_id")
