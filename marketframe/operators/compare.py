@@ -35,12 +35,12 @@ def chain_members(metrics: DataFrame, security: DataFrame, order: Sequence[str]
 
 
 def value_chain_summary(
-    metrics: DataFrame, security: DataFrame, order: Sequence[str] = C.CHAIN_ORDER, listing: bool = True
+    metrics: DataFrame, security: DataFrame, order: Sequence[str] = C.CHAIN_ORDER, listing: bool = False
 ) -> DataFrame:
-    """Ordered category rows with averages and, as one text cell, the category's symbols in input order.
+    """Ordered category rows with averages; categories outside ``order`` are left out.
 
-    Categories outside ``order`` are left out. For universes too large to list in a cell turn ``listing``
-    off and use the rows of ``chain_members``.
+    The symbols of a category are the rows of ``chain_members``. With ``listing`` they are also one text cell, in input
+    order; this gathers a category in one row, so it is for a dimension known to be small.
     """
     rows = metrics.where(F.col("category").isin(*order))
     measures = [

@@ -71,14 +71,14 @@ def staleness(files: DataFrame, as_of, limits: DataFrame) -> DataFrame:
     )
 
 
-def health(reports: Sequence[DataFrame]) -> DataFrame:
-    """HEALTHY when every report row is OK, else NEEDS_ATTENTION with the issues.
+def health(reports: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """HEALTHY when every report row is OK, else NEEDS_ATTENTION with the issues; overall or per ``by``, such as the as-of day.
 
-    Each report has ``(feed, status, message)``, one row per monitored feed.
+    Each report has ``(by..., feed, status, message)``, one row per monitored feed.
     """
-    rows = reduce(DataFrame.unionByName, [r.select("feed", "status", "message") for r in reports])
+    rows = reduce(DataFrame.unionByName, [r.select(*by, "feed", "status", "message") for r in reports])
     issue = F.when(F.col("status") != "OK", F.concat_ws(": ", "feed", "message"))
-    return rows.agg(
+    return rows.groupBy(*by).agg(
         F.when(F.coalesce(F.every(F.col("status") == "OK"), F.lit(True)), "HEALTHY").otherwise("NEEDS_ATTENTION").alias("health"),
         F.count_if(F.col("status") != "OK").alias("n_issues"),
         F.array_join(F.array_sort(F.collect_list(issue)), "; ").alias("issues"),

@@ -26,11 +26,13 @@ def fundamentals(
     revenue_tags: Sequence[str] = C.REVENUE_TAGS,
     min_year: int = C.MIN_FISCAL_YEAR,
     stamp: Stamp = None,
+    document_order: Sequence[str] = (),
 ) -> DataFrame:
     """One row per annual capex filing from ``min_year`` on, with that company's revenue of the year.
 
     Revenue comes from the first tag in the list for which the company has any annual filing, whatever
-    its year; the last filing in document order wins within a fiscal year. Companies without capex give
+    its year; the last filing wins within a fiscal year, by ``document_order`` (columns that order a company's documents, such
+    as the path or the landing time; needed when it has several) and then by the position in the document. Companies without capex give
     no row, companies without revenue give NULL revenue and tag. Repeated capex filings are all kept.
 
     Revenue is aggregated to (company, tag, year) before anything is ordered, so choosing the tag looks
@@ -41,7 +43,7 @@ def fundamentals(
     by_year = (
         annual.where(F.col("tag").isin(*revenue_tags))
         .groupBy("cik", priority.alias("priority"), F.col("tag").alias("revenue_tag"), "fy")
-        .agg(F.max_by("val", F.struct("pos", "val")).alias("revenue_usd"))
+        .agg(F.max_by("val", F.struct(*document_order, "pos", "val")).alias("revenue_usd"))
     )
     chosen = by_year.withColumn("best", F.min("priority").over(W.partitionBy("cik"))).where(
         F.col("priority") == F.col("best")

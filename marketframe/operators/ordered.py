@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from marketframe.session import broadcast_if_small, cut_lineage
 
 _SEGMENT, _EDGE = "__segment", "__edge"
-_MAX_PIECES = 512
 _OVERSAMPLE = 20
 
 Expressions = Mapping[str, Callable[[WindowSpec], Column]]
@@ -25,15 +24,19 @@ Expressions = Mapping[str, Callable[[WindowSpec], Column]]
 
 @dataclass(frozen=True)
 class Segments:
-    """Cut points along ``order`` for the hot keys only: at most one row per shuffle partition."""
+    """Cut points along ``order`` for the hot keys only: at most one row per shuffle partition.
+
+    ``longest`` is the number of cuts of the key that has most.
+    """
 
     by: tuple[str, ...]
     order: tuple[str, ...]
     bounds: DataFrame
+    longest: int
 
     def tag(self, df: DataFrame) -> DataFrame:
         """Add the segment number, found by bisection; rows of ordinary keys are all in segment 0."""
-        steps = [2**i for i in reversed(range(_MAX_PIECES.bit_length()))]
+        steps = [2**i for i in reversed(range(self.longest.bit_length()))]
         key = F.struct(*self.order)
 
         def advance(below: Column, step: Column) -> Column:
@@ -50,33 +53,39 @@ class Segments:
 
 
 def find_segments(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], min_rows: int = 1_000_000, pieces: int | None = None
+    df: DataFrame, by: Sequence[str], order: Sequence[str], share: float = 0.5
 ) -> Segments | None:
     """Cut points for keys that outgrow a fair share of the rows, or None when there are none.
 
-    A key is hot above ``min_rows`` and above an even split of the table over the shuffle partitions, so
-    there are fewer hot keys than partitions. The cut points are quantiles of the whole order, taken from
+    A key is hot above an even split of the table over the shuffle partitions, so there are fewer hot keys
+    than partitions. Each is cut into pieces of about ``share`` of such an even split: with more partitions there are
+    more and smaller pieces, whatever the size of the key. The cut points are quantiles of the whole order, taken from
     the hash-selected ordering values of a few rows; they only decide where a key is cut, every row stays.
     They are materialised once, so all later uses agree. ``order`` columns sort ascending, and together
     should be nearly unique: rows equal in all of them stay in one segment.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = min(_MAX_PIECES, pieces or max(8, parts))
-    counts = df.groupBy(*by).agg(F.count("*").alias("__n"))
-    share = counts.agg(F.sum("__n") / F.lit(parts)).scalar()
-    hot = counts.where((F.col("__n") > min_rows) & (F.col("__n") > share))
-    # About pieces * _OVERSAMPLE rows of each hot key, whatever its size.
-    grain = F.greatest((F.col("__n") / (pieces * _OVERSAMPLE)).cast("bigint"), F.lit(1))
+    # Counted once: nothing else is read when no key is hot.
+    counts = cut_lineage(df.groupBy(*by).agg(F.count("*").alias("__n")))
+    even = (counts.agg(F.sum("__n")).first()[0] or 0) / parts
+    hot = counts.where(F.col("__n") > even).withColumn(
+        "__pieces", F.greatest(F.ceil(F.col("__n") / (even * share)), F.lit(2)).cast("int")
+    )
+    if not even or hot.isEmpty():
+        return None
+    # About _OVERSAMPLE rows per piece of each hot key, whatever its size.
+    grain = F.greatest((F.col("__n") / (F.col("__pieces") * _OVERSAMPLE)).cast("bigint"), F.lit(1))
     # Fewer hot keys than partitions by the condition above, so broadcasting them is safe at any size.
     picked = df.select(*by, *order).join(F.broadcast(hot), list(by)).where(F.pmod(F.xxhash64(*order), grain) == 0)
     values = F.array_sort(F.collect_list(F.struct(*order)))
-    found = picked.groupBy(*by).agg(values.alias("__values"))
+    found = picked.groupBy(*by, "__pieces").agg(values.alias("__values"))
     at = F.transform(
-        F.sequence(F.lit(1), F.lit(pieces - 1)),
-        lambda i: F.element_at("__values", F.greatest((F.size("__values") * i / pieces).cast("int"), F.lit(1))),
+        F.sequence(F.lit(1), F.col("__pieces") - 1),
+        lambda i: F.element_at("__values", F.greatest((F.size("__values") * i / F.col("__pieces")).cast("int"), F.lit(1))),
     )
     bounds = cut_lineage(found.select(*by, F.array_distinct(at).alias("__bounds")))
-    return None if bounds.isEmpty() else Segments(tuple(by), tuple(order), bounds)
+    longest = bounds.agg(F.max(F.size("__bounds"))).first()[0]
+    return Segments(tuple(by), tuple(order), bounds, longest) if longest else None
 
 
 def over_recent_rows(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketframe import constants as C
 
 QUOTE_FIELDS = ("symbol", "price", "volume", "change_percent")
+RULE_PATTERN = r": (Missing required field: \w+|Invalid price|Invalid volume|Suspicious change)"
 
 
 class DataQualityError(Exception):
@@ -66,15 +67,19 @@ def check_quotes(quotes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return quotes.select(*keep, who.alias("symbol"), F.explode(errors).alias("error"))
 
 
-def assert_quotes(quotes: DataFrame, shown: int = 20) -> DataFrame:
-    """Blocking form of ``check_quotes``. The exception names the total and the first messages."""
+def assert_quotes(quotes: DataFrame, errors_path: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Blocking form of ``check_quotes``: every error is stored below ``errors_path``, the exception counts them by rule.
+
+    Nothing is stored when all quotes pass. The counts come from the rows stored.
+    """
     assert_nonempty(quotes, "No stock data to validate")
-    errors = check_quotes(quotes)
-    first = [row.error for row in errors.select("error").limit(shown).collect()]
-    if first:
-        more = errors.count() - len(first)
-        raise DataQualityError("; ".join(first) + (f"; and {more} more" if more else ""))
-    return quotes
+    errors, spark = check_quotes(quotes, keep), quotes.sparkSession
+    if errors.isEmpty():
+        return quotes
+    errors.write.mode("overwrite").parquet(errors_path)
+    rule = F.regexp_extract("error", RULE_PATTERN, 1)
+    counts = spark.read.parquet(errors_path).groupBy(rule.alias("rule")).count().orderBy("rule").collect()  # one row per rule
+    raise DataQualityError("; ".join(f"{r.rule}: {r['count']}" for r in counts) + f"; all errors are in {errors_path}")
 
 
 def check_macro(macro: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -38,11 +38,12 @@ class Thresholds:
 
 
 def pivot_series(
-    macro: DataFrame, series: Sequence[str], load_order: str | None = None, by: Sequence[str] = ()
+    macro: DataFrame, series: Sequence[str], load_order: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per date with a column per listed series holding its last non-null value of the date.
 
-    Values of one date are ordered by ``load_order``. Dates on which no listed series has a value give
+    Values of one date are ordered by the columns ``load_order``, such as the extraction time, the file and the position
+    in it; only rows equal in all of them fall back on the larger value. Dates on which no listed series has a value give
     no row. The aggregation combines on the map side, and the value list is given, so there is no extra
     pass to discover it.
     """
@@ -50,7 +51,7 @@ def pivot_series(
 
     def last(name: str) -> Column:
         picked = F.when(F.col("series_id") == name, F.col("value"))
-        position = F.when(F.col("series_id") == name, F.struct(load_order or "date", "value"))
+        position = F.when(F.col("series_id") == name, F.struct(*load_order, "value"))
         return F.max_by(picked, position).alias(name)
 
     return known.groupBy(*by, "date").agg(*[last(name) for name in series])

@@ -11,6 +11,7 @@ from marketframe.operators.panel import period_returns
 from marketframe.operators.quality import assert_nonempty
 from marketframe.operators.risk import Rate, risk_metrics, rolling_sharpe
 from marketframe.sinks.tables import export_csv, export_json
+from marketframe.sources.tables import read_results
 
 
 def backtest(prices: DataFrame, security: DataFrame, spend: DataFrame, rf: Rate) -> DataFrame:
@@ -30,7 +31,7 @@ def run_backtest(
     """
     path = f"{out}/backtest_results_json"
     export_json(backtest(prices, security, spend, rf), path)
-    results = prices.sparkSession.read.schema(S.RESULTS).json(path)
+    results = read_results(prices.sparkSession, path)
     assert_nonempty(results, "No backtest results generated")
     export_csv(compare.category_stats(results), f"{out}/category_results")
     return results
@@ -39,7 +40,7 @@ def run_backtest(
 def analyses(results: DataFrame, security: DataFrame, spend: DataFrame) -> dict[str, DataFrame]:
     """The report tables over result records, by export name."""
     premium = compare.group_premium(results)
-    chain = compare.value_chain_summary(results, security)
+    chain = compare.value_chain_summary(results, security, listing=True)  # the dimension is small
     rolling = compare.flatten_points(results.select("symbol", "category", "rolling_sharpe"))
     return {
         "backtest_results": results,

@@ -1,7 +1,11 @@
-"""Feed loads: landed documents through cleaning and checks into the partitioned tables."""
+"""Feed loads: landed documents through cleaning and checks into the partitioned tables and, if named, into the catalog.
+
+Each load stores its normalised records once below the scratch area; checks, table and report read them from there.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +23,8 @@ from marketframe.operators.quality import (
     load_report,
     macro_ranges,
 )
-from marketframe.sinks.tables import OVERWRITE, SKIP, write_table
+from marketframe.session import scratch_path
+from marketframe.sinks.tables import OVERWRITE, SKIP, create_table, register_all, write_table
 from marketframe.sources import landed
 
 
@@ -31,33 +36,67 @@ class Load:
     report: DataFrame
 
 
-def load_quotes(raw: DataFrame, root: str, day: str, expected: DataFrame, stamp: Stamp = None) -> Load:
-    """Text quotes of one day into ``stocks``. A failed check stops the load; a stored day is left alone.
+def _once(records: DataFrame, label: str) -> DataFrame:
+    """The records, parsed and stored once."""
+    path = scratch_path(records.sparkSession, label)
+    records.write.parquet(path)
+    return records.sparkSession.read.parquet(path)
+
+
+def _publish(records: DataFrame, root: str, table: S.Table, mode: str, name: str | None) -> None:
+    """Write the table and, under ``name``, make its partitions visible through SQL."""
+    write_table(records, root, table, mode)
+    if name:
+        spark = records.sparkSession
+        create_table(spark, table, root, name)
+        register_all(spark, name)
+
+
+def load_quotes(
+    raw: DataFrame, root: str, day: str | Column, expected: DataFrame, stamp: Stamp = None, name: str | None = None
+) -> Load:
+    """Text quotes of one day, or of the days in a column, into ``stocks``. Stored days are left alone.
 
-    The report lists every expected symbol as loaded or failed.
+    A failed check stops the load and leaves all errors below ``<root>-errors``. The report lists every expected symbol as
+    loaded or failed.
     """
-    quotes = assert_quotes(landed.normalise_quotes(raw, stamp))
-    write_table(quotes.withColumn("date", F.lit(day)), root, S.STOCKS, SKIP)
+    quotes = assert_quotes(_once(landed.normalise_quotes(raw, stamp), "load_quotes"), f"{root}-errors")
+    date = day if isinstance(day, Column) else F.lit(day)
+    _publish(quotes.withColumn("date", date), root, S.STOCKS, SKIP, name)
     return Load(quotes, load_report(expected, quotes))
 
 
-def load_macro(spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE) -> Load:
+def load_macro(
+    spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE, per_line: bool = False,
+    name: str | None = None,
+) -> Load:
     """Macro documents into ``macro_indicators``, one partition per series and year."""
-    parsed = landed.read_macro_json(spark, path)
-    records = landed.macro_records(parsed, stamp)
+    parsed = landed.read_macro_json(spark, path, per_line)
+    records = _once(landed.macro_records(parsed, stamp), "load_macro")
     assert_nonempty(records, "No macro records extracted: all values missing")
-    write_table(records.withColumn("series", F.col("series_id")), root, S.MACRO, mode)
+    _publish(records.withColumn("series", F.col("series_id")), root, S.MACRO, mode, name)
     return Load(records, check_macro(records, macro_ranges(spark)))
 
 
 def load_fundamentals(
-    spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE
+    spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE, per_line: bool = False,
+    name: str | None = None,
+) -> Load:
+    """Company facts into ``fundamentals``, one partition per company and year; files ascend by path."""
+    docs = landed.read_documents(spark, path, per_line)
+    return load_fundamentals_documents(docs, root, stamp, mode, name, document_order=["path"])
+
+
+def load_fundamentals_documents(
+    docs: DataFrame, root: str, stamp: Stamp = None, mode: str = OVERWRITE, name: str | None = None,
+    capex_tag: str = C.CAPEX_TAG, revenue_tags: Sequence[str] = C.REVENUE_TAGS, min_year: int = C.MIN_FISCAL_YEAR,
+    document_order: Sequence[str] = (),
 ) -> Load:
-    """Company facts into ``fundamentals``, one partition per company and year."""
-    facts = landed.parse_xbrl(landed.read_documents(spark, path), [C.CAPEX_TAG, *C.REVENUE_TAGS])
-    records = fundamentals(annual_only(facts), stamp=stamp)
+    """The same for documents at hand, with the columns that order a company's documents."""
+    facts = annual_only(landed.parse_xbrl(docs, [capex_tag, *revenue_tags]))
+    records = _once(fundamentals(facts, capex_tag, revenue_tags, min_year, stamp, document_order), "load_fundamentals")
     assert_nonempty(records, "No fundamental records extracted")
-    write_table(records, root, S.FUNDAMENTALS, mode)
+    _publish(records, root, S.FUNDAMENTALS, mode, name)
     checked = records.withColumnsRenamed({"capex_usd": "capex", "revenue_usd": "revenue"})
     return Load(records, check_fundamentals(checked))
 
@@ -71,11 +110,13 @@ def backfill_prices(
     expected: DataFrame,
     start: str = C.PRICE_START,
     stamp: Stamp = None,
+    per_line: bool = False,
+    name: str | None = None,
 ) -> Load:
     """Monthly price documents into ``historical_prices``; a symbol's partition is replaced.
 
     ``symbol`` says how to read the symbol from a document's ``path``.
     """
-    records = landed.read_monthly_json(spark, path, symbol, start, end, stamp)
-    write_table(records, root, S.PRICES, OVERWRITE)
+    records = _once(landed.read_monthly_json(spark, path, symbol, start, end, stamp, per_line), "backfill")
+    _publish(records, root, S.PRICES, OVERWRITE, name)
     return Load(records, load_report(expected, records))

@@ -15,8 +15,8 @@ from marketframe.sinks.tables import export_csv, replace
 
 
 def stored_macro(table: DataFrame) -> DataFrame:
-    """The stored macro table with its ISO text date as DATE."""
-    return table.select("series_id", parse_date("date").alias("date"), "value")
+    """The stored macro table with its ISO text date as DATE, and when each row was extracted."""
+    return table.select("series_id", parse_date("date").alias("date"), "value", "extracted_at")
 
 
 def compared_groups() -> dict[str, list[str]]:
@@ -32,7 +32,7 @@ def regime_panel(
     prices: DataFrame,
     groups: Mapping[str, Sequence[str]] | None = None,
     thresholds: R.Thresholds = R.Thresholds(),
-    load_order: str | None = None,
+    load_order: Sequence[str] = ("extracted_at",),
 ) -> DataFrame:
     """The monthly panel from long macro rows and prices.
 
@@ -53,10 +53,11 @@ def run_regimes(
     out: str,
     groups: Mapping[str, Sequence[str]] | None = None,
     thresholds: R.Thresholds = R.Thresholds(),
+    load_order: Sequence[str] = ("extracted_at",),
 ) -> tuple[DataFrame, DataFrame]:
     """Store panel and summary as Parquet and CSV below ``out``; both are returned as stored."""
     spark = macro.sparkSession
-    replace(regime_panel(macro, prices, groups, thresholds), f"{out}/regime_analysis")
+    replace(regime_panel(macro, prices, groups, thresholds, load_order), f"{out}/regime_analysis")
     panel = spark.read.parquet(f"{out}/regime_analysis")
     assert_nonempty(panel, "No monthly data produced: macro and price dates do not meet")
     replace(R.premium_by_regime(panel), f"{out}/regime_summary")

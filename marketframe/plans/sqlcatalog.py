@@ -78,7 +78,6 @@ def moving_average(
     spark: SparkSession,
     tiebreak: Sequence[str] = ("timestamp",),
     keep: Sequence[str] = (),
-    segment_rows: int = 1_000_000,
     **_,
 ) -> DataFrame:
     """Mean price of the row and the two before it, per symbol in trading-day order.
@@ -87,7 +86,7 @@ def moving_average(
     """
     order = ["trading_day", *tiebreak]
     rows = spark.table("stocks").select(*dict.fromkeys(["symbol", *order, "price", *keep]))
-    segments = find_segments(rows, ["symbol"], order, segment_rows)
+    segments = find_segments(rows, ["symbol"], order)
     averaged = rolling_mean(rows, "symbol", order, "price", 3, name="mean", segments=segments)
     tiebreak_only = [c for c in tiebreak if c not in ("symbol", "trading_day", "price", *keep)]
     listed = averaged.select(

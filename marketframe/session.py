@@ -60,5 +60,5 @@ def broadcast_if_small(df: DataFrame, limit: int = 100_000, rows_of: DataFrame |
     The rows counted are those of ``rows_of`` when that is a cheaper upper bound. Size estimates of aggregates
     carry the size of their input, so a small result of a large table is not recognised without counting.
     """
-    counted = (df if rows_of is None else rows_of).limit(limit + 1).count()
+    counted = (df if rows_of is None else rows_of).count()
     return F.broadcast(df) if counted <= limit else df

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas as S
-from marketframe.session import broadcast_if_small
+from marketframe.session import broadcast_if_small, scratch_path
 from marketframe.sources.tables import has_files, partitions
 
 OVERWRITE, SKIP, APPEND = "overwrite_partitions", "skip", "append"
@@ -77,10 +77,14 @@ def replace(df: DataFrame, path: str) -> None:
 
 def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> bool:
     """CSV with header and a fixed column list; nothing is written for an empty frame. Says whether it wrote."""
-    rows = df.select(*columns) if columns else df
-    if rows.isEmpty():
+    rows, seen = df.select(*columns) if columns else df, Observation()
+    staged = scratch_path(df.sparkSession, "export")
+    # The plan runs once: rows are staged and counted on the way, and written as text only if there are any.
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+    if not seen.get["rows"]:
         return False
-    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    ready = df.sparkSession.read.schema(rows.schema).parquet(staged)
+    ready.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return True
 
 

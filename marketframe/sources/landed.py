@@ -21,9 +21,9 @@ def read_documents(spark: SparkSession, path: str, per_line: bool = False) -> Da
 # --- daily quotes -------------------------------------------------------------------------------
 
 
-def read_quotes_json(spark: SparkSession, path: str) -> DataFrame:
-    """A landed array of flat quote records; every field is text."""
-    return spark.read.schema(S.RAW_QUOTES).option("multiLine", True).json(path)
+def read_quotes_json(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
+    """Flat quote records, every field text: files that each hold an array, or one record per line."""
+    return spark.read.schema(S.RAW_QUOTES).option("multiLine", not per_line).json(path)
 
 
 def parse_quotes(docs: DataFrame, symbol: str = "symbol", text: str = "value") -> DataFrame:
@@ -71,8 +71,8 @@ def normalise_quotes(raw: DataFrame, stamp: Stamp = None) -> DataFrame:
 # --- macro series -------------------------------------------------------------------------------
 
 
-def read_macro_json(spark: SparkSession, path: str) -> DataFrame:
-    return parse_macro(read_documents(spark, path))
+def read_macro_json(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
+    return parse_macro(read_documents(spark, path, per_line))
 
 
 def parse_macro(docs: DataFrame, text: str = "value") -> DataFrame:
@@ -112,8 +112,8 @@ def macro_missing_counts(parsed: DataFrame, missing: str = ".") -> DataFrame:
 # --- company facts ------------------------------------------------------------------------------
 
 
-def read_xbrl_json(spark: SparkSession, path: str) -> DataFrame:
-    return parse_xbrl(read_documents(spark, path))
+def read_xbrl_json(spark: SparkSession, path: str, tags: list[str] | None = None, per_line: bool = False) -> DataFrame:
+    return parse_xbrl(read_documents(spark, path, per_line), tags)
 
 
 def parse_xbrl(
@@ -121,9 +121,10 @@ def parse_xbrl(
 ) -> DataFrame:
     """Documents keyed by company to one row per filing: ``(symbol, cik, tag, pos, fp, form, fy, val, end, filed)``.
 
-    With ``tags`` only those map entries are exploded. A missing taxonomy, tag or unit gives no rows.
+    With ``tags`` only those map entries are exploded. A missing taxonomy, tag or unit gives no rows. Positions begin anew in
+    every document, so the columns that tell documents apart, such as ``path``, are kept.
     """
-    extra = [c for c in docs.columns if c not in (text, "path")]
+    extra = [c for c in docs.columns if c != text]
     company = docs.select(*extra, F.explode(F.from_json(text, S.XBRL_DOC)).alias("symbol", "c"))
     facts = F.try_element_at("c.facts", F.lit(taxonomy))
     if tags is not None:
@@ -139,9 +140,10 @@ def parse_xbrl(
 
 
 def read_monthly_json(
-    spark: SparkSession, path: str, symbol: Column, start: str | date, end: str | date, stamp: Stamp = None
+    spark: SparkSession, path: str, symbol: Column, start: str | date, end: str | date, stamp: Stamp = None,
+    per_line: bool = False,
 ) -> DataFrame:
-    docs = read_documents(spark, path).withColumn("symbol", symbol)
+    docs = read_documents(spark, path, per_line).withColumn("symbol", symbol)
     return parse_monthly(docs, start, end, stamp)
 
 

@@ -85,6 +85,6 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Nested per-symbol result records from a JSON array or from JSON lines."""
-    return spark.read.schema(S.RESULTS).option("multiLine", True).json(path)
+def read_results(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Nested per-symbol result records: one per line, as ``export_json`` writes them, or files that each hold one array."""
+    return spark.read.schema(S.RESULTS).option("multiLine", not lines).json(path)

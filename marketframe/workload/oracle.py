@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def rnd(expr: str, digits: int) -> str:
-    """Half-up rounding on decimal digits, as ``stable_round`` does it."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 4})), {digits}) AS DOUBLE)"
+    """Half-up rounding of the decimal value; the digits kept before it lie below the noise of sums of doubles."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 9})), {digits}) AS DOUBLE)"
 
 
 def _with(*parts: str) -> str:
@@ -50,12 +50,14 @@ security AS (
          'strategy ' || pos AS ai_strategy, pos
   FROM (SELECT DISTINCT p_brand AS symbol, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS pos FROM part))"""
 SPEND = f"""
-spend AS (
+all_spend AS (
   SELECT p_brand AS symbol, {rnd('sum(p_retailprice) / 1e4', 1)} AS capex_2025_B,
          {rnd('sum(p_retailprice) * 1.5::DOUBLE / 1e4', 1)} AS capex_2026_B,
          CAST(sum(p_size) % 90 + 10 AS INTEGER) AS ai_pct,
          {rnd('sum(p_retailprice) * 4 / 1e4', 1)} AS revenue_2025_B
-  FROM part WHERE CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) <= 12 GROUP BY 1)"""
+  FROM part GROUP BY 1),
+spend AS (
+  SELECT * FROM all_spend WHERE symbol IN (SELECT p_brand FROM part GROUP BY 1 HAVING sum(p_size) % 2 = 1))"""
 MACRO = """
 macro_lines AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date, avg(l_extendedprice) / 200 AS cpi,
@@ -117,7 +119,7 @@ efficiency AS (
          {rnd('p.capex_2026_B / p.revenue_2025_B * 100', 1)} AS capex_to_revenue_pct,
          CASE WHEN p.capex_2026_B * p.ai_pct > 0
               THEN m.sharpe_ratio / (p.capex_2026_B * p.ai_pct / 100) * 100 ELSE 0.0 END AS eff
-  FROM metrics m JOIN spend p ON p.symbol = m.symbol)"""
+  FROM metrics m JOIN all_spend p ON p.symbol = m.symbol)"""
 EFFICIENCY_PARTS = (*METRIC_PARTS, EFFICIENCY)
 
 PREMIUM = f"""
@@ -293,15 +295,26 @@ WHERE series_id IN ('GS10', 'UNRATE') AND year BETWEEN 1997 AND 1999""")
 for _name, _first in (("partition_roundtrip", 2000), ("skip_existing", 1999)):
     _add(_name, (MACRO,), f"""
 SELECT {_STORED}, month, {rnd(f'value + CASE WHEN year >= {_first} THEN 1 ELSE 0 END', 6)} AS value FROM macro""")
+_TOTALS = f"trading_day AS date, symbol, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume, {rnd('sum(price)', 4)} AS price"
 _add("incremental_load", (QUOTES,), f"""
-SELECT trading_day AS date, symbol, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume, {rnd('sum(price)', 4)} AS price
-FROM quotes GROUP BY 1, 2""")
+SELECT {_TOTALS} FROM (
+  SELECT * FROM quotes WHERE trading_day < '2024-01-20' UNION ALL SELECT * FROM quotes WHERE volume % 5 = 0 AND trading_day < '2024-01-20'
+  UNION ALL SELECT * FROM quotes WHERE volume % 2 = 0 AND trading_day >= '2024-01-20') GROUP BY 1, 2""")
+_add("load_quotes_run", (QUOTES,), f"""
+SELECT {_TOTALS} FROM quotes WHERE price > 0 AND volume >= 0 AND abs(change_percent) <= 50 GROUP BY 1, 2""")
+ORACLES["load_macro_run"], ORACLES["load_fundamentals_run"] = ORACLES["macro_parse"], ORACLES["fundamentals"]
+ORACLES["backfill_run"] = ORACLES["prices_clean"]
 _METRIC_COLUMNS = """symbol, category, ai_strategy, annualized_return, annualized_volatility, sharpe_ratio, max_drawdown,
        months_analyzed, start_date, end_date, capex_2025_B, capex_2026_B, ai_pct_of_capex, est_ai_spend_2026_B"""
 _add("csv_roundtrip", METRIC_PARTS, f"SELECT {_METRIC_COLUMNS} FROM metrics")
 _add("results_roundtrip", ROLLING_PARTS, "SELECT symbol, strftime(date, '%Y-%m-%d') AS date, rolling_sharpe_12m FROM rolling")
-for _name in ("catalog_partitions", "file_inventory"):
-    _add(_name, (MACRO,), "SELECT series_id AS series, CAST(year AS VARCHAR) AS year, count(*) AS n FROM macro GROUP BY 1, 2")
+_add("catalog_partitions", (MACRO,), "SELECT series_id AS series, CAST(year AS VARCHAR) AS year, count(*) AS n FROM macro GROUP BY 1, 2")
+# The second file of a partition holds its even months; a year without any keeps its first file as the newest.
+_add("file_inventory", (MACRO,), f"""
+SELECT series_id AS series, CAST(year AS VARCHAR) AS year,
+       CASE WHEN count(*) FILTER (month % 2 = 0) > 0 THEN count(*) FILTER (month % 2 = 0) ELSE count(*) END AS n,
+       {rnd('CASE WHEN count(*) FILTER (month % 2 = 0) > 0 THEN sum(value + 1) FILTER (month % 2 = 0) ELSE sum(value) END', 4)} AS total
+FROM macro GROUP BY 1, 2""")
 
 # --- returns and risk ---------------------------------------------------------------------------
 
@@ -390,6 +403,8 @@ _add("nest_flatten", ROLLING_PARTS, "SELECT * FROM rolling")
 
 _add("macro_pivot", (MACRO, PIVOT), "SELECT date, " + ", ".join(
     f"{rnd(c, 6)} AS {c}" for c in ("GS10", "CPIAUCSL", "UNRATE", "FEDFUNDS")) + " FROM wide")
+_add("macro_pivot_reloads", (MACRO, PIVOT), "SELECT date, " + ", ".join(
+    f"{rnd(f'{c} * (1 - 3 / 10)', 6)} AS {c}" for c in ("GS10", "CPIAUCSL", "UNRATE", "FEDFUNDS")) + " FROM wide")
 _add("regimes", (MACRO, PIVOT, REGIMES), f"SELECT * REPLACE ({rnd('fedfunds', 6)} AS fedfunds) FROM regimes")
 _BRANDS = [f"Brand#{n}" for n in (1, 6, 11, 16, 21, 2, 7, 12, 17, 22)]
 _PER_SYMBOL = ", ".join(f"max(sharpe) FILTER (symbol = '{b}') AS \"{b}_sharpe\"" for b in _BRANDS)
@@ -439,6 +454,7 @@ UNION ALL SELECT quote_id, symbol, symbol || ': Invalid price: $0' FROM checked
 UNION ALL SELECT quote_id, symbol, symbol || ': Invalid volume: ' || volume FROM checked WHERE volume < 0
 UNION ALL SELECT quote_id, symbol, symbol || ': Suspicious change: ' || change_percent || '%' FROM checked
 WHERE change_percent < -50 OR change_percent > 50""")
+ORACLES["dq_quote_errors_stored"] = ORACLES["dq_quotes"]
 _add("dq_macro", (MACRO,), """
 , ranges(sid, low, high) AS (VALUES ('GS10', 0, 15), ('CPIAUCSL', 100, 400), ('UNRATE', 0, 20), ('FEDFUNDS', 0, 25)),
 stats AS (
@@ -472,12 +488,12 @@ FROM graded g LEFT JOIN quote_files q ON q.day = g.day AND q.path = g.path GROUP
 _add("staleness", (STALE,), "SELECT * FROM stale")
 _add("health", (QUOTES, NEWEST, COMPLETE, STALE), """
 , reports AS (
-  SELECT 'quotes' AS feed, status, message FROM graded WHERE day = DATE '2024-01-30'
-  UNION ALL SELECT feed, status, message FROM stale)
-SELECT CASE WHEN count(*) FILTER (status <> 'OK') = 0 THEN 'HEALTHY' ELSE 'NEEDS_ATTENTION' END AS health,
+  SELECT day, 'quotes' AS feed, status, message FROM graded
+  UNION ALL SELECT day, feed, stale.status, stale.message FROM stale, graded)
+SELECT day, CASE WHEN count(*) FILTER (status <> 'OK') = 0 THEN 'HEALTHY' ELSE 'NEEDS_ATTENTION' END AS health,
        count(*) FILTER (status <> 'OK') AS n_issues,
        string_agg(feed || ': ' || message, '; ' ORDER BY feed || ': ' || message) FILTER (status <> 'OK') AS issues
-FROM reports""")
+FROM reports GROUP BY day""")
 
 # --- SQL catalogue ------------------------------------------------------------------------------
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from marketframe.operators import compare, freshness, quality, regimes, risk
 from marketframe.operators.fundamentals import annual_only, fundamentals
 from marketframe.operators.ordered import first_per_key
 from marketframe.operators.panel import max_drawdown, monthly_returns, period_returns, rolling_mean
-from marketframe.plans import backtest, regime, sqlcatalog
+from marketframe.plans import backtest, loads, regime, sqlcatalog
 from marketframe.session import cut_lineage, scratch_path
 from marketframe.sinks import tables as sinks
 from marketframe.sources import landed
@@ -62,12 +61,12 @@ def _rate(spark, sf):
 
 def _metrics(spark, sf, with_spend=False):
     return risk.risk_metrics(
-        T.prices(spark, sf), T.security(spark, sf), T.spend(spark, sf) if with_spend else None, rf=_rate(spark, sf)
+        T.prices(spark, sf), T.security(spark, sf), T.known_spend(spark, sf) if with_spend else None, rf=_rate(spark, sf)
     )
 
 
 def _regimes(spark, sf):
-    wide = regimes.pivot_series(T.macro(spark, sf), T.THRESHOLDS.series)
+    wide = regimes.pivot_series(T.macro(spark, sf), T.THRESHOLDS.series, ["date"])
     return regimes.classify_regimes(wide, T.THRESHOLDS)
 
 
@@ -176,6 +175,7 @@ def skip_existing(spark, sf):
 
 @query
 def incremental_load(spark, sf):
+    """Two streamed loads of new files, then batch writes to the same table: append, skip, overwrite and the partition list."""
     source, root, checkpoint = (scratch_path(spark, label) for label in ("landing", "stocks", "progress"))
     rows = T.quotes(spark, sf).select("kind", *S.STOCKS.columns.names)
     for early in (True, False):
@@ -185,12 +185,98 @@ def incremental_load(spark, sf):
             spark, source, root, S.STOCKS, checkpoint, S.STOCKS.columns,
             lambda df: df.withColumn("date", F.col("trading_day")),
         )
-    loaded = stored.read_table(spark, S.STOCKS, root)
+    whole = rows.drop("kind").withColumn("date", F.col("trading_day"))
+    sinks.write_table(whole.where("volume % 5 = 0"), root, S.STOCKS, sinks.APPEND)
+    sinks.write_table(whole.where("volume % 7 = 0"), root, S.STOCKS, sinks.SKIP)  # every day is there
+    last = whole.where("volume % 2 = 0 AND date >= '2024-01-20'")
+    sinks.write_table(last, root, S.STOCKS, sinks.OVERWRITE)
+    listed = stored.partitions(spark, root, S.STOCKS.keys)
+    return _stock_totals(stored.read_table(spark, S.STOCKS, root).join(listed, "date", "left_semi"))
+
+
+def _stock_totals(loaded):
     return loaded.groupBy("date", "symbol").agg(
         F.count("*").alias("n"), F.sum("volume").alias("volume"), stable_round(F.sum("price"), 4).alias("price")
     )
 
 
+@query
+def load_quotes_run(spark, sf):
+    """Landed quote records through the load into the catalog, read back by SQL."""
+    landing, root = scratch_path(spark, "quotes"), scratch_path(spark, "stocks")
+    text = [F.col(c).cast("string").alias(c) for c in ("symbol", "price", "volume", "trading_day", "previous_close", "change", "change_percent")]
+    good = T.quotes(spark, sf).where("price > 0 AND volume >= 0 AND abs(change_percent) <= 50")
+    good.select(*text).write.json(landing)
+    name = f"stocks_{root[-32:]}"
+    loads.load_quotes(
+        landed.read_quotes_json(spark, landing, per_line=True), root, F.col("trading_day"), T.quotes(spark, sf).select("symbol").distinct(),
+        STAMP, name,
+    )
+    totals = _stock_totals(spark.table(name))
+    return _and_drop(spark, totals, name)
+
+
+def _and_drop(spark, result, name):
+    """The result, stored, once its catalog entry is gone again."""
+    path = scratch_path(spark, "result")
+    result.write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
+
+
+@query
+def load_macro_run(spark, sf):
+    """Landed macro documents through the load into the catalog, read back by SQL."""
+    landing, root = scratch_path(spark, "macro_landing"), scratch_path(spark, "macro")
+    D.macro_documents(spark, sf).write.text(landing)
+    name = f"macro_{root[-32:]}"
+    loads.load_macro(spark, landing, root, STAMP, per_line=True, name=name)
+    columns = "series_id, description, units, date, CAST(year AS BIGINT) AS year, month, value, extracted_at"
+    read = spark.sql(f"SELECT {columns} FROM {name}").withColumn("value", stable_round("value", 6))
+    return _and_drop(spark, read, name)
+
+
+@query
+def load_fundamentals_run(spark, sf):
+    """Landed company documents through the load into the catalog, read back by SQL. Later files win within a year."""
+    landing, root = scratch_path(spark, "filings"), scratch_path(spark, "fundamentals")
+    D.filing_documents(spark, sf).select("value", F.col("doc_pos").alias("landed_order")).write.json(landing)
+    name = f"fundamentals_{root[-32:]}"
+    docs = spark.read.schema("value string, landed_order long").json(landing)
+    loads.load_fundamentals_documents(
+        docs, root, STAMP, name=name, capex_tag=T.CAPEX_TAG, revenue_tags=T.REVENUE_TAGS, min_year=T.MIN_YEAR,
+        document_order=["landed_order"],
+    )
+    columns = "cik, symbol, CAST(year AS BIGINT) AS year, capex_usd, revenue_usd, revenue_tag, period_end, filed, extracted_at"
+    return _and_drop(spark, spark.sql(f"SELECT {columns} FROM {name}"), name)
+
+
+@query
+def backfill_run(spark, sf):
+    """Landed monthly price documents through the backfill into the catalog, read back by SQL."""
+    landing, root = scratch_path(spark, "monthly"), scratch_path(spark, "prices")
+    D.monthly_documents(spark, sf).write.partitionBy("symbol").text(landing)
+    name = f"prices_{root[-32:]}"
+    symbol = F.url_decode(F.regexp_extract("path", "symbol=([^/]*)/", 1))
+    loads.backfill_prices(
+        spark, landing, root, symbol, "2000-12-31", T.security(spark, sf), "1996-01-01", STAMP, per_line=True, name=name
+    )
+    read = spark.sql(f"SELECT symbol, date, close, volume, extracted_at FROM {name}").withColumn("close", stable_round("close", 6))
+    return _and_drop(spark, read, name)
+
+
+@query
+def dq_quote_errors_stored(spark, sf):
+    """All errors of a load that its checks stopped."""
+    root = scratch_path(spark, "stopped")
+    bad = _bad_quotes(spark, sf)
+    try:
+        quality.assert_quotes(bad, f"{root}-errors", ["quote_id"])
+    except quality.DataQualityError:
+        return spark.read.parquet(f"{root}-errors")
+    raise AssertionError("the checks should have stopped this load")
+
+
 @query
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")
@@ -203,7 +289,7 @@ def results_roundtrip(spark, sf):
     path = scratch_path(spark, "results")
     points = compare.nest_points(_rolling(spark, sf))
     sinks.export_json(points.withColumn("rolling_sharpe", _text_dates("rolling_sharpe")), path)
-    results = spark.read.schema(S.RESULTS).json(path)
+    results = stored.read_results(spark, path)
     return compare.flatten_points(results.select("symbol", "rolling_sharpe"))
 
 
@@ -215,18 +301,20 @@ def catalog_partitions(spark, sf):
     first = stored.partitions(spark, root, S.MACRO.keys).orderBy(*S.MACRO.keys).first()
     sinks.register_partition(spark, name, first.asDict(), f"{root}/series={first.series}/year={first.year}")
     sinks.register_all(spark, name)
-    return spark.table(name).groupBy("series", "year").agg(F.count("*").alias("n"))
+    return _and_drop(spark, spark.table(name).groupBy("series", "year").agg(F.count("*").alias("n")), name)
 
 
 @query
 def file_inventory(spark, sf):
     root = scratch_path(spark, "inventory")
     sinks.write_table(_macro_table(spark, sf), root, S.MACRO)
+    second = _macro_table(spark, sf).where("month % 2 = 0").withColumn("value", F.col("value") + 1)
+    sinks.write_table(second, root, S.MACRO, sinks.APPEND)
     files = stored.file_inventory(spark, root, S.MACRO.keys)
     latest = stored.latest_file(files, S.MACRO.keys)
     rows = stored.with_file(stored.read_table(spark, S.MACRO, root))
     newest = rows.join(latest.select(*S.MACRO.keys, "path"), [*S.MACRO.keys, "path"])
-    return newest.groupBy(*S.MACRO.keys).agg(F.count("*").alias("n"))
+    return newest.groupBy(*S.MACRO.keys).agg(F.count("*").alias("n"), stable_round(F.sum("value"), 4).alias("total"))
 
 
 # --- returns and risk ---------------------------------------------------------------------------
@@ -313,7 +401,7 @@ def category_stats(spark, sf):
 
 @query
 def value_chain_summary(spark, sf):
-    return compare.value_chain_summary(_metrics(spark, sf), T.security(spark, sf))
+    return compare.value_chain_summary(_metrics(spark, sf), T.security(spark, sf), listing=True)  # brands
 
 
 def _premium(spark, sf):
@@ -400,7 +488,17 @@ def nest_flatten(spark, sf):
 
 @query
 def macro_pivot(spark, sf):
-    wide = regimes.pivot_series(T.macro(spark, sf), T.THRESHOLDS.series)
+    wide = regimes.pivot_series(T.macro(spark, sf), T.THRESHOLDS.series, ["date"])
+    return wide.select("date", *[stable_round(c, 6).alias(c) for c in T.THRESHOLDS.series])
+
+
+@query
+def macro_pivot_reloads(spark, sf):
+    """The same dates loaded three times, each time with smaller values: the last load stands."""
+    times = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(f"2024-0{n}-01").alias("at")) for n in (3, 1, 2)]))
+    loads_ = T.macro(spark, sf).select("*", times.alias("load"))
+    falling = loads_.withColumns({"value": F.col("value") * (1 - F.col("load.n") / 10), "extracted_at": F.col("load.at")})
+    wide = regimes.pivot_series(falling, T.THRESHOLDS.series, ["extracted_at"])
     return wide.select("date", *[stable_round(c, 6).alias(c) for c in T.THRESHOLDS.series])
 
 
@@ -455,7 +553,7 @@ def regime_parts(spark, sf):
 @query
 def backtest_run(spark, sf):
     """Prices to stored result records to the master export, read back from CSV."""
-    out, security, spend = scratch_path(spark, "backtest"), T.security(spark, sf), T.spend(spark, sf)
+    out, security, spend = scratch_path(spark, "backtest"), T.security(spark, sf), T.known_spend(spark, sf)
     results = backtest.run_backtest(T.prices(spark, sf), security, spend, _rate(spark, sf), out)
     backtest.export_analyses(results, security, spend, out)
     columns = S.EXPORTS["export_master"]
@@ -467,22 +565,25 @@ def backtest_run(spark, sf):
 def regime_run(spark, sf):
     """Macro series and prices to the stored panel and its stored summary."""
     out = scratch_path(spark, "regimes")
-    _, summary = regime.run_regimes(T.macro(spark, sf), T.prices(spark, sf), out, GROUPS, T.THRESHOLDS)
+    _, summary = regime.run_regimes(T.macro(spark, sf), T.prices(spark, sf), out, GROUPS, T.THRESHOLDS, ["date"])
     return summary
 
 
 # --- quality and freshness ----------------------------------------------------------------------
 
 
-@query
-def dq_quotes(spark, sf):
-    quotes = T.quotes(spark, sf).withColumns(
+def _bad_quotes(spark, sf):
+    return T.quotes(spark, sf).withColumns(
         {
             "price": F.when(F.col("price") >= 0.1, F.col("price")),
             "volume": F.col("volume") - 5000,
         }
     )
-    return quality.check_quotes(quotes, keep=["quote_id"])
+
+
+@query
+def dq_quotes(spark, sf):
+    return quality.check_quotes(_bad_quotes(spark, sf), keep=["quote_id"])
 
 
 @query
@@ -500,7 +601,7 @@ def dq_fundamentals(spark, sf):
 @query
 def missing_series(spark, sf):
     """Brands of the catalogue without spending data."""
-    return stored.missing_series(T.security(spark, sf), T.spend(spark, sf), "symbol")
+    return stored.missing_series(T.security(spark, sf), T.known_spend(spark, sf), "symbol")
 
 
 @query
@@ -510,7 +611,7 @@ def record_counts(spark, sf):
 
 @query
 def load_report(spark, sf):
-    return quality.load_report(T.security(spark, sf), T.spend(spark, sf))
+    return quality.load_report(T.security(spark, sf), T.known_spend(spark, sf))
 
 
 def _quote_files(spark, sf):
@@ -561,8 +662,10 @@ def staleness(spark, sf):
 
 @query
 def health(spark, sf):
-    latest = _completeness(spark, sf).where(F.col("day") == F.lit(date(2024, 1, 30)))
-    return freshness.health([latest.withColumn("feed", F.lit("quotes")), _staleness(spark, sf)])
+    """The roll-up of every day: the day's quotes beside the state of all feeds."""
+    days = _completeness(spark, sf)
+    feeds = F.broadcast(_staleness(spark, sf))  # four feeds
+    return freshness.health([days.withColumn("feed", F.lit("quotes")), days.select("day").join(feeds)], ["day"])
 
 
 # --- SQL catalogue ------------------------------------------------------------------------------

@@ -6,21 +6,26 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketframe.functions import case_label, change_percent, stable_round
 from marketframe.operators.regimes import Thresholds
 
-# Category per brand number modulo five, spending brands, regime cut points of this data.
+# Category per brand number modulo five, regime cut points of this data.
 CATEGORIES = ["Infrastructure", "AI Builder", "AI Integrator", "Control", "Legacy Tech"]
-SPENDING_BRANDS = 12
 THRESHOLDS = Thresholds(inflation_pct=0.5, unemployment_pct=5.0)
 STREAM_TYPES = {"Infrastructure": "CLICK", "AI Builder": "VIEW", "AI Integrator": "ERROR", "Legacy Tech": "PURCHASE"}
 
 
 @lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The scan of one table; remembered so that its schema is looked up once per session."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The scan of one table. Its schema is looked up once per session, its files each time."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _brand_number(column: str = "p_brand"):
@@ -77,7 +82,8 @@ def security(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = load(spark, sf_dir, "part").where(_brand_number() <= SPENDING_BRANDS)
+    """Spending of every brand."""
+    parts = load(spark, sf_dir, "part")
     retail = F.sum("p_retailprice")
     return parts.groupBy(F.col("p_brand").alias("symbol")).agg(
         stable_round(retail / 1e4, 1).alias("capex_2025_B"),
@@ -87,6 +93,12 @@ def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def known_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spending as an incomplete dimension: brands whose parts have an even total size are not in it."""
+    sized = load(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("symbol")).agg(F.sum("p_size").alias("size"))
+    return spend(spark, sf_dir).join(sized.where("size % 2 = 1"), "symbol", "left_semi")
+
+
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows as quotes; several per symbol and day, prices from the event values."""
     k = F.from_json("props", "k int")["k"]

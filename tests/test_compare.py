@@ -32,7 +32,7 @@ CHAIN = {
 
 
 def test_value_chain_summary(spark, golden):
-    out = compare.value_chain_summary(golden, dims(spark).security).collect()
+    out = compare.value_chain_summary(golden, dims(spark).security, listing=True).collect()
     assert [r.category for r in out] == list(CHAIN)
     for r in out:
         rank, stocks, ret, vol, sharpe, n = CHAIN[r.category]

@@ -26,10 +26,10 @@ def skewed(spark):
 
 @pytest.fixture(scope="module")
 def segments(skewed):
-    found = find_segments(skewed, ["symbol"], ["date", "id"], min_rows=500, pieces=16)
+    found = find_segments(skewed, ["symbol"], ["date", "id"])
     assert [r.symbol for r in found.bounds.collect()] == ["HOT"]
     tagged = found.tag(skewed).where("symbol = 'HOT'").groupBy("__segment").count().collect()
-    assert len(tagged) == 16 and max(r["count"] for r in tagged) < 600
+    assert len(tagged) == 15 and max(r["count"] for r in tagged) < 600
     return found
 
 
@@ -37,8 +37,17 @@ def one_per_time(df):
     return df.groupBy("symbol", "date").agg(F.max("close").alias("close"))
 
 
-def test_no_segments_without_a_hot_key(skewed):
-    assert find_segments(skewed, ["symbol"], ["date", "id"], min_rows=10_000) is None
+def test_no_segments_without_a_hot_key(spark, skewed):
+    assert find_segments(skewed, ["id"], ["date", "symbol"]) is None
+    assert find_segments(skewed.limit(0), ["symbol"], ["date", "id"]) is None
+
+
+def test_a_key_is_cut_into_as_many_pieces_as_the_share_asks_for(skewed):
+    """More than 512 pieces, and every row in the piece its place in the order says."""
+    found = find_segments(skewed, ["symbol"], ["date", "id"], share=0.005)
+    tagged = [r for r in found.tag(skewed).where("symbol = 'HOT'").orderBy("date", "id").collect()]
+    numbers = [r["__segment"] for r in tagged]
+    assert found.longest > 1000 and numbers == sorted(numbers) and len(set(numbers)) > 1000
 
 
 @pytest.mark.parametrize("n", [2, 3, 40])
@@ -53,7 +62,7 @@ def test_segmented_rolling_mean_equals_the_plain_window(skewed, segments, n):
 @pytest.mark.parametrize("lookback", [5, 400])
 def test_edges_reach_back_over_several_small_segments(skewed, lookback):
     """A lookback longer than a segment takes rows from more than one of them."""
-    split = find_segments(skewed, ["symbol"], ["date", "id"], min_rows=500, pieces=60)
+    split = find_segments(skewed, ["symbol"], ["date", "id"], share=0.12)
     plain = period_returns(skewed, "symbol", ["date", "id"], "close", lag=lookback)
     cut = period_returns(skewed, "symbol", ["date", "id"], "close", lag=lookback, segments=split)
     assert rows(cut, "symbol", "id", "ret") == rows(plain, "symbol", "id", "ret")
@@ -66,7 +75,7 @@ def panel(skewed):
 
 @pytest.fixture(scope="module")
 def panel_segments(panel):
-    return find_segments(panel, ["symbol"], ["date"], min_rows=500, pieces=16)
+    return find_segments(panel, ["symbol"], ["date"])
 
 
 def test_segmented_drawdown_equals_the_plain_one(panel, panel_segments):
@@ -95,7 +104,7 @@ def test_a_key_whose_rows_share_one_time_is_still_cut(spark):
         (F.col("id") % 100).cast("double").alias("close"),
     )
     df = df.unionByName(df.limit(100).withColumn("symbol", F.lit("COLD")))
-    segments = find_segments(df, ["symbol"], ["date", "stamp"], min_rows=500, pieces=16)
+    segments = find_segments(df, ["symbol"], ["date", "stamp"])
     sizes = [r["count"] for r in segments.tag(df).where("symbol = 'HOT'").groupBy("__segment").count().collect()]
     assert len(sizes) == 16 and max(sizes) < 600
     plain = rolling_mean(df, "symbol", ["date", "stamp"], "close", 3)
@@ -121,3 +130,14 @@ def test_ordinal_rank_whole_table_and_per_group_with_heavy_ties(spark):
     grouped = ordinal_rank(df, [F.col("v").desc(), "id"], "rank", by=["g"])
     expected = df.withColumn("rank", F.row_number().over(W.partitionBy("g").orderBy(F.col("v").desc(), "id")).cast("bigint"))
     assert rows(grouped, "id", "rank") == rows(expected, "id", "rank")
+
+
+@pytest.mark.parametrize(("value", "digits", "expected"), [(0.00049996, 3, 0.0), (0.0005, 3, 0.001), (2.675, 2, 2.68), (1.005, 2, 1.01), (-0.125, 2, -0.13), (0.1249999999, 2, 0.12)])
+def test_rounding_moves_only_values_at_a_tie(spark, value, digits, expected):
+    assert spark.range(1).select(stable_round(F.lit(value), digits)).first()[0] == expected
+
+
+def test_rounding_does_not_depend_on_the_order_of_a_sum(spark):
+    sums = [0.1 + 0.2 + 0.7 + 0.005, 0.005 + 0.7 + 0.2 + 0.1, 0.2 + 0.005 + 0.1 + 0.7]
+    got = {spark.range(1).select(stable_round(F.lit(v), 2)).first()[0] for v in sums}
+    assert got == {1.01}

@@ -88,7 +88,7 @@ def test_backtest_from_prices_to_exports(spark, path):
 def test_nested_results_survive_the_round_trip(spark, path):
     document = [{"symbol": "META", "category": "AI Builder", "rolling_sharpe": [{"date": "2024-01-01", "rolling_sharpe_12m": 1.5}]}]
     Path(path("r.json")).write_text(json.dumps(document))
-    row = stored.read_results(spark, path("r.json")).first()
+    row = stored.read_results(spark, path("r.json"), lines=False).first()
     assert (row.symbol, row.rolling_sharpe[0].date) == ("META", "2024-01-01")
 
 

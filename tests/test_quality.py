@@ -1,3 +1,4 @@
+from pathlib import Path
 from datetime import date, datetime
 
 import pytest
@@ -28,14 +29,15 @@ def test_a_missing_column_counts_as_missing_on_every_row(spark):
     assert [r.error for r in quality.check_quotes(df).collect()] == ["A: Missing required field: volume"]
 
 
-def test_blocking_check(spark):
+def test_blocking_check(spark, path):
     good = spark.createDataFrame([("A", 1.0, 1, 0.0)], QUOTE)
-    assert quality.assert_quotes(good) is good
+    assert quality.assert_quotes(good, path("none")) is good and not Path(path("none")).exists()
     with pytest.raises(quality.DataQualityError, match="No stock data"):
-        quality.assert_quotes(good.limit(0))
+        quality.assert_quotes(good.limit(0), path("none"))
     bad = spark.range(30).select(F.concat(F.lit("S"), "id").alias("symbol"), F.lit(-1.0).alias("price"), F.lit(1).cast("bigint").alias("volume"), F.lit(0.0).alias("change_percent"))
-    with pytest.raises(quality.DataQualityError, match="and 10 more"):
-        quality.assert_quotes(bad)
+    with pytest.raises(quality.DataQualityError, match="Invalid price: 30; all errors are in"):
+        quality.assert_quotes(bad, path("errors"))
+    assert spark.read.parquet(path("errors")).count() == 30
 
 
 def test_macro_rules(spark):

@@ -19,7 +19,7 @@ def macro_rows(n=24, unemployment=4.0, yoy=None, funds=4.5):
 
 
 def classify(spark, data, series=tuple(R.Thresholds().series)):
-    return R.classify_regimes(R.pivot_series(spark.createDataFrame(data, MACRO), series)).orderBy("date").collect()
+    return R.classify_regimes(R.pivot_series(spark.createDataFrame(data, MACRO), series, ["date"])).orderBy("date").collect()
 
 
 def test_rate_needs_six_months_before_it_can_rise(spark):
@@ -52,7 +52,7 @@ def test_pivot_keeps_the_last_loaded_non_null_value(spark):
         [("GS10", date(2024, 1, 1), 1.0, 1), ("GS10", date(2024, 1, 1), 0.5, 2), ("GS10", date(2024, 1, 1), None, 3)],
         MACRO + ", pos int",
     )
-    assert R.pivot_series(df, ["GS10"], "pos").first().GS10 == 0.5
+    assert R.pivot_series(df, ["GS10"], ["pos"]).first().GS10 == 0.5
 
 
 def test_first_regime_row_of_a_month_counts(spark):
@@ -130,26 +130,26 @@ def prices(spark, n, symbols=("META", "GOOGL", "MSFT", "AMZN")):
 
 def test_panel_is_all_null_with_six_months_and_complete_with_more(spark):
     macro = spark.createDataFrame(macro_rows(36), MACRO)
-    short = regime_panel(macro, prices(spark, 6)).collect()
+    short = regime_panel(macro, prices(spark, 6), load_order=["date"]).collect()
     assert len(short) == 5 and all(r.builder_premium is None for r in short)
-    full = regime_panel(macro, prices(spark, 30)).orderBy("month").collect()
+    full = regime_panel(macro, prices(spark, 30), load_order=["date"]).orderBy("month").collect()
     assert len(full) == 29 and full[-1].builder_premium is not None
     assert full[-1].avg_builder_sharpe == pytest.approx((full[-1].META_sharpe + full[-1].GOOGL_sharpe) / 2)
 
 
 def test_absent_symbol_is_a_null_column_and_left_out_of_the_mean(spark):
     macro = spark.createDataFrame(macro_rows(36), MACRO)
-    last = regime_panel(macro, prices(spark, 30, ("META", "MSFT", "AMZN"))).orderBy(F.desc("month")).first()
+    last = regime_panel(macro, prices(spark, 30, ("META", "MSFT", "AMZN")), load_order=["date"]).orderBy(F.desc("month")).first()
     assert last.GOOGL_sharpe is None and last.avg_builder_sharpe == pytest.approx(last.META_sharpe)
 
 
 def test_no_macro_series_at_all_raises(spark):
     with pytest.raises(ValueError):
-        regime_panel(spark.createDataFrame([], MACRO), prices(spark, 20))
+        regime_panel(spark.createDataFrame([], MACRO), prices(spark, 20), load_order=["date"])
 
 
 def test_run_stores_panel_summary_and_chart_tables(spark, path):
-    panel, summary = run_regimes(spark.createDataFrame(macro_rows(36), MACRO), prices(spark, 30), path("out"))
+    panel, summary = run_regimes(spark.createDataFrame(macro_rows(36), MACRO), prices(spark, 30), path("out"), load_order=["date"])
     assert panel.count() == 29 and summary.agg(F.sum("n_months")).first()[0] == 18
     assert spark.read.option("header", True).csv(path("out/regime_summary_csv")).count() == summary.count()
     assert {name: df.count() for name, df in chart_tables(panel, summary).items()}["heatmap"] == 9
@@ -159,7 +159,7 @@ def test_run_stores_panel_summary_and_chart_tables(spark, path):
 def test_regions_are_classified_and_followed_separately(spark):
     data = [(region, s, d, v if region == "east" else v + 3.0) for region in ("east", "west") for s, d, v in macro_rows()]
     macro = spark.createDataFrame(data, "region string, " + MACRO)
-    wide = R.pivot_series(macro, R.Thresholds().series, by=["region"])
+    wide = R.pivot_series(macro, R.Thresholds().series, ["date"], by=["region"])
     labels = R.classify_regimes(wide, region="region")
     monthly = R.first_per_month(labels, ["region"])
     assert monthly.count() == 48

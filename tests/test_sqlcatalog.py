@@ -2,6 +2,8 @@ import pytest
 
 from helpers import rows
 from marketframe.plans import sqlcatalog
+from marketframe.functions import stable_round
+from marketframe.operators.panel import rolling_mean
 
 STOCK = "symbol string, trading_day string, price double, volume bigint, change_percent double, timestamp string"
 
@@ -53,8 +55,10 @@ def test_moving_average_of_a_symbol_cut_into_segments(views):
     kept = spark.table("stocks")
     hot.createOrReplaceTempView("stocks")
     try:
-        cut = rows(sqlcatalog.run(spark, "moving_average", keep=("timestamp",), segment_rows=100))
-        assert cut == rows(sqlcatalog.run(spark, "moving_average", keep=("timestamp",))) and len(cut) == 2000
+        cut = rows(sqlcatalog.run(spark, "moving_average", keep=("timestamp",)))
+        plain = rolling_mean(spark.table("stocks"), "symbol", ["trading_day", "timestamp"], "price", 3, name="mean")
+        expected = plain.select("timestamp", "symbol", "trading_day", "price", stable_round("mean", 2).alias("moving_avg_3d"))
+        assert cut == rows(expected) and len(cut) == 2000
     finally:
         kept.createOrReplaceTempView("stocks")
 

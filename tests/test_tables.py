@@ -8,7 +8,7 @@ from helpers import rows
 from marketframe import schemas as S
 from marketframe.sinks import tables as sinks
 from marketframe.sources import tables as stored
-from marketframe.streaming.ingest import ingest_available_now
+from marketframe.streaming.ingest import ingest_available_now, publish_batch
 
 
 def macro(spark, data):
@@ -133,7 +133,7 @@ def test_csv_and_json_exports(spark, path):
     assert not sinks.export_csv(df.limit(0), path("none")) and not Path(path("none")).exists()
     document = [{"symbol": "META", "category": "AI Builder", "sharpe_ratio": 1.99, "rolling_sharpe": [{"date": "2024-01-01", "rolling_sharpe_12m": 2.0}]}]
     Path(path("r.json")).write_text(json.dumps(document))
-    row = stored.read_results(spark, path("r.json")).first()
+    row = stored.read_results(spark, path("r.json"), lines=False).first()
     assert row.rolling_sharpe[0].rolling_sharpe_12m == 2.0 and row.capex_2026_B is None
 
 
@@ -167,3 +167,31 @@ def test_loads_into_an_absent_or_empty_table(spark, path):
         stored.scan_series(spark, path("t"), ["GS10"], (2020, 2023))
     sinks.write_table(macro(spark, FIRST), path("t"), S.MACRO, sinks.SKIP)
     assert len(kept(spark, path("t"))) == 3
+
+
+def test_result_records_of_many_lines_are_all_read(spark, path):
+    records = spark.range(50).select(F.concat(F.lit("S"), "id").alias("symbol"), F.col("id").cast("double").alias("sharpe_ratio")).coalesce(1)
+    sinks.export_json(records, path("many"))
+    assert stored.read_results(spark, path("many")).where("sharpe_ratio IS NOT NULL").count() == 50
+
+
+def test_a_repeated_batch_changes_nothing_and_batch_writers_share_the_table(spark, path):
+    def stocks(*pairs):
+        row = "price double, previous_close double, change double, change_percent double, volume bigint"
+        data = [(s, 1.0, 1.0, 0.0, 0.0, v, d, d, d) for s, d, v in pairs]
+        return spark.createDataFrame(data, f"symbol string, {row}, trading_day string, timestamp string, date string").select(*S.STOCKS.schema.names)
+
+    def content():
+        return rows(stored.read_table(spark, S.STOCKS, path("t")), "symbol", "date", "volume")
+
+    first, second = stocks(("A", "d1", 1), ("B", "d1", 2)), stocks(("A", "d1", 1), ("C", "d2", 3))
+    for _ in range(2):
+        publish_batch(spark, first, 0, path("t"), S.STOCKS, path("staged"))
+    for _ in range(2):
+        publish_batch(spark, second, 1, path("t"), S.STOCKS, path("staged"))
+    assert content() == [("A", "d1", 1), ("A", "d1", 1), ("B", "d1", 2), ("C", "d2", 3)]
+    sinks.write_table(stocks(("D", "d2", 4)), path("t"), S.STOCKS, sinks.APPEND)
+    sinks.write_table(stocks(("E", "d1", 5), ("E", "d3", 5)), path("t"), S.STOCKS, sinks.SKIP)
+    sinks.write_table(stocks(("F", "d1", 6)), path("t"), S.STOCKS, sinks.OVERWRITE)
+    assert content() == [("C", "d2", 3), ("D", "d2", 4), ("E", "d3", 5), ("F", "d1", 6)]
+    assert rows(stored.partitions(spark, path("t"), S.STOCKS.keys)) == [("d1",), ("d2",), ("d3",)]
