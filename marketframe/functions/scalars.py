@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marketframe import constants as C
 
-_GUARD_DIGITS = 9
+_TIE_WIDTH = 1e-13
 
 
 Stamp = datetime | str | Column | None
@@ -23,11 +23,11 @@ def as_column(value: Column | str) -> Column:
 def stable_round(value: Column | str, digits: int) -> Column:
     """Half-up rounding that does not depend on the order in which partial sums were merged.
 
-    A sum of doubles differs in its last bits between runs on a cluster. Rounding to nine guard digits
-    first maps such neighbours of a tie to the tie itself, so the final digit is reproducible; values that
-    are further from a tie than that noise are rounded as they are.
+    A sum of doubles differs in its last bits between runs on a cluster. Values that lie below a tie by no more than that
+    noise, 1e-13 of themselves, count as the tie, so the final digit is reproducible; all others are rounded once, as they are.
     """
-    return F.round(F.round(as_column(value), digits + _GUARD_DIGITS), digits)
+    number = as_column(value)
+    return F.round(number + number * F.lit(_TIE_WIDTH), digits)
 
 
 def parse_date(value: Column | str) -> Column:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def rnd(expr: str, digits: int) -> str:
-    """Half-up rounding of the decimal value; the digits kept before it lie below the noise of sums of doubles."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,{digits + 9})), {digits}) AS DOUBLE)"
+    """One half-up rounding; what lies below a tie by the noise of a sum of doubles counts as the tie. No negative zero."""
+    return f"(round(CAST({expr} AS DOUBLE) * (1 + 1e-13), {digits}) + 0.0)"
 
 
 def _with(*parts: str) -> str:

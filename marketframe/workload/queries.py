@@ -257,7 +257,7 @@ def backfill_run(spark, sf):
     landing, root = scratch_path(spark, "monthly"), scratch_path(spark, "prices")
     D.monthly_documents(spark, sf).write.partitionBy("symbol").text(landing)
     name = f"prices_{root[-32:]}"
-    symbol = F.url_decode(F.regexp_extract("path", "symbol=([^/]*)/", 1))
+    symbol = F.url_decode(F.url_decode(F.regexp_extract("path", "symbol=([^/]*)/", 1)))  # a folder name inside a URL
     loads.backfill_prices(
         spark, landing, root, symbol, "2000-12-31", T.security(spark, sf), "1996-01-01", STAMP, per_line=True, name=name
     )
