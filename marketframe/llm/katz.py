@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.llm.packs import bucket_bounds, group_starts, pack, text_bytes, unpack
+from marketframe.llm.packs import bucket_bounds, group_starts, pack, pack_ascending, text_bytes, unpack, unpack_ascending
 from marketframe.llm.words import hash_words, mix, row_slices, text_buffers
 from marketframe.session import scratch_path
 
@@ -176,7 +176,9 @@ def _count_pairs(buckets: int):
         for (flush, text, counts, runs, bits), low, high in zip(cells, bounds[:-1], bounds[1:]):
             entry_pair = np.repeat(number[low:high], runs)
             entry_history = histories[entry_pair]
-            total = len(bits) * 8
+            # Only texts that have a word of this range: all ranges together send no more rows than the texts have words.
+            present, place = np.unique(text, return_inverse=True)
+            total, every, text = len(present), text, place
             c2, c1 = pair_count[entry_pair], of_word[entry_pair]
             is_seen = c2 > 0
             lower = ~is_seen
@@ -191,9 +193,9 @@ def _count_pairs(buckets: int):
             small += [_per_text(text[lower], counts[lower], total)]
             yield (
                 0, SUMS, flush, sums[0].tobytes(), sums[1].tobytes(), sums[2].tobytes() if lower.any() else None,
-                pack(np.concatenate(small).astype(np.int64)),
+                pack(np.concatenate(small).astype(np.int64)), pack_ascending(present.astype(np.int64)),
             )
-            yield from _request_rows(flush, entry_history[lower], text[lower], counts[lower], buckets)
+            yield from _request_rows(flush, entry_history[lower], every[lower].astype(np.int64), counts[lower].astype(np.int64), buckets)
 
     return lambda batches: _batches(rows(batches), 16)
 
@@ -298,17 +300,12 @@ def _collect(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = LARGEST
-        texts, sums, small, extra = {}, {}, {}, {}
+        texts, sums, extra = {}, {}, {}
         for _, kind, flush, *cells in _rows(batches):
             if kind == TEXTS:
                 texts[flush] = cells
             elif kind == SUMS:
-                parts = [np.frombuffer(c) if c is not None else 0.0 for c in cells[:3]]
-                width = len(parts[0])
-                have = sums.setdefault(flush, [np.zeros(width) for _ in range(3)])
-                for i, part in enumerate(parts):
-                    have[i] += part
-                small[flush] = small.get(flush, 0) + unpack(cells[3]).reshape(2 * k + 3, width)
+                sums.setdefault(flush, []).append(cells)
             else:
                 at = unpack(cells[0])
                 more = extra.setdefault(flush, {})
@@ -317,8 +314,14 @@ def _collect(model: Model):
         for flush, (numbers, known, held, lengths, *_) in texts.items():
             lengths = unpack(lengths)
             count = len(lengths)
-            base, seen, lower = (s[:count] for s in sums[flush])
-            known_tokens, *classes = small[flush][:, :count]
+            (base, seen, lower), (known_tokens, *classes) = np.zeros((3, count)), np.zeros((2 * k + 3, count), np.int64)
+            for cells in sums.pop(flush):
+                at = unpack_ascending(cells[4])
+                for whole, cell in zip((base, seen, lower), cells[:3]):
+                    if cell is not None:
+                        whole[at] += np.frombuffer(cell)
+                for whole, part in zip((known_tokens, *classes), unpack(cells[3]).reshape(2 * k + 3, len(at))):
+                    whole[at] += part
             pair, unseen, all_unseen = np.array(classes[:k]), np.array(classes[k : 2 * k + 1]), classes[2 * k + 1]
             score = seen + lower + np.log10(model.pair) @ pair + np.log10(model.word) @ unseen[1:]
             score += unseen[0] * math.log10(model.unknown) - (all_unseen - unseen[0]) * math.log10(model.tokens + 1) - base
