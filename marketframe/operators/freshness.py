@@ -19,7 +19,11 @@ def completeness(files: DataFrame, days: DataFrame, expected: int = C.EXPECTED_Q
     without files is a WARNING, a newest file with another record count than ``expected`` an ERROR.
     Prices are gathered only for days in order, so the map never exceeds ``expected`` entries.
     """
-    per_file = files.groupBy("day", "path").agg(F.max("modified").alias("modified"), F.count("*").alias("n"))
+    # Everything below reads this one aggregate, no larger than the days times the files and symbols of a day.
+    entries = files.groupBy("day", "path", "symbol").agg(
+        F.max("modified").alias("modified"), F.count("*").alias("n"), F.max("price").alias("price")
+    )
+    per_file = entries.groupBy("day", "path").agg(F.max("modified").alias("modified"), F.sum("n").alias("n"))
     newest = per_file.groupBy("day").agg(F.max(F.struct("modified", "path", "n")).alias("latest"))
     state = days.select("day").distinct().join(newest, "day", "left")
     found = F.col("latest.n")
@@ -37,7 +41,7 @@ def completeness(files: DataFrame, days: DataFrame, expected: int = C.EXPECTED_Q
     )
     good = graded.where(F.col("path").isNotNull()).select("day", "path")
     # One entry per symbol: aggregating first keeps the map keys unique.
-    quoted = files.join(good, ["day", "path"]).groupBy("day", "symbol").agg(F.max("price").alias("price"))
+    quoted = entries.join(good, ["day", "path"]).groupBy("day", "symbol").agg(F.max("price").alias("price"))
     prices = quoted.groupBy("day").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("symbol", "price")))).alias("prices")
     )

@@ -178,10 +178,12 @@ def trailing_sharpe_asof(
     """
     if null_rf not in ("zero", "null"):
         raise ValueError("null_rf must be 'zero' or 'null'")
+    # One row per symbol and month, read for the months and for the moments: computed once.
+    returns = cut_lineage(returns.select("symbol", "month", "ret"))
     spine = regime_spine(returns, regimes).withColumn("place", _month_number("month"))
     ends = regimes.agg(F.min(_month_number("month")).alias("first"), F.max(_month_number("month")).alias("last"))
 
-    moments = _window_moments(returns.select("symbol", "month", "ret"), "month", n, None)
+    moments = _window_moments(returns, "month", n, None)
     ordered = W.partitionBy("symbol").orderBy("month")
     own = _month_number("month")
     until = F.coalesce(_month_number(F.lead("month").over(ordered)) - 1, ends.select("last").scalar())

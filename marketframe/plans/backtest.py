@@ -10,12 +10,17 @@ from marketframe.operators import compare
 from marketframe.operators.panel import period_returns
 from marketframe.operators.quality import assert_nonempty
 from marketframe.operators.risk import Rate, risk_metrics, rolling_sharpe
+from marketframe.session import cut_lineage
 from marketframe.sinks.tables import export_csv, export_json
 from marketframe.sources.tables import read_results
 
 
 def backtest(prices: DataFrame, security: DataFrame, spend: DataFrame, rf: Rate) -> DataFrame:
-    """Result records: the metrics of each symbol with its rolling Sharpe points nested."""
+    """Result records: the metrics of each symbol with its rolling Sharpe points nested.
+
+    The prices, one row per symbol and period, are materialised: metrics and points both read them.
+    """
+    prices = cut_lineage(prices.select("symbol", "date", "close"))
     metrics = risk_metrics(prices, security, spend, rf)
     rolling = rolling_sharpe(period_returns(prices, drop_missing=True), rf)
     points = compare.nest_points(rolling.withColumn("date", iso_date("date")))
@@ -56,7 +61,7 @@ def analyses(results: DataFrame, security: DataFrame, spend: DataFrame) -> dict[
 def export_analyses(results: DataFrame, security: DataFrame, spend: DataFrame, out: str) -> list[str]:
     """Write each report table as CSV with its fixed column list; tables without rows are not written."""
     frames = analyses(results, security, spend)
-    return [name for name, df in frames.items() if export_csv(df, f"{out}/{name}", S.EXPORTS[name])]
+    return [name for name, df in frames.items() if export_csv(df, f"{out}/{S.EXPORT_FILES.get(name, name)}", S.EXPORTS[name])]
 
 
 def ranking_report(results: DataFrame, spend: DataFrame) -> DataFrame:

@@ -112,8 +112,11 @@ _SPENDING = _struct(
 _POINTS = T.ArrayType(_struct("date string, rolling_sharpe_12m double"))
 RESULTS = T.StructType([*_METRICS, T.StructField("rolling_sharpe", _POINTS), *_SPENDING])
 
-# Column lists of the CSV exports.
-EXPORTS = {
+# Names of exported files that differ from the table's.
+EXPORT_FILES = {"export_master": "powerbi_master"}
+
+# Column lists of the CSV exports, or column -> heading where they differ.
+EXPORTS: dict[str, list[str] | dict[str, str]] = {
     "backtest_results": [
         "symbol", "category", "ai_strategy", "annualized_return", "annualized_volatility", "sharpe_ratio",
         "max_drawdown", "months_analyzed", "start_date", "end_date", "capex_2025_B", "capex_2026_B",
@@ -125,7 +128,9 @@ EXPORTS = {
         "build_or_rent", "value_chain_rank",
     ],
     "category_summary": ["category", "avg_return", "avg_volatility", "avg_sharpe", "stock_count"],
-    "build_vs_rent": ["metric", "left_value", "right_value", "premium"],
+    "build_vs_rent": {
+        "metric": "metric", "left_value": "AI Builders", "right_value": "AI Integrators", "premium": "premium",
+    },
     "capex_efficiency": [
         "symbol", "category", "sharpe", "total_capex_2026", "ai_pct", "ai_spend_2026",
         "capex_to_revenue_pct", "sharpe_per_B",

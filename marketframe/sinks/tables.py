@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -75,9 +75,13 @@ def replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> bool:
-    """CSV with header and a fixed column list; nothing is written for an empty frame. Says whether it wrote."""
-    rows, seen = df.select(*columns) if columns else df, Observation()
+def export_csv(df: DataFrame, path: str, columns: Sequence[str] | Mapping[str, str] | None = None) -> bool:
+    """CSV with header and a fixed column list, or columns with their headings; says whether it wrote.
+
+    Nothing is written for an empty frame.
+    """
+    headings = columns if isinstance(columns, Mapping) else {c: c for c in columns or df.columns}
+    rows, seen = df.select(*[F.col(c).alias(h) for c, h in headings.items()]), Observation()
     staged = scratch_path(df.sparkSession, "export")
     # The plan runs once: rows are staged and counted on the way, and written as text only if there are any.
     rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)

@@ -33,9 +33,14 @@ def scan_series(
     require_any: bool = True,
     table: S.Table = S.MACRO,
 ) -> DataFrame:
-    """Rows of some series and years. Both conditions prune partitions; absent partitions are simply not there."""
-    wanted = F.col(table.keys[0]).isin(*series) & F.col(table.keys[1]).cast("int").between(*years)
-    if require_any and (not has_files(spark, root) or partitions(spark, root, table.keys).where(wanted).isEmpty()):
+    """Rows of some series and years. Both conditions prune partitions; absent partitions are simply not there.
+
+    The check that there are any lists the folders of the wanted series only.
+    """
+    first, second = table.keys
+    wanted = F.col(first).isin(*series) & F.col(second).cast("int").between(*years)
+    there = [folder for folder in (f"{root}/{first}={s}" for s in series) if require_any and has_files(spark, folder)]
+    if require_any and (not there or partitions(spark, there, [second], root).where(F.col(second).cast("int").between(*years)).isEmpty()):
         raise ValueError(f"no data under {root} for series {list(series)} in {years[0]}-{years[1]}")
     return read_table(spark, table, root).where(wanted)
 
@@ -56,16 +61,22 @@ def has_files(spark: SparkSession, root: str) -> bool:
     return not files.select("path").isEmpty()
 
 
-def file_inventory(spark: SparkSession, root: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys..., path, modified, length)`` of the files below ``root``. File contents are not read."""
+def file_inventory(
+    spark: SparkSession, root: str | list[str], keys: Sequence[str] = (), base: str | None = None
+) -> DataFrame:
+    """``(keys..., path, modified, length)`` of the files below ``root``, or below some folders of the table at ``base``.
+
+    File contents are not read.
+    """
     schema = T.StructType(_FILE_COLUMNS + [T.StructField(key, T.StringType()) for key in keys])
-    files = spark.read.format("binaryFile").schema(schema).load(root)
+    reader = spark.read.format("binaryFile").schema(schema)
+    files = (reader.option("basePath", base) if base else reader).load(root)
     return files.select(*keys, "path", F.col("modificationTime").alias("modified"), "length")
 
 
-def partitions(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+def partitions(spark: SparkSession, root: str | list[str], keys: Sequence[str], base: str | None = None) -> DataFrame:
     """Distinct partition key values that hold a file, from the listing alone."""
-    return file_inventory(spark, root, keys).select(*keys).distinct()
+    return file_inventory(spark, root, keys, base).select(*keys).distinct()
 
 
 def latest_file(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:

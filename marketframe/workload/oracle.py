@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from marketframe import constants as C
+
 
 def rnd(expr: str, digits: int) -> str:
     """One half-up rounding; what lies below a tie by the noise of a sum of doubles counts as the tie. No negative zero."""
@@ -477,6 +479,11 @@ _add("dq_fundamentals", (FILINGS, FUNDAMENTALS), """
 SELECT *, CASE WHEN capex_exceeds_revenue > 0 THEN 'capex >= revenue: ' || capex_exceeds_revenue || ' rows' ELSE '' END AS errors,
        capex_exceeds_revenue = 0 AS valid FROM stats""")
 _add("missing_series", (SECURITY, SPEND), "SELECT symbol FROM security WHERE symbol NOT IN (SELECT symbol FROM spend)")
+_SECURITIES = ", ".join(f"({i}, '{s}', '{c}', '{a}')" for i, (s, c, a) in enumerate(C.SECURITIES))
+_add("dimension_join", (), f"""
+SELECT symbol, category, ai_strategy, count(*) AS parts, CAST(sum(p_size) AS BIGINT) AS size
+FROM part JOIN (VALUES {_SECURITIES}) AS v(pos, symbol, category, ai_strategy) ON p_partkey % {len(C.SECURITIES)} = pos
+GROUP BY 1, 2, 3""")
 _add("record_counts", (QUOTES,), "SELECT kind, trading_day, count(*) AS records FROM quotes GROUP BY 1, 2")
 _add("load_report", (SECURITY, SPEND), """
 SELECT symbol, CASE WHEN symbol IN (SELECT symbol FROM spend) THEN 'loaded' ELSE 'failed' END AS status FROM security""")

@@ -558,7 +558,7 @@ def backtest_run(spark, sf):
     backtest.export_analyses(results, security, spend, out)
     columns = S.EXPORTS["export_master"]
     schema = StructType([S.RESULTS[c] for c in columns[:-2]]).add("build_or_rent", StringType()).add("value_chain_rank", IntegerType())
-    return stored.read_csv(spark, f"{out}/export_master", schema)
+    return stored.read_csv(spark, f"{out}/powerbi_master", schema)
 
 
 @query
@@ -604,6 +604,17 @@ def missing_series(spark, sf):
     return stored.missing_series(T.security(spark, sf), T.known_spend(spark, sf), "symbol")
 
 
+@query
+def dimension_join(spark, sf):
+    """Parts dealt to the listed securities: the constant dimension meets a given table."""
+    symbols = F.array(*[F.lit(s) for s, *_ in C.SECURITIES])
+    parts = T.load(spark, sf, "part").select(
+        F.get(symbols, (F.col("p_partkey") % len(C.SECURITIES)).cast("int")).alias("symbol"), "p_size"
+    )
+    totals = parts.groupBy("symbol").agg(F.count("*").alias("parts"), F.sum("p_size").alias("size"))
+    return S.dims(spark).security.join(totals, "symbol").drop("pos")
+
+
 @query
 def record_counts(spark, sf):
     return quality.record_counts(T.quotes(spark, sf), ["kind", "trading_day"])
@@ -626,9 +637,10 @@ def _quote_files(spark, sf):
 
 
 def _completeness(spark, sf):
-    days = T.load(spark, sf, "events").select(F.to_date("ts").alias("day")).distinct()
+    files = cut_lineage(_quote_files(spark, sf))  # the newest quote per symbol and day
+    days = files.select("day").distinct()
     later = days.select(F.date_add("day", 5).alias("day"))
-    return freshness.completeness(_quote_files(spark, sf), days.union(later).distinct(), 18)
+    return freshness.completeness(files, days.union(later).distinct(), 18)
 
 
 @query
