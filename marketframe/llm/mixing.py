@@ -105,7 +105,7 @@ def plan(
     targets = spark.read.parquet(targets_path)
     blocks = round((targets.agg(F.sum("target")).first()[0] or 0) / block)
     quotas = sainte_lague(
-        targets.select("pos", F.lit(0).alias("mix"), F.col("target").alias("votes"), F.lit(blocks).cast("long").alias("total")),
+        targets.select("pos", (F.col("pos") % 1).alias("mix"), F.col("target").alias("votes"), F.lit(blocks).cast("long").alias("total")),
         "pos", "mix",
     ).select("pos", F.col("seats").alias("total"))
 

@@ -176,15 +176,13 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float =
         F.array(*[F.sum((make() > c).cast("long")) for c in LADDER]).alias(f"k_{name}") for name, make in RULES.items()
     ]
     counted = holdout.groupBy(stratum).agg(F.count("*").alias("n"), *rejected)
-    strata = F.broadcast(counted.agg(F.count("*").alias("strata")))  # one row
-    level = F.lit(error) / (F.col("strata") * len(RULES))
+    level = F.lit(error) / (counted.agg(F.count("*")).scalar() * len(RULES))
     tested = (
-        counted.join(strata, how="inner")
-        .select(
-            stratum, "n", "strata",
+        counted.select(
+            stratum, "n",
             F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"k_{name}").alias("ks")) for name in RULES])).alias("r"),
         )
-        .select(stratum, "n", "strata", "r.rule", F.posexplode("r.ks").alias("pos", "k"))
+        .select(stratum, "n", "r.rule", F.posexplode("r.ks").alias("pos", "k"))
         .withColumn("cutoff", F.get(F.array(*[F.lit(c) for c in LADDER]), F.col("pos")))
     )
     passed = tested.where(binomial_tail(F.col("k"), F.col("n"), risk / len(RULES)) <= level)
