@@ -676,8 +676,8 @@ def staleness(spark, sf):
 def health(spark, sf):
     """The roll-up of every day: the day's quotes beside the state of all feeds."""
     days = _completeness(spark, sf)
-    feeds = F.broadcast(_staleness(spark, sf))  # four feeds
-    return freshness.health([days.withColumn("feed", F.lit("quotes")), days.select("day").join(feeds)], ["day"])
+    feeds = _staleness(spark, sf).agg(F.collect_list(F.struct("feed", "status", "message"))).scalar()  # four feeds
+    return freshness.health([days.withColumn("feed", F.lit("quotes")), days.select("day", F.inline(feeds))], ["day"])
 
 
 # --- SQL catalogue ------------------------------------------------------------------------------
