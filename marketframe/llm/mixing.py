@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketframe.llm.words import WORD
 from marketframe.operators.ordered import ordinal_rank
-from marketframe.session import scratch_path
+from marketframe.session import cut_lineage, scratch_path
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -30,8 +30,9 @@ def sainte_lague(votes: DataFrame, key: str, group: str) -> DataFrame:
     """``votes (group, key, votes, total)`` with ``seats``: ``total`` seats of each group by highest quotients votes / (2 seats + 1).
 
     Equal quotients go to the smaller key. Seats that any divisor near the right one gives are counted at once; only the few in
-    between, at most about three per key, are ranked. Keys without votes get none.
+    between, at most about three per key, are ranked. Keys without votes get none. The votes are materialised, one row per key.
     """
+    votes = cut_lineage(votes)
     sums = votes.groupBy(group).agg(F.sum("votes").alias("__all"), F.count_if(F.col("votes") > 0).alias("__n"))
     spare = F.col("__n") / 2 + 1
     above = F.col("total") - spare
@@ -58,9 +59,8 @@ def source_targets(
 
     The common factor rises until no more sources stop at their limit; each step takes two sums over the sources.
     """
-    placed = ordinal_rank(
-        sources.withColumn("__null", F.col("source").isNull()), ["__null", "source"], "pos"
-    ).drop("__null")
+    numbered = ordinal_rank(sources.withColumn("__null", F.col("source").isNull()), ["__null", "source"], "pos")
+    placed = cut_lineage(numbered.drop("__null"))
     weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("pos") - 1) % len(weights)).cast("int"))
     limit = F.col("source_size") * float(most)
     total = placed.agg(F.sum("source_size")).first()[0] or 0
