@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.session import scratch_path
+from marketframe.session import broadcast_if_small, cut_lineage, scratch_path
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = "\t\n\x0b\x0c\r "
@@ -195,22 +195,28 @@ def judge(
 ) -> DataFrame:
     """``keep``, the counts, ``base_failed`` and ``kept`` per document (null and repeated rows included, each judged by itself).
 
-    ``keep`` and the counts are written once to the shared folder: they serve the tests and the verdicts. A null stratum is a stratum
-    of its own. Other columns of ``docs`` are not read; ``keep`` should not name a result.
+    The counts the tests need are written once to the shared folder, without ``keep``. If ``keep`` is no more than that, the verdicts
+    come from there; otherwise documents are measured again where they are read, which costs time but no second copy of them. A null
+    stratum is a stratum of its own. Other columns of ``docs`` are not read; ``keep`` should not name a result.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "quality")
-    row = F.struct(*[F.col(k) for k in keep]).alias("__row")
-    measure(docs, [row, F.col("doc_id").alias("__id"), F.col(stratum).alias("__stratum")]).write.parquet(path)
+    named = [F.col("doc_id").alias("__id"), F.col(stratum).alias("__stratum")]
+    measure(docs, named).write.parquet(path)
     measured = spark.read.parquet(path)
     proven = cutoffs(measured, labels, "__stratum", risk, error)
     wide = proven.groupBy(F.col("__stratum").alias("__proven")).pivot("rule", list(RULES)).agg(F.min("cutoff"))
+    # One row per stratum, materialised and counted, so that texts need not be shuffled to meet it.
+    wide = broadcast_if_small(cut_lineage(wide.select("__proven", *[F.col(name).alias(f"cut_{name}") for name in RULES])))
     above = [F.coalesce(make() > F.col(f"cut_{name}"), F.lit(False)) for name, make in RULES.items()]
     fails = above[0]
     for rule in above[1:]:
         fails = fails | rule
-    wide = wide.select("__proven", *[F.col(name).alias(f"cut_{name}") for name in RULES])
-    joined = measured.join(wide, F.col("__stratum").eqNullSafe(F.col("__proven")), "left")
+    if keep == ["doc_id"]:
+        rows = measured.select(F.struct(F.col("__id").alias("doc_id")).alias("__row"), *measured.columns)
+    else:
+        rows = measure(docs, [F.struct(*[F.col(k) for k in keep]).alias("__row"), *named])
+    joined = rows.join(wide, F.col("__stratum").eqNullSafe(F.col("__proven")), "left")
     return joined.select("__row.*", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & ~fails).alias("kept"))
 
 
