@@ -216,8 +216,11 @@ def judge(
         rows = measured.select(F.struct(F.col("__id").alias("doc_id")).alias("__row"), *measured.columns)
     else:
         rows = measure(docs, [F.struct(*[F.col(k) for k in keep]).alias("__row"), *named])
+    # A caller's filter on the verdict must stay above the counts: pushed below, it would compute them a second time.
+    rows = rows.withColumn("__here", F.monotonically_increasing_id())
     joined = rows.join(wide, F.col("__stratum").eqNullSafe(F.col("__proven")), "left")
-    return joined.select("__row.*", *COUNTS, base_failed().alias("base_failed"), (~base_failed() & ~fails).alias("kept"))
+    kept = ~base_failed() & ~fails & (F.col("__here") >= 0)
+    return joined.select("__row.*", *COUNTS, base_failed().alias("base_failed"), kept.alias("kept"))
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
