@@ -87,3 +87,30 @@ STANCE_LABELS = ("Strong Builders", "Lean Builders", "Neutral", "Lean Integrator
 # Freshness rules.
 EXPECTED_QUOTES = 10
 STALENESS_LIMITS = [("fundamentals", 120), ("macro_indicators", 35)]
+
+# Field names of landed quotes and what an absent field stands for (None: the requested symbol).
+QUOTE_FIELDS = [
+    ("symbol", "01. symbol", None),
+    ("price", "05. price", "0"),
+    ("volume", "06. volume", "0"),
+    ("trading_day", "07. latest trading day", ""),
+    ("previous_close", "08. previous close", "0"),
+    ("change", "09. change", "0"),
+    ("change_percent", "10. change percent", "0%"),
+]
+
+# Texts of quality and freshness reports.
+UNKNOWN_SYMBOL = "UNKNOWN"
+MISSING_FIELD = "Missing required field"
+INVALID_PRICE = "Invalid price"
+INVALID_VOLUME = "Invalid volume"
+SUSPICIOUS_CHANGE = "Suspicious change"
+NO_STOCKS = "No stock data to validate"
+MISSING_COLUMNS = "Missing columns: "
+NULL_VALUES = "Null values in {} column"
+OUT_OF_RANGE = " value out of range "
+NON_TRADING = " - non-trading day"
+NO_DAY = "No data for "
+WRONG_COUNT = "Expected {} stocks, got "
+NO_FEED = "No ", " data found"
+TOO_OLD = "Data is ", " days old (expected <=", ")"

@@ -31,9 +31,9 @@ def completeness(files: DataFrame, days: DataFrame, expected: int = C.EXPECTED_Q
     graded = state.select(
         "day",
         F.when(~trading, "OK").when(found.isNull(), "WARNING").when(found == expected, "OK").otherwise("ERROR").alias("status"),
-        F.when(~trading, F.concat(F.date_format("day", "EEEE"), F.lit(" - non-trading day")))
-        .when(found.isNull(), F.concat(F.lit("No data for "), F.date_format("day", "yyyy-MM-dd")))
-        .when(found != expected, F.concat(F.lit(f"Expected {expected} stocks, got "), found.cast("string")))
+        F.when(~trading, F.concat(F.date_format("day", "EEEE"), F.lit(C.NON_TRADING)))
+        .when(found.isNull(), F.concat(F.lit(C.NO_DAY), F.date_format("day", "yyyy-MM-dd")))
+        .when(found != expected, F.concat(F.lit(C.WRONG_COUNT.format(expected)), found.cast("string")))
         .alias("message"),
         F.when(trading, found).alias("records"),
         F.when(trading & (found == expected), F.col("latest.path")).alias("path"),
@@ -61,12 +61,12 @@ def staleness(files: DataFrame, as_of, limits: DataFrame) -> DataFrame:
     return rows.select(
         "feed",
         F.when(F.col("last_update").isNull() | late, "WARNING").otherwise("OK").alias("status"),
-        F.when(F.col("last_update").isNull(), F.concat(F.lit("No "), F.col("feed"), F.lit(" data found")))
+        F.when(F.col("last_update").isNull(), F.concat(F.lit(C.NO_FEED[0]), F.col("feed"), F.lit(C.NO_FEED[1])))
         .when(
             late,
             F.concat(
-                F.lit("Data is "), F.col("days_since_update").cast("string"), F.lit(" days old (expected <="),
-                F.col("max_days").cast("string"), F.lit(")"),
+                F.lit(C.TOO_OLD[0]), F.col("days_since_update").cast("string"), F.lit(C.TOO_OLD[1]),
+                F.col("max_days").cast("string"), F.lit(C.TOO_OLD[2]),
             ),
         )
         .alias("message"),

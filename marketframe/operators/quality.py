@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marketframe import constants as C
 
 QUOTE_FIELDS = ("symbol", "price", "volume", "change_percent")
-RULE_PATTERN = r": (Missing required field: \w+|Invalid price|Invalid volume|Suspicious change)"
+RULE_PATTERN = rf": ({C.MISSING_FIELD}: \w+|{C.INVALID_PRICE}|{C.INVALID_VOLUME}|{C.SUSPICIOUS_CHANGE})"
 
 
 class DataQualityError(Exception):
@@ -42,25 +42,25 @@ def check_quotes(quotes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     def field(name: str, type_name: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast(type_name)
 
-    who = F.coalesce(field("symbol", "string"), F.lit("UNKNOWN"))
+    who = F.coalesce(field("symbol", "string"), F.lit(C.UNKNOWN_SYMBOL))
     price, volume, change = (
         field("price", "double"), field("volume", "bigint"), field("change_percent", "double"),
     )
     rules = [
-        F.when(field(name, "string").isNull(), F.concat(who, F.lit(f": Missing required field: {name}")))
+        F.when(field(name, "string").isNull(), F.concat(who, F.lit(f": {C.MISSING_FIELD}: {name}")))
         for name in QUOTE_FIELDS
     ]
     rules.append(
         F.when(
             F.coalesce(price, F.lit(0.0)) <= 0,
-            F.concat(who, F.lit(": Invalid price: $"), F.coalesce(price.cast("string"), F.lit("0"))),
+            F.concat(who, F.lit(f": {C.INVALID_PRICE}: $"), F.coalesce(price.cast("string"), F.lit("0"))),
         )
     )
-    rules.append(F.when(volume < 0, F.concat(who, F.lit(": Invalid volume: "), volume.cast("string"))))
+    rules.append(F.when(volume < 0, F.concat(who, F.lit(f": {C.INVALID_VOLUME}: "), volume.cast("string"))))
     rules.append(
         F.when(
             (change < -50) | (change > 50),
-            F.concat(who, F.lit(": Suspicious change: "), change.cast("string"), F.lit("%")),
+            F.concat(who, F.lit(f": {C.SUSPICIOUS_CHANGE}: "), change.cast("string"), F.lit("%")),
         )
     )
     errors = F.array_compact(F.array(*rules))
@@ -72,7 +72,7 @@ def assert_quotes(quotes: DataFrame, errors_path: str, keep: Sequence[str] = ())
 
     Nothing is stored when all quotes pass. The counts come from the rows stored.
     """
-    assert_nonempty(quotes, "No stock data to validate")
+    assert_nonempty(quotes, C.NO_STOCKS)
     errors, spark = check_quotes(quotes, keep), quotes.sparkSession
     if errors.isEmpty():
         return quotes
@@ -95,7 +95,7 @@ def check_macro(macro: DataFrame, ranges: DataFrame) -> DataFrame:
             F.count("*").alias("row_count"),
             F.lit(None).cast("bigint").alias("null_dates"),
             F.lit(None).cast("bigint").alias("out_of_range"),
-            F.lit(f"Missing columns: {missing}").alias("errors"),
+            F.lit(f"{C.MISSING_COLUMNS}{missing}").alias("errors"),
             F.lit(False).alias("valid"),
         )
     stats = macro.join(ranges, "series_id", "left").groupBy("series_id", "low", "high").agg(
@@ -106,12 +106,12 @@ def check_macro(macro: DataFrame, ranges: DataFrame) -> DataFrame:
     span = F.format_string("[%s, %s]", F.col("low").cast("string"), F.col("high").cast("string"))
     errors = F.array_compact(
         F.array(
-            F.when(F.col("null_dates") > 0, F.lit("Null values in date column")),
-            F.when(F.col("series_id").isNull(), F.lit("Null values in series_id column")),
+            F.when(F.col("null_dates") > 0, F.lit(C.NULL_VALUES.format("date"))),
+            F.when(F.col("series_id").isNull(), F.lit(C.NULL_VALUES.format("series_id"))),
             F.when(
                 F.col("out_of_range") > 0,
                 F.concat(
-                    "series_id", F.lit(" value out of range "), span, F.lit(": "),
+                    "series_id", F.lit(C.OUT_OF_RANGE), span, F.lit(": "),
                     F.col("out_of_range").cast("string"), F.lit(" rows"),
                 ),
             ),
@@ -131,7 +131,7 @@ def check_fundamentals(records: DataFrame, drop_null_revenue: bool = True) -> Da
             F.count("*").alias("row_count"),
             *[F.lit(None).cast("bigint").alias(n) for n in (
                 "null_symbols", "null_years", "negative_capex", "non_positive_revenue", "capex_exceeds_revenue")],
-            F.lit(f"Missing columns: {missing}").alias("errors"),
+            F.lit(f"{C.MISSING_COLUMNS}{missing}").alias("errors"),
             F.lit(False).alias("valid"),
         )
     rows = records.dropna(subset=["revenue"]) if drop_null_revenue else records
@@ -149,8 +149,8 @@ def check_fundamentals(records: DataFrame, drop_null_revenue: bool = True) -> Da
 
     errors = F.array_compact(
         F.array(
-            F.when(F.col("null_symbols") > 0, F.lit("Null values in symbol column")),
-            F.when(F.col("null_years") > 0, F.lit("Null values in year column")),
+            F.when(F.col("null_symbols") > 0, F.lit(C.NULL_VALUES.format("symbol"))),
+            F.when(F.col("null_years") > 0, F.lit(C.NULL_VALUES.format("year"))),
             counted("negative_capex", "capex < 0"),
             counted("non_positive_revenue", "revenue <= 0"),
             counted("capex_exceeds_revenue", "capex >= revenue"),

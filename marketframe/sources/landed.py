@@ -37,20 +37,10 @@ def parse_quotes(docs: DataFrame, symbol: str = "symbol", text: str = "value") -
     filled = F.filter(F.array(F.from_json(text, S.QUOTE_DOC)["Global Quote"]), lambda q: F.size(q) > 0)
     quotes = docs.select(*extra, symbol, F.explode(filled).alias("q"))
 
-    def field(key: str, default: Column) -> Column:
-        return F.coalesce(F.try_element_at("q", F.lit(key)), default)
+    def field(name: str, key: str, default: str | None) -> Column:
+        return F.coalesce(F.try_element_at("q", F.lit(key)), F.col(symbol) if default is None else F.lit(default)).alias(name)
 
-    zero = F.lit("0")
-    return quotes.select(
-        *extra,
-        field("01. symbol", F.col(symbol)).alias("symbol"),
-        field("05. price", zero).alias("price"),
-        field("06. volume", zero).alias("volume"),
-        field("07. latest trading day", F.lit("")).alias("trading_day"),
-        field("08. previous close", zero).alias("previous_close"),
-        field("09. change", zero).alias("change"),
-        field("10. change percent", F.lit("0%")).alias("change_percent"),
-    )
+    return quotes.select(*extra, *[field(*f) for f in C.QUOTE_FIELDS])
 
 
 def normalise_quotes(raw: DataFrame, stamp: Stamp = None) -> DataFrame:
