@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the base rules and the proven cutoffs."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), "doc_id", "text", "lang")
-    return judge(row, labels, ["__doc"]).where("kept").select("__doc.*")
+    return judge(row, labels, ["__doc"], pooled=True).where("kept").select("__doc.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

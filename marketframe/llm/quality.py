@@ -6,6 +6,10 @@ of the stratum are rejected. The ladder is walked from lenient to strict and sto
 correction needed along it); strata and rules share the error probability (Bonferroni). With all tests holding together with
 probability ``1 - error``, no stratum loses more than ``risk`` of its good documents to the rules. A stratum with too few labels to prove anything
 rejects nothing.
+
+``pooled`` lets a stratum that has too few labels for these tests, even if no good document were rejected, be tested as a whole: all rules share one
+cutoff, and the documents that any rule rejects are tested at ``risk`` along the same ladder. Which way a stratum is tested depends on its
+number of labels alone, so ``risk`` and ``error`` hold as before.
 """
 
 from __future__ import annotations
@@ -164,7 +168,9 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(kd < nd * p, F.least(whole, F.lit(1.0))).otherwise(F.lit(1.0))
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.02, error: float = 0.05) -> DataFrame:
+def cutoffs(
+    measured: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.02, error: float = 0.05, pooled: bool = False
+) -> DataFrame:
     """``(stratum, rule, cutoff)``: the strictest proven cutoffs; no row where none is proven.
 
     The holdout is every labelled good document that passes the base rules. A document labelled more than once counts as good
@@ -175,6 +181,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float =
     rejected = [
         F.array(*[F.sum((make() > c).cast("long")) for c in LADDER]).alias(f"k_{name}") for name, make in RULES.items()
     ]
+    if pooled:
+        worst = F.greatest(*[make() for make in RULES.values()])
+        rejected.append(F.array(*[F.sum((worst > c).cast("long")) for c in LADDER]).alias("k_any"))
     counted = holdout.groupBy(stratum).agg(F.count("*").alias("n"), *rejected)
     level = F.lit(error) / (counted.agg(F.count("*")).scalar() * len(RULES))
     tested = (
@@ -187,11 +196,21 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float =
     )
     passed = tested.where(binomial_tail(F.col("k"), F.col("n"), risk / len(RULES)) <= level)
     # The tail grows with k and k with strictness, so the passing cutoffs are the lenient end of the ladder.
-    return passed.groupBy(stratum, "rule").agg(F.min("cutoff").alias("cutoff"))
+    proven = passed.groupBy(stratum, "rule").agg(F.min("cutoff").alias("cutoff"))
+    if not pooled:
+        return proven
+    few = F.pow(F.lit(1 - risk / len(RULES)), F.col("n")) > level
+    whole = (
+        counted.where(few).select(stratum, "n", F.posexplode("k_any").alias("pos", "k"))
+        .where(binomial_tail(F.col("k"), F.col("n"), risk) <= level * len(RULES))
+        .groupBy(stratum).agg(F.get(F.array(*[F.lit(c) for c in LADDER]), F.min("pos")).alias("cutoff"))
+    )
+    return proven.unionByName(whole.select(stratum, F.explode(F.array(*[F.lit(name) for name in RULES])).alias("rule"), "cutoff"))
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, keep: list[str], stratum: str = "lang", risk: float = 0.02, error: float = 0.05
+    docs: DataFrame, labels: DataFrame, keep: list[str], stratum: str = "lang", risk: float = 0.02, error: float = 0.05,
+    pooled: bool = False,
 ) -> DataFrame:
     """``keep``, the counts, ``base_failed`` and ``kept`` per document (null and repeated rows included, each judged by itself).
 
@@ -204,7 +223,7 @@ def judge(
     named = [F.col("doc_id").alias("__id"), F.col(stratum).alias("__stratum")]
     measure(docs, named).write.parquet(path)
     measured = spark.read.parquet(path)
-    proven = cutoffs(measured, labels, "__stratum", risk, error)
+    proven = cutoffs(measured, labels, "__stratum", risk, error, pooled)
     wide = proven.groupBy(F.col("__stratum").alias("__proven")).pivot("rule", list(RULES)).agg(F.min("cutoff"))
     # One row per stratum, materialised and counted, so that texts need not be shuffled to meet it.
     wide = broadcast_if_small(cut_lineage(wide.select("__proven", *[F.col(name).alias(f"cut_{name}") for name in RULES])))
