@@ -162,13 +162,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def ordinal_rank(
-    df: DataFrame, order: Sequence[str | Column], name: str, by: Sequence[str] = ()
+    df: DataFrame, order: Sequence[str | Column], name: str, by: Sequence[str] = (), total: str | None = None
 ) -> DataFrame:
     """1-based row number in a total order, whole table or per ``by``, without a single-task sort.
 
     Rows are range partitioned on the full order, numbered inside each partition, and shifted by the
     sizes of the partitions before. ``order`` must be unique per row; ties on a value are then split
-    like any other rows.
+    like any other rows. ``total`` names a column for the number of rows ranked together.
     """
     spec = [*by, *order]
     ranged = cut_lineage(
@@ -176,17 +176,23 @@ def ordinal_rank(
         .sortWithinPartitions(*spec)
         .withColumns({"__part": F.spark_partition_id(), "__mono": F.monotonically_increasing_id()})
     )
-    local = F.col("__mono") - F.shiftleft(F.col("__part").cast("long"), 33)
-    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__size"))
-    # One row per shuffle partition, so this window and the broadcast are small whatever the table holds.
-    before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
-    placed = (
-        ranged.join(F.broadcast(offsets), "__part")
-        .withColumn(name, F.col("__offset") + local + 1)
-        .drop("__part", "__mono", "__offset")
+    keys = [f"__by{i}" for i in range(len(by))]
+    pieces = ranged.groupBy("__part", *[F.col(c).alias(k) for c, k in zip(by, keys)]).agg(
+        F.count("*").alias("__size"), F.min("__mono").alias("__first")
     )
+    # A piece is one key within one partition: a key has at most as many as there are partitions, so no window below is long.
+    whole = W.partitionBy(*keys)
+    before = whole.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    counted = {total: F.sum("__size").over(whole)} if total else {}
+    places = pieces.withColumns({"__before": F.coalesce(F.sum("__size").over(before), F.lit(0)), **counted})
     if not by:
-        return placed
-    base = placed.groupBy(*by).agg((F.min(name) - 1).alias("__base"))
-    return placed.join(base, list(by)).withColumn(name, F.col(name) - F.col("__base")).drop("__base")
+        places = F.broadcast(places)  # one row per partition
+    # Pieces meet their rows by key and partition, so the rows of a hot key stay spread.
+    same = F.col("__part") == F.col("__at")
+    for column, key in zip(by, keys):
+        same = same & F.col(column).eqNullSafe(F.col(key))
+    return (
+        ranged.join(places.withColumnRenamed("__part", "__at"), same)
+        .withColumn(name, F.col("__before") + F.col("__mono") - F.col("__first") + 1)
+        .drop("__part", "__mono", "__at", "__size", "__first", "__before", *keys)
+    )
