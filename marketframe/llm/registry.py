@@ -6,6 +6,7 @@ from marketframe.llm.annsearch import op5_multi_index_hashing
 from marketframe.llm.bpe import op3_bpe
 from marketframe.llm.chat import chat_sql, op10_chat_formatting
 from marketframe.llm.katz import op2_katz
+from marketframe.llm.merkle import merkle_sql, op12_merkle_manifest
 from marketframe.llm.mixing import op1_mixing
 from marketframe.llm.neardup import op9_near_duplicates
 from marketframe.llm.quality import op8_quality_rules, quality_sql
@@ -24,10 +25,12 @@ LLM_QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 LLM_ORACLES = {
     "op7_revisits": revisits_sql(),
     "op8_quality_rules": quality_sql(),
     "op10_chat_formatting": chat_sql(),
+    "op12_merkle_manifest": merkle_sql(),
 }
