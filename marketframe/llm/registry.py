@@ -5,6 +5,7 @@ from __future__ import annotations
 from marketframe.llm.annsearch import op5_multi_index_hashing
 from marketframe.llm.bpe import op3_bpe
 from marketframe.llm.chat import chat_sql, op10_chat_formatting
+from marketframe.llm.hardneg import negatives_sql, op13_cover_tree_negatives
 from marketframe.llm.katz import op2_katz
 from marketframe.llm.merkle import merkle_sql, op12_merkle_manifest
 from marketframe.llm.mixing import op1_mixing
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_formatting": op10_chat_formatting,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_cover_tree_negatives": op13_cover_tree_negatives,
 }
 
 LLM_ORACLES = {
@@ -33,4 +35,5 @@ LLM_ORACLES = {
     "op8_quality_rules": quality_sql(),
     "op10_chat_formatting": chat_sql(),
     "op12_merkle_manifest": merkle_sql(),
+    "op13_cover_tree_negatives": negatives_sql(),
 }
