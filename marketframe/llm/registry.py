@@ -7,6 +7,7 @@ from marketframe.llm.bpe import op3_bpe
 from marketframe.llm.chat import chat_sql, op10_chat_formatting
 from marketframe.llm.hardneg import negatives_sql, op13_cover_tree_negatives
 from marketframe.llm.katz import op2_katz
+from marketframe.llm.langid import op11_language_id
 from marketframe.llm.merkle import merkle_sql, op12_merkle_manifest
 from marketframe.llm.mixing import op1_mixing
 from marketframe.llm.neardup import op9_near_duplicates
@@ -26,6 +27,7 @@ LLM_QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_language_id": op11_language_id,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_cover_tree_negatives": op13_cover_tree_negatives,
 }
