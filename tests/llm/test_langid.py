@@ -101,7 +101,11 @@ def test_defined_results_for_odd_rows(spark):
     assert len(got) == len(asked)
     assert [got[i].lang_pred for i in range(6)] == ["und", "und", "und", "en", "de", "en"]
     assert got[0].score == got[2].score == got[5].score == 0 and got[0].n_grams == 0
-    assert got[6].lang_pred in ("en", "de") and got[7].lang_pred == "de" and got[7].score > 0.9
+    assert got[6].lang_pred in ("en", "de") and got[7].lang_pred == "de"
+    # The score is the winner's share of all hits, which the sets of plain Python give but for false positives.
+    model, own = plain_model(learned, langid.WIDTHS), plain_grams(asked[7][0], langid.WIDTHS)
+    hits = {lang: sum(n for g, n in own.items() if g in known) for lang, known in model.items()}
+    assert got[7].score == pytest.approx(hits["de"] / sum(hits.values()), abs=0.02) and got[7].n_grams == sum(own.values())
     assert all(0 <= r.score <= 1 for r in got.values()) and got[3]["__text"] == "a"
     with pytest.raises(ValueError, match="results"):
         langid.identify(frame(spark, asked), filters, ["score"])
