@@ -24,7 +24,8 @@ from marketframe.operators.quality import (
     macro_ranges,
 )
 from marketframe.session import scratch_path
-from marketframe.sinks.tables import OVERWRITE, SKIP, create_table, register_all, write_table
+from marketframe.sinks.snapshots import publish, register_changed
+from marketframe.sinks.tables import OVERWRITE, SKIP, create_table
 from marketframe.sources import landed
 
 
@@ -44,12 +45,12 @@ def _once(records: DataFrame, label: str) -> DataFrame:
 
 
 def _publish(records: DataFrame, root: str, table: S.Table, mode: str, name: str | None) -> None:
-    """Write the table and, under ``name``, make its partitions visible through SQL."""
-    write_table(records, root, table, mode)
+    """Publish one version of the table and, under ``name``, register the partitions it changed."""
+    changed = publish(records, root, table, mode)
     if name:
         spark = records.sparkSession
         create_table(spark, table, root, name)
-        register_all(spark, name)
+        register_changed(spark, name, table, root, changed)
 
 
 def load_quotes(
@@ -80,23 +81,27 @@ def load_macro(
 
 def load_fundamentals(
     spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE, per_line: bool = False,
-    name: str | None = None,
+    name: str | None = None, table: S.Table = S.FUNDAMENTALS_BY_YEAR,
 ) -> Load:
-    """Company facts into ``fundamentals``, one partition per company and year; files ascend by path."""
+    """Company facts into ``fundamentals``; files ascend by path.
+
+    A load replaces company-years. The default layout has one partition per year with companies in order, so it holds any number of them;
+    ``FUNDAMENTALS`` has one per company and year, for a handful of companies.
+    """
     docs = landed.read_documents(spark, path, per_line)
-    return load_fundamentals_documents(docs, root, stamp, mode, name, document_order=["path"])
+    return load_fundamentals_documents(docs, root, stamp, mode, name, document_order=["path"], table=table)
 
 
 def load_fundamentals_documents(
     docs: DataFrame, root: str, stamp: Stamp = None, mode: str = OVERWRITE, name: str | None = None,
     capex_tag: str = C.CAPEX_TAG, revenue_tags: Sequence[str] = C.REVENUE_TAGS, min_year: int = C.MIN_FISCAL_YEAR,
-    document_order: Sequence[str] = (),
+    document_order: Sequence[str] = (), table: S.Table = S.FUNDAMENTALS_BY_YEAR,
 ) -> Load:
     """The same for documents at hand, with the columns that order a company's documents."""
     facts = annual_only(landed.parse_xbrl(docs, [capex_tag, *revenue_tags]))
     records = _once(fundamentals(facts, capex_tag, revenue_tags, min_year, stamp, document_order), "load_fundamentals")
     assert_nonempty(records, "No fundamental records extracted")
-    _publish(records, root, S.FUNDAMENTALS, mode, name)
+    _publish(records, root, table, mode, name)
     checked = records.withColumnsRenamed({"capex_usd": "capex", "revenue_usd": "revenue"})
     return Load(records, check_fundamentals(checked))
 

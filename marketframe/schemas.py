@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,11 +21,17 @@ def _struct(columns: str) -> T.StructType:
 
 @dataclass(frozen=True)
 class Table:
-    """A partitioned Parquet table: column contract plus Hive partition keys."""
+    """A partitioned Parquet table: column contract plus Hive partition keys.
+
+    ``cluster`` columns order the rows within a partition, so that file statistics serve look-ups by them. ``unit`` columns tell what a load replaces
+    where that is less than a partition.
+    """
 
     name: str
     columns: T.StructType
     keys: tuple[str, ...]
+    cluster: tuple[str, ...] = ()
+    unit: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -58,6 +64,8 @@ FUNDAMENTALS = Table(
     ),
     ("cik", "year"),
 )
+# The same content for any number of companies: one folder per year, rows in company order, a load replaces company-years.
+FUNDAMENTALS_BY_YEAR = replace(FUNDAMENTALS, keys=("year",), cluster=("cik",), unit=("cik", "year"))
 PRICES = Table(
     "historical_prices",
     _struct("symbol string, date string, close double, volume bigint, extracted_at string"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from marketframe import schemas as S
 from marketframe.session import broadcast_if_small, scratch_path
+from marketframe.sources.snapshots import current
 from marketframe.sources.tables import has_files, partitions
 
 OVERWRITE, SKIP, APPEND = "overwrite_partitions", "skip", "append"
@@ -56,11 +57,17 @@ def write_table(df: DataFrame, root: str, table: S.Table, mode: str = OVERWRITE)
     leaves stored partitions untouched, ``append`` adds files.
 
     Rows are rebalanced by key before the write: small partitions give one file each, a partition far
-    above the advisory size is split over several tasks and files.
+    above the advisory size is split over several tasks and files. At the root of a snapshot table the write is published
+    as a version (``sinks.snapshots``).
     """
     if mode not in (OVERWRITE, SKIP, APPEND):
         raise ValueError(f"unknown mode {mode!r}")
     rows, spark = conform(df, table), df.sparkSession
+    if current(spark, root) is not None:
+        from marketframe.sinks import snapshots  # builds on this module
+
+        snapshots.publish(rows, root, table, mode)
+        return
     if mode == SKIP:
         rows = new_partitions_only(rows, spark, root, table.keys)
     writer = rows.hint("rebalance", *table.keys).write.partitionBy(*table.keys).option("compression", "snappy")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe import schemas as S
+from marketframe.sources.snapshots import any_file, current
 
 # The columns of Spark's binaryFile source.
 _FILE_COLUMNS = [
@@ -21,10 +21,24 @@ _FILE_COLUMNS = [
 
 
 def read_table(spark: SparkSession, table: S.Table, root: str) -> DataFrame:
-    """Scan a stored table. The schema is given, so key values such as ``0001326801`` stay text."""
+    """Scan a stored table. The schema is given, so key values such as ``0001326801`` stay text.
+
+    Of a snapshot table the newest version is read: the frame keeps to its folders, whatever is published later.
+    """
+    snapshot = current(spark, root)
+    if snapshot is not None:
+        return read_folders(spark, table, root, list(snapshot.folders.values()))
     return spark.read.schema(table.schema).parquet(root)
 
 
+def read_folders(spark: SparkSession, table: S.Table, root: str, folders: Sequence[str]) -> DataFrame:
+    """Some partition folders of a snapshot table."""
+    if not folders:
+        return spark.createDataFrame([], table.schema)
+    rows = spark.read.schema(table.schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
+    return rows.select(*table.schema.names)
+
+
 def scan_series(
     spark: SparkSession,
     root: str,
@@ -39,9 +53,15 @@ def scan_series(
     """
     first, second = table.keys
     wanted = F.col(first).isin(*series) & F.col(second).cast("int").between(*years)
-    there = [folder for folder in (f"{root}/{first}={s}" for s in series) if require_any and has_files(spark, folder)]
-    if require_any and (not there or partitions(spark, there, [second], root).where(F.col(second).cast("int").between(*years)).isEmpty()):
-        raise ValueError(f"no data under {root} for series {list(series)} in {years[0]}-{years[1]}")
+    if require_any:
+        snapshot = current(spark, root)
+        if snapshot is not None:
+            there = [folder for keys, folder in snapshot.folders.items() if keys[0] in set(series)]
+        else:
+            there = [folder for folder in (f"{first}={s}" for s in series) if has_files(spark, f"{root}/{folder}")]
+        stored = [f"{root}/{folder}" for folder in there]
+        if not stored or partitions(spark, stored, [second], root).where(F.col(second).cast("int").between(*years)).isEmpty():
+            raise ValueError(f"no data under {root} for series {list(series)} in {years[0]}-{years[1]}")
     return read_table(spark, table, root).where(wanted)
 
 
@@ -52,13 +72,7 @@ def missing_series(wanted: DataFrame, present: DataFrame, key: str = "series_id"
 
 def has_files(spark: SparkSession, root: str) -> bool:
     """Whether anything is stored below ``root``, which need not exist."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return not files.select("path").isEmpty()
+    return any_file(spark, root)
 
 
 def file_inventory(
@@ -66,9 +80,14 @@ def file_inventory(
 ) -> DataFrame:
     """``(keys..., path, modified, length)`` of the files below ``root``, or below some folders of the table at ``base``.
 
-    File contents are not read.
+    File contents are not read. Of a snapshot table only the newest version's folders are listed.
     """
+    snapshot = current(spark, root) if isinstance(root, str) and base is None else None
+    if snapshot is not None:
+        root, base = [f"{root}/{folder}" for folder in snapshot.folders.values()], root
     schema = T.StructType(_FILE_COLUMNS + [T.StructField(key, T.StringType()) for key in keys])
+    if not root:
+        return spark.createDataFrame([], schema).select(*keys, "path", F.col("modificationTime").alias("modified"), "length")
     reader = spark.read.format("binaryFile").schema(schema)
     files = (reader.option("basePath", base) if base else reader).load(root)
     return files.select(*keys, "path", F.col("modificationTime").alias("modified"), "length")

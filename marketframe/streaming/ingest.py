@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from marketframe import schemas as S
-from marketframe.sinks.tables import OVERWRITE, conform, write_table
-from marketframe.sources.tables import has_files, read_table
+from marketframe.sinks.snapshots import publish
+from marketframe.sinks.tables import APPEND, conform
 
 
 def ingest_available_now(
@@ -25,10 +25,9 @@ def ingest_available_now(
 ) -> None:
     """Append every new source file to the table exactly once.
 
-    The stream's checkpoint remembers the files already taken. Each batch first stages, under its number, the new content of the
-    partitions it touches, and then publishes them through ``write_table``; a batch that is repeated after a failure finds
-    its staged content and publishes the same again. So the table is one that batch writers can append to, skip or overwrite, and a
-    touched partition is compacted on the way. One writer at a time is assumed. ``transform`` is stateless and runs on every batch.
+    The stream's checkpoint remembers the files already taken. Each batch is published as one version of a snapshot table, which also records the
+    batch's number: a batch that is repeated after a failure is found there and changes nothing. Of the stored table only the partitions a batch touches
+    are read, and they are compacted on the way. Batch writers share the table. ``transform`` is stateless and runs on every batch.
     """
     arriving = (
         spark.readStream.format(file_format)
@@ -37,11 +36,11 @@ def ingest_available_now(
         .load(source)
     )
 
-    def publish(batch: DataFrame, number: int) -> None:
-        publish_batch(batch.sparkSession, conform(transform(batch), table), number, root, table, f"{checkpoint}-staged")
+    def take(batch: DataFrame, number: int) -> None:
+        publish_batch(conform(transform(batch), table), number, root, table, checkpoint)
 
     query = (
-        arriving.writeStream.foreachBatch(publish)
+        arriving.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -49,14 +48,6 @@ def ingest_available_now(
     query.awaitTermination()
 
 
-def publish_batch(spark: SparkSession, rows: DataFrame, number: int, root: str, table: S.Table, staging: str) -> None:
-    """Add the rows of batch ``number`` to the table; running it again for the same number changes nothing."""
-    staged, done = f"{staging}/{number}", f"{staging}/{number}-done"
-    if not has_files(spark, done):
-        whole = rows
-        if has_files(spark, root):
-            touched = rows.select(*table.keys).distinct()
-            whole = read_table(spark, table, root).join(touched, list(table.keys), "left_semi").select(*rows.columns).unionByName(rows)
-        whole.write.mode("overwrite").parquet(staged)
-        spark.range(1).write.mode("overwrite").parquet(done)
-    write_table(spark.read.schema(table.schema).parquet(staged), root, table, OVERWRITE)
+def publish_batch(rows: DataFrame, number: int, root: str, table: S.Table, stream: str) -> None:
+    """Add the rows of batch ``number`` of a stream to the table; running it again for the same number changes nothing."""
+    publish(rows, root, table, APPEND, (stream, number))

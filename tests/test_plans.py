@@ -53,7 +53,7 @@ def test_macro_feed_to_table(spark, path):
 
 def test_fundamentals_feed_to_table(spark, path):
     document = {"META": company("0001326801", **{C.CAPEX_TAG: [filing(2022, 5), filing(2023, 6)], "Revenues": [filing(2022, 9), filing(2023, 4)]})}
-    load = load_fundamentals(spark, write(path("x.json"), document), path("f"), "now")
+    load = load_fundamentals(spark, write(path("x.json"), document), path("f"), "now", table=S.FUNDAMENTALS)
     assert load.report.first().errors == "capex >= revenue: 1 rows"  # reported, not blocking
     assert rows(stored.partitions(spark, path("f"), S.FUNDAMENTALS.keys)) == [("0001326801", "2022"), ("0001326801", "2023")]
     with pytest.raises(DataQualityError):

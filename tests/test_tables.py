@@ -186,9 +186,9 @@ def test_a_repeated_batch_changes_nothing_and_batch_writers_share_the_table(spar
 
     first, second = stocks(("A", "d1", 1), ("B", "d1", 2)), stocks(("A", "d1", 1), ("C", "d2", 3))
     for _ in range(2):
-        publish_batch(spark, first, 0, path("t"), S.STOCKS, path("staged"))
+        publish_batch(first, 0, path("t"), S.STOCKS, "feed")
     for _ in range(2):
-        publish_batch(spark, second, 1, path("t"), S.STOCKS, path("staged"))
+        publish_batch(second, 1, path("t"), S.STOCKS, "feed")
     assert content() == [("A", "d1", 1), ("A", "d1", 1), ("B", "d1", 2), ("C", "d2", 3)]
     sinks.write_table(stocks(("D", "d2", 4)), path("t"), S.STOCKS, sinks.APPEND)
     sinks.write_table(stocks(("E", "d1", 5), ("E", "d3", 5)), path("t"), S.STOCKS, sinks.SKIP)
