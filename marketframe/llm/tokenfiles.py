@@ -16,6 +16,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,17 @@ from marketframe.session import scratch_path
 _MANIFEST = "part int, roll int, n_docs long, n_tokens long, tokens_file string, docs_file string"
 _ROWS = 64
 _FILE_TOKENS = 1 << 28
+_REMEMBERED = 1_500_000
+_MARKS = ".,;:!?"
+_LAST_LETTER = "\u024f"  # later letters may be newer than the library's tables
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
 class LibraryEncoder(TextEncoder):
-    """Ids by the tokenizers library. Chunks not seen before are joined and encoded in one call.
+    """Ids by the tokenizers library. Chunks not seen before are taken apart into words, and words not seen before are encoded in one call.
 
     A chunk holds no space and gets one before it, so in the ids of the joined text each id whose bytes begin with a space begins
-    a chunk.
+    a chunk. A mark behind a word and a line end are pieces of their own, so words with them need no call of their own.
     """
 
     def __init__(self, path: str):
@@ -51,45 +55,92 @@ class LibraryEncoder(TextEncoder):
         self.library, self.largest = library, len(tables.offsets) - 2
         self.spaced = np.zeros(len(tables.offsets), bool)
         self.spaced[[int(i) for i, b in zip(tables.ids, tables.bytes) if b.startswith(b" ")]] = True
+        self.marks = {m: self.ids(m).tobytes() for m in _MARKS}
+        self.line_end, self.bare = self.ids("\n"), {}
         super().__init__(lambda piece: self.ids(piece).tobytes(), tables.special, tables.specials)
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def _learn(self, chunks: list[str]) -> None:
-        for low in range(0, len(chunks), 50_000):
-            part = chunks[low : low + 50_000]
-            ids = self.ids(" " + " ".join(part))
-            raw, bounds = ids.tobytes(), [*(np.flatnonzero(self.spaced[ids]) * 4).tolist(), len(ids) * 4]
-            self.rest.update((c, raw[a:b]) for c, a, b in zip(part, bounds[:-1], bounds[1:], strict=True))
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn_words(self, words: list[str], memory: dict[str, bytes], between: str) -> None:
+        """Ids of words, each behind ``between`` (a space belongs to the word, a line end does not)."""
+        for low in range(0, len(words), 50_000):
+            part = words[low : low + 50_000]
+            ids = self.ids(between + between.join(part))
+            raw = ids.tobytes()
+            begins = np.flatnonzero(self.spaced[ids] if between == " " else ids == self.line_end[0]) * 4
+            skip = 0 if between == " " else 4
+            memory.update((c, raw[a + skip : b]) for c, a, b in zip(part, begins.tolist(), [*begins[1:].tolist(), len(raw)], strict=True))
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Ids of chunks that neither are empty nor begin or end with white space."""
+        marks, whole, marked, parted, words, lines = self.marks, [], [], [], set(), set()
+        for chunk in chunks:
+            if chunk.isalpha():
+                whole.append(chunk)
+            elif "\n" not in chunk:
+                word = chunk[:-1]
+                if chunk[-1] in marks and word.isalpha() and word[-1] <= _LAST_LETTER:
+                    marked.append((chunk, word))
+                    words.add(word)
+                else:
+                    whole.append(chunk)
+            else:
+                parts = [(line[:-1], marks[line[-1]]) if line[-1:] in marks else (line, b"") for line in chunk.split("\n")]
+                if all(word.isalpha() and word[-1] <= _LAST_LETTER for word, _ in parts):
+                    parted.append((chunk, parts))
+                    words.add(parts[0][0])
+                    lines.update([word for word, _ in parts[1:]])
+                else:
+                    whole.append(chunk)
+        rest, bare, end = self.rest, self.bare, self.line_end.tobytes()
+        whole += [w for w in words if w not in rest and w not in chunks]
+        self._learn_words(whole, rest, " ")
+        self._learn_words([w for w in lines if w not in bare], bare, "\n")
+        for chunk, word in marked:
+            rest[chunk] = rest[word] + marks[chunk[-1]]
+        for chunk, ((word, mark), *more) in parted:
+            rest[chunk] = rest[word] + mark + b"".join([end + bare[w] + m for w, m in more])
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text. A text with a special token, or with other white space beside a space, is encoded by itself."""
-        get, found, waiting, new = self.rest.get, [], [], set()
+        get, found, waiting, new = self.rest.get, [b""] * len(texts), [], set()
+        specials, first = list(self.specials) if self.special is not None else [], self.first
         for row, text in enumerate(texts):
             if not text:
-                found.append(b"")
-            elif self.special is not None and any(s in text for s in self.specials):
-                found.append(self.ids(text).tobytes())
+                continue
+            alone = False
+            for s in specials:
+                alone |= s in text
+            head, *tail = text.split(" ")
+            if alone or not head or head[0].isspace() or head[-1].isspace():
+                found[row] = self.ids(text).tobytes()
+                continue
+            ids = list(map(get, tail))
+            if None in ids:
+                gaps = [(k, tail[k]) for k, i in enumerate(ids) if i is None]
+                new.update([chunk for _, chunk in gaps])
+                waiting.append((row, text, head, ids, gaps))
             else:
-                head, *tail = text.split(" ")
-                ids = list(map(get, tail))
-                if None in ids or not head or head[0].isspace() or head[-1].isspace():
-                    unknown = {c for c, i in zip(tail, ids) if i is None}
-                    if not head or any(not c or c[0].isspace() or c[-1].isspace() for c in (head, *unknown)):
-                        found.append(self.ids(text).tobytes())
-                        continue
-                    new |= unknown
-                    waiting.append((row, head, tail))
-                    found.append(b"")
-                else:
-                    found.append(self.first[head] + b"".join(ids))
-        self._learn(list(new))
-        for row, head, tail in waiting:
-            found[row] = self.first[head] + b"".join(map(self.rest.__getitem__, tail))
-        if len(self.rest) + len(self.first) + len(self.memory) > 1_500_000:
-            for memory in (self.rest, self.first, self.memory):
+                found[row] = first[head] + b"".join(ids)
+        # What is remembered neither is empty nor has white space at an end, so any such chunk is among the new ones.
+        odd = {c for c in new if not c or c[0].isspace() or c[-1].isspace()}
+        self._learn(new - odd)
+        rest = self.rest
+        for row, text, head, ids, gaps in waiting:
+            if odd and any(chunk in odd for _, chunk in gaps):
+                found[row] = self.ids(text).tobytes()
+                continue
+            for k, chunk in gaps:
+                ids[k] = rest[chunk]
+            found[row] = first[head] + b"".join(ids)
+        if len(self.rest) + len(self.first) + len(self.memory) + len(self.bare) > _REMEMBERED:
+            # Words met early are the frequent ones: they stay.
+            kept = list(islice(self.rest.items(), _REMEMBERED // 3)), list(islice(self.bare.items(), _REMEMBERED // 15))
+            for memory in (self.rest, self.first, self.memory, self.bare):
                 memory.clear()
+            self.rest.update(kept[0])
+            self.bare.update(kept[1])
         return found
 
 
