@@ -17,6 +17,7 @@ makes a few rows.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -32,7 +33,7 @@ from marketframe.session import scratch_path
 SAMPLE = 4096
 PIVOTS = 256
 BLOCK_ROWS = 2048
-LEAF_ROWS = 64
+LEAF_ROWS = 128
 _SLACK = 1e-7
 _EXACT_FLOAT, _EXACT_LONG = 2.0**52, 2.0**62
 
@@ -57,12 +58,10 @@ class Space:
         gap = lifted - centre
         return np.sqrt((gap * gap).sum(1)) + _SLACK * self.norm
 
-    def bounds(self, scores: np.ndarray, length: float, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lowest and highest inner product of a query of this length with rows within ``radii`` of centres with these scores."""
-        full = length * self.norm
-        if not full:
-            return np.zeros(len(scores)), np.zeros(len(scores))
-        turn = np.arccos(np.clip(scores / full, -1.0, 1.0))
+    def bounds(self, scores: np.ndarray, lengths: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lowest and highest inner product of each query (a row of ``scores``) with rows within ``radii`` of the centres (its columns)."""
+        full = (lengths * self.norm)[:, None]
+        turn = np.arccos(np.clip(scores / np.where(full > 0, full, 1.0), -1.0, 1.0))
         wide = 2 * np.arcsin(np.minimum(1.0, radii / (2 * self.norm)))
         slack = _SLACK * full
         return full * np.cos(np.minimum(np.pi, turn + wide)) - slack, full * np.cos(np.maximum(0.0, turn - wide)) + slack
@@ -85,6 +84,10 @@ def spread_out(lifted: np.ndarray, space: Space, most: int) -> tuple[list[int],
     return chosen, gaps, near, apart
 
 
+#: Rows below a centre, best first: negated scores and ids.
+Ranked = tuple[list[float], list[int]]
+
+
 @dataclass(frozen=True)
 class Window:
     """What a query wants: scores from ``low`` to ``high``, and the score that enough rows are known to reach."""
@@ -95,23 +98,33 @@ class Window:
 
 
 class CoverTree:
-    """Levels over one block of rows. Node ``(l, j)`` is centre ``j`` in level ``l``; rows hang below the last level."""
+    """Levels over one block of rows. Node ``(l, j)`` is centre ``j`` in level ``l``; below the last level rows stand in the order of their centres.
+
+    ``order`` gives the place of each row in the block.
+    """
 
     def __init__(self, space: Space, rows: np.ndarray, level: np.ndarray, parent: np.ndarray, radii: list[list[float]], centre: np.ndarray, leaf: np.ndarray):
-        self.space, self.rows = space, rows.astype(space.kind)
-        self.centres = self.rows[centre]
+        self.space, self.centres = space, rows[centre].astype(space.kind)
+        self.order = np.argsort(leaf, kind="stable")
+        self.rows = rows[self.order].astype(space.kind)
+        self.starts = np.searchsorted(leaf[self.order], np.arange(len(level) + 1)).tolist()
         self.last = int(level.max())
+        self.sizes = [int((level <= number).sum()) for number in range(self.last + 1)]
         self.radii = np.zeros((self.last + 1, len(level)))
         for j, own in enumerate(radii):
             self.radii[level[j] :, j] = own
-        order = np.argsort(leaf, kind="stable")
-        self.below = np.split(order, np.searchsorted(leaf[order], np.arange(1, len(level))))
         # The children of (l, j): itself and the centres that enter at l + 1 under it.
         self.children = [
-            [np.concatenate([[j], entered[parent[entered] == j]]) for j in range(int((level <= number).sum()))]
+            [[j, *entered[parent[entered] == j].tolist()] for j in range(self.sizes[number])]
             for number, entered in ((n, np.flatnonzero(level == n + 1)) for n in range(self.last))
         ]
 
+    def bounds(self, queries: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per level the lowest and highest inner product of each query with the rows of each node."""
+        scores = (queries @ self.centres.T).astype(np.float64)
+        lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
+        return [self.space.bounds(scores[:, :n], lengths, self.radii[number, :n]) for number, n in enumerate(self.sizes)]
+
     @staticmethod
     def grow(space: Space, rows: np.ndarray, leaf_rows: int = LEAF_ROWS) -> tuple[np.ndarray, ...]:
         """``(centre row, level, parent, radii)`` of the centres and the last-level centre of every row."""
@@ -136,34 +149,27 @@ class CoverTree:
                 radii[j].insert(0, float(space.apart(lifted[held], at[j]).max()) if len(held) else 0.0)
         return np.array(chosen), level, parent, radii, leaf
 
-    def best(
-        self, query: np.ndarray, scores: np.ndarray, window: Window, count: int, ids: np.ndarray, allowed: np.ndarray, seen: dict[int, np.ndarray]
-    ) -> list[tuple[int, int]]:
-        """The first ``count`` ``(score, id)`` of the allowed rows in the window, best first; ``scores`` are those of the centres."""
-        length = float(np.sqrt((query.astype(np.float64) ** 2).sum()))
+    def best(self, low: list[list[float]], high: list[list[float]], window: Window, count: int, below: Callable[[int], Ranked]) -> list[tuple[int, int]]:
+        """The first ``count`` ``(score, id)`` in the window, best first, given one query's bounds per level and the ranked rows below a centre."""
         bar, found = window.low if window.reach is None else max(window.low, window.reach), []
-        heap = [(-float("inf"), 0, 0)]
+        heap = [(-high[0][0], 0, 0)]
         while heap:
-            high, number, j = heapq.heappop(heap)
-            if -high < bar:
+            top, number, j = heapq.heappop(heap)
+            if -top < bar:
                 break
             if number == self.last:
-                held = self.below[j]
-                if j not in seen:
-                    seen[j] = self.rows[held] @ query
-                mine = seen[j]
-                fits = allowed[held] & (mine >= bar) & (mine <= window.high)
-                if fits.any():
-                    found += zip((-mine[fits]).tolist(), ids[held[fits]].tolist())
-                    found = heapq.nsmallest(count, found)
+                scores, ids = below(j)
+                first = bisect.bisect_left(scores, -window.high)
+                end = min(first + count, bisect.bisect_right(scores, -bar))
+                if first < end:
+                    found = heapq.nsmallest(count, [*found, *zip(scores[first:end], ids[first:end])])
                     if len(found) == count:
                         bar = max(bar, -found[-1][0])
                 continue
-            nodes = self.children[number][j]
-            low, top = self.space.bounds(scores[nodes].astype(np.float64), length, self.radii[number + 1, nodes])
-            for k in np.flatnonzero((top >= bar) & (low <= window.high)):
-                heapq.heappush(heap, (-float(top[k]), number + 1, int(nodes[k])))
-        return [(int(-s), int(i)) for s, i in sorted(found)]
+            for k in self.children[number][j]:
+                if high[number + 1][k] >= bar and low[number + 1][k] <= window.high:
+                    heapq.heappush(heap, (-high[number + 1][k], number + 1, k))
+        return [(int(-s), int(i)) for s, i in found]
 
 
 # --- rows and the stored index ------------------------------------------------------------------
@@ -320,9 +326,8 @@ def _routed(queries: DataFrame, index: Index, count: int, same_label: bool, wind
                 own = cells[length]
                 vectors = _matrix(batch.column("vector").take(at), length).astype(own.space.kind)
                 scores = (vectors @ own.pivots.astype(own.space.kind).T).astype(np.float64)
-                norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(1))
-                for i, query, row_scores, norm in zip(at, vectors, scores, norms):
-                    low, high = own.space.bounds(row_scores, norm, own.radii)
+                lows, highs = own.space.bounds(scores, np.sqrt((vectors.astype(np.float64) ** 2).sum(1)), own.radii)
+                for i, query, low, high in zip(at, vectors, lows, highs):
                     same = own.labels == labels[i]
                     sampled = own.sample[same & (own.ids != ids[i]) if same_label else ~same] @ query
                     meets, reach = np.zeros(len(low), bool), []
@@ -355,7 +360,7 @@ class _Block:
     def ready(self, cells: dict[int, Cells]) -> None:
         table = pa.Table.from_batches(self.parts)
         length = len(table["vector"][0])
-        self.ids, self.labels = table["vec_id"].to_numpy(), table["label"].to_numpy()
+        ids, labels = table["vec_id"].to_numpy(), table["label"].to_numpy()
         centre = np.asarray(table["centre"].fill_null(-1))
         row = np.argsort(np.where(centre < 0, len(centre), centre), kind="stable")[: int((centre >= 0).sum())]
         nodes = table.take(row)
@@ -363,8 +368,24 @@ class _Block:
             cells[length].space, _matrix(table["vector"], length), nodes["level"].to_numpy(), nodes["parent"].to_numpy(),
             nodes["radii"].to_pylist(), row, table["leaf"].to_numpy(),
         )
+        self.ids, self.labels = ids[self.tree.order], labels[self.tree.order]
         self.parts = []
 
+    def ranked(self, query: np.ndarray, allowed: np.ndarray) -> Callable[[int], Ranked]:
+        """The allowed rows below a centre by their exact scores, worked out once per query."""
+        tree, seen = self.tree, {}
+
+        def below(j: int) -> Ranked:
+            if j not in seen:
+                low, high = tree.starts[j], tree.starts[j + 1]
+                fits = allowed[low:high]
+                scores, ids = -(tree.rows[low:high] @ query)[fits], self.ids[low:high][fits]
+                order = np.lexsort((ids, scores))
+                seen[j] = scores[order].tolist(), ids[order].tolist()
+            return seen[j]
+
+        return below
+
 
 def _search(queries: DataFrame, index: Index, count: int, same_label: bool, windows: Windows) -> DataFrame:
     """``(query_id, window, vec_id, score)``: the best rows of every block for every window of every query."""
@@ -397,13 +418,14 @@ def _search(queries: DataFrame, index: Index, count: int, same_label: bool, wind
                     block.ready(cells)
                 tree = block.tree
                 vectors = _matrix(part.column("vector"), tree.rows.shape[1]).astype(tree.rows.dtype)
-                scores = vectors @ tree.centres.T
+                bounds = tree.bounds(vectors)
                 for i, (query_id, label, given, reach) in enumerate(zip(*(part.column(c).to_pylist() for c in ("vec_id", "label", "given", "reach")))):
                     allowed = block.labels == label
                     allowed = allowed & (block.ids != query_id) if same_label else ~allowed
-                    seen: dict[int, np.ndarray] = {}
+                    low, high = ([side[i].tolist() for side in sides_] for sides_ in zip(*bounds))
+                    below = block.ranked(vectors[i], allowed)
                     for (window, least, most), known in zip(windows(given), reach):
-                        for score, vec_id in tree.best(vectors[i], scores[i], Window(least, most, known), count, block.ids, allowed, seen):
+                        for score, vec_id in tree.best(low, high, Window(least, most, known), count, below):
                             for column, value in zip(out, (query_id, window, vec_id, score)):
                                 column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["query_id", "window", "vec_id", "score"])

@@ -95,15 +95,16 @@ def test_bounds_hold_and_levels_cover(spark):
     assert level[0] == 0 and (np.diff(level) >= 0).all() and len(chosen) > 50
     tree = hardneg.CoverTree(space, rows, level, parent, radii, chosen, leaf)
     lifted = space.lift(rows)
-    under = {j: set(held.tolist()) for j, held in enumerate(tree.below)}
+    under = {j: set(tree.order[tree.starts[j] : tree.starts[j + 1]].tolist()) for j in range(len(chosen))}
+    queries = rng.integers(-100, 100, (7, 5))
+    bounds = tree.bounds(queries)
     for number in range(tree.last, -1, -1):
         if number < tree.last:
-            under = {j: set().union(*(under[int(k)] for k in tree.children[number][j])) for j in range(len(tree.children[number]))}
+            under = {j: set().union(*(under[k] for k in tree.children[number][j])) for j in range(len(tree.children[number]))}
         assert set().union(*under.values()) == set(range(400))
         for j, held in under.items():
             held = sorted(held)
             if held:
                 assert space.apart(lifted[held], lifted[chosen[j]]).max() <= tree.radii[number, j] * (1 + 1e-9)
-                q = rng.integers(-100, 100, 5)
-                low, high = space.bounds(np.array([float(rows[chosen[j]] @ q)]), float(np.sqrt((q**2).sum())), tree.radii[number, [j]])
-                assert low[0] <= (rows[held] @ q).min() and (rows[held] @ q).max() <= high[0]
+                scores = queries @ rows[held].T
+                assert (bounds[number][0][:, j] <= scores.min(1)).all() and (scores.max(1) <= bounds[number][1][:, j]).all()
