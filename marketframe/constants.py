@@ -99,6 +99,9 @@ QUOTE_FIELDS = [
     ("change_percent", "10. change percent", "0%"),
 ]
 
+# Reasons for which a landed document is set aside.
+EMPTY_DOCUMENT, NOT_JSON, NO_RECORDS = "empty document", "not JSON", "no records of this feed"
+
 # Texts of quality and freshness reports.
 UNKNOWN_SYMBOL = "UNKNOWN"
 MISSING_FIELD = "Missing required field"
@@ -112,5 +115,5 @@ OUT_OF_RANGE = " value out of range "
 NON_TRADING = " - non-trading day"
 NO_DAY = "No data for "
 WRONG_COUNT = "Expected {} stocks, got "
-NO_FEED = "No ", " data found"
-TOO_OLD = "Data is ", " days old (expected <=", ")"
+NO_FEED = "No %s data found"
+TOO_OLD = "Data is %d days old (expected <=%d)"

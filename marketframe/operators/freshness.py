@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe import constants as C
 from marketframe.functions import is_weekday
+from marketframe.sources.tables import file_inventory, has_files, with_file
 
 
 def completeness(files: DataFrame, days: DataFrame, expected: int = C.EXPECTED_QUOTES) -> DataFrame:
@@ -61,20 +62,29 @@ def staleness(files: DataFrame, as_of, limits: DataFrame) -> DataFrame:
     return rows.select(
         "feed",
         F.when(F.col("last_update").isNull() | late, "WARNING").otherwise("OK").alias("status"),
-        F.when(F.col("last_update").isNull(), F.concat(F.lit(C.NO_FEED[0]), F.col("feed"), F.lit(C.NO_FEED[1])))
-        .when(
-            late,
-            F.concat(
-                F.lit(C.TOO_OLD[0]), F.col("days_since_update").cast("string"), F.lit(C.TOO_OLD[1]),
-                F.col("max_days").cast("string"), F.lit(C.TOO_OLD[2]),
-            ),
-        )
+        F.when(F.col("last_update").isNull(), F.format_string(C.NO_FEED, "feed"))
+        .when(late, F.format_string(C.TOO_OLD, "days_since_update", "max_days"))
         .alias("message"),
         "partitions",
         "days_since_update",
     )
 
 
+def stored_quotes(rows: DataFrame, day: str = "date") -> DataFrame:
+    """The rows of a stored quote table as ``completeness`` wants them: each with the file it lies in and that file's time."""
+    return with_file(rows).select(F.to_date(day).alias("day"), "path", "modified", "symbol", "price")
+
+
+def stored_feeds(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
+    """The stored files of each feed as ``staleness`` wants them, from the listing alone; a feed without a folder has none."""
+    found = spark.createDataFrame([], "feed string, path string, modified timestamp")
+    for feed, root in roots.items():
+        if has_files(spark, root):
+            listed = file_inventory(spark, root).select(F.lit(feed).alias("feed"), "path", "modified")
+            found = found.unionByName(listed)
+    return found
+
+
 def health(reports: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFrame:
     """HEALTHY when every report row is OK, else NEEDS_ATTENTION with the issues; overall or per ``by``, such as the as-of day.
 

@@ -5,6 +5,7 @@ Each load stores its normalised records once below the scratch area; checks, tab
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -31,10 +32,11 @@ from marketframe.sources import landed
 
 @dataclass(frozen=True)
 class Load:
-    """The records of a load and its report (not blocking unless stated)."""
+    """The records of a load, its report (not blocking unless stated), and the documents it set aside, if any."""
 
     records: DataFrame
     report: DataFrame
+    rejected: DataFrame | None = None
 
 
 def _once(records: DataFrame, label: str) -> DataFrame:
@@ -53,6 +55,17 @@ def _publish(records: DataFrame, root: str, table: S.Table, mode: str, name: str
         register_changed(spark, name, table, root, changed)
 
 
+def _set_aside(docs: DataFrame, feed: str, root: str) -> DataFrame | None:
+    """Add the documents that give no record, with the reason, to ``<root>-rejected``, and return those of this load.
+
+    This reads the documents once more; only those set aside are written.
+    """
+    path = f"{root}-rejected/load={uuid.uuid4().hex}"
+    landed.rejected(docs, feed).write.parquet(path)
+    found = docs.sparkSession.read.parquet(path)
+    return None if found.isEmpty() else found
+
+
 def load_quotes(
     raw: DataFrame, root: str, day: str | Column, expected: DataFrame, stamp: Stamp = None, name: str | None = None
 ) -> Load:
@@ -71,12 +84,13 @@ def load_macro(
     spark: SparkSession, path: str, root: str, stamp: Stamp = None, mode: str = OVERWRITE, per_line: bool = False,
     name: str | None = None,
 ) -> Load:
-    """Macro documents into ``macro_indicators``, one partition per series and year."""
-    parsed = landed.read_macro_json(spark, path, per_line)
+    """Macro documents into ``macro_indicators``, one partition per series and year. Documents that give nothing are set aside."""
+    docs = landed.read_documents(spark, path, per_line)
+    rejected, parsed = _set_aside(docs, "macro", root), landed.parse_macro(docs)
     records = _once(landed.macro_records(parsed, stamp), "load_macro")
     assert_nonempty(records, "No macro records extracted: all values missing")
     _publish(records.withColumn("series", F.col("series_id")), root, S.MACRO, mode, name)
-    return Load(records, check_macro(records, macro_ranges(spark)))
+    return Load(records, check_macro(records, macro_ranges(spark)), rejected)
 
 
 def load_fundamentals(
@@ -98,12 +112,13 @@ def load_fundamentals_documents(
     document_order: Sequence[str] = (), table: S.Table = S.FUNDAMENTALS_BY_YEAR,
 ) -> Load:
     """The same for documents at hand, with the columns that order a company's documents."""
+    rejected = _set_aside(docs, "company_facts", root)
     facts = annual_only(landed.parse_xbrl(docs, [capex_tag, *revenue_tags]))
     records = _once(fundamentals(facts, capex_tag, revenue_tags, min_year, stamp, document_order), "load_fundamentals")
     assert_nonempty(records, "No fundamental records extracted")
     _publish(records, root, table, mode, name)
     checked = records.withColumnsRenamed({"capex_usd": "capex", "revenue_usd": "revenue"})
-    return Load(records, check_fundamentals(checked))
+    return Load(records, check_fundamentals(checked), rejected)
 
 
 def backfill_prices(
@@ -122,6 +137,8 @@ def backfill_prices(
 
     ``symbol`` says how to read the symbol from a document's ``path``.
     """
-    records = _once(landed.read_monthly_json(spark, path, symbol, start, end, stamp, per_line), "backfill")
+    docs = landed.read_documents(spark, path, per_line).withColumn("symbol", symbol)
+    rejected = _set_aside(docs, "monthly_prices", root)
+    records = _once(landed.parse_monthly(docs, start, end, stamp), "backfill")
     _publish(records, root, S.PRICES, OVERWRITE, name)
-    return Load(records, load_report(expected, records))
+    return Load(records, load_report(expected, records), rejected)

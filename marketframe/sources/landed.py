@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,32 @@ def read_documents(spark: SparkSession, path: str, per_line: bool = False) -> Da
     return text.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+def rejected(docs: DataFrame, feed: str, text: str = "value") -> DataFrame:
+    """The documents a feed's parser gives nothing for, as ``(other columns..., reason, text)``: what a load has to report instead of passing over.
+
+    ``feed`` is ``quotes``, ``macro``, ``company_facts`` or ``monthly_prices``. A document is empty (null or blank), no JSON, or JSON without a record
+    of the feed.
+    """
+
+    def any_value(name: str) -> Callable[[Column], Column]:
+        return lambda found: F.exists(F.map_values(found), lambda one: one[name].isNotNull())
+
+    forms: dict[str, tuple[str, Callable[[Column], Column]]] = {
+        "quotes": (S.QUOTE_DOC, lambda found: F.size(found["Global Quote"]) > 0),
+        "macro": (S.MACRO_DOC, any_value("observations")),
+        "company_facts": (S.XBRL_DOC, any_value("facts")),
+        "monthly_prices": (S.MONTHLY_DOC, lambda found: F.size(found["Monthly Adjusted Time Series"]) > 0),
+    }
+    form, filled = forms[feed]
+    reason = (
+        F.when(F.coalesce(F.trim(text), F.lit("")) == "", C.EMPTY_DOCUMENT)
+        .when(F.try_parse_json(F.col(text)).isNull(), C.NOT_JSON)
+        .when(~F.coalesce(filled(F.from_json(text, form)), F.lit(False)), C.NO_RECORDS)
+    )
+    others = [c for c in docs.columns if c != text]
+    return docs.select(*others, reason.alias("reason"), text).where("reason IS NOT NULL")
+
+
 # --- daily quotes -------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marketframe import constants as C
+from marketframe import schemas as S
 
 
 def rnd(expr: str, digits: int) -> str:
@@ -298,10 +299,10 @@ for _name, _first in (("partition_roundtrip", 2000), ("skip_existing", 1999)):
     _add(_name, (MACRO,), f"""
 SELECT {_STORED}, month, {rnd(f'value + CASE WHEN year >= {_first} THEN 1 ELSE 0 END', 6)} AS value FROM macro""")
 _TOTALS = f"trading_day AS date, symbol, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume, {rnd('sum(price)', 4)} AS price"
+# Streamed and appended once more, but for the last day, which is replaced.
 _add("incremental_load", (QUOTES,), f"""
 SELECT {_TOTALS} FROM (
-  SELECT * FROM quotes WHERE trading_day < '2024-01-20' UNION ALL SELECT * FROM quotes WHERE volume % 5 = 0 AND trading_day < '2024-01-20'
-  UNION ALL SELECT * FROM quotes WHERE volume % 2 = 0 AND trading_day >= '2024-01-20') GROUP BY 1, 2""")
+  SELECT * FROM quotes UNION ALL SELECT * FROM quotes WHERE trading_day < (SELECT max(trading_day) FROM quotes)) GROUP BY 1, 2""")
 _add("load_quotes_run", (QUOTES,), f"""
 SELECT {_TOTALS} FROM quotes WHERE price > 0 AND volume >= 0 AND abs(change_percent) <= 50 GROUP BY 1, 2""")
 ORACLES["load_macro_run"], ORACLES["load_fundamentals_run"] = ORACLES["macro_parse"], ORACLES["fundamentals"]
@@ -504,6 +505,53 @@ FROM reports GROUP BY day""")
 
 # --- SQL catalogue ------------------------------------------------------------------------------
 
+_SEVEN = [
+    ("stocks", "quotes", "trading_day", S.STOCKS), ("macro_indicators", "macro", "(series_id, year)", S.MACRO),
+    ("fundamentals", "facts", "year", S.FUNDAMENTALS_BY_YEAR), ("historical_prices", "prices", "symbol", S.PRICES),
+    ("crypto", "orders", "date_trunc('month', o_orderdate::DATE)", S.CRYPTO), ("weather", "customer", "c_nationkey", S.WEATHER),
+    ("forecast", "customer", "c_nationkey", S.FORECAST),
+]
+_add("catalog_tables", (QUOTES, MACRO, PRICES, f"facts AS ({ORACLES['fundamentals']})"), " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS records, count(DISTINCT {key}) AS stored, '{', '.join(table.schema.names)}' AS columns FROM {source}"
+    for name, source, key, table in _SEVEN))
+_EXPORTED = {
+    "backtest_results": "csv_roundtrip", "export_master": "export_master", "category_summary": "value_chain_summary", "build_vs_rent": "comparison_table",
+    "capex_efficiency": None, "value_chain_summary": "value_chain_summary", "rolling_sharpe": None,
+}
+_COUNTED = {
+    "capex_efficiency": "SELECT 1 FROM metrics WHERE symbol IN (SELECT symbol FROM spend)", "rolling_sharpe": "SELECT 1 FROM rolling WHERE symbol IN (SELECT symbol FROM metrics)",
+}
+_add("exports_roundtrip", (*METRIC_PARTS, RETURNS, ROLLING), " UNION ALL ".join(
+    f"SELECT '{name}' AS name, '{', '.join(list(S.EXPORTS[name].values()) if isinstance(S.EXPORTS[name], dict) else S.EXPORTS[name])}' AS headings, "
+    f"(SELECT count(*) FROM ({_COUNTED[name] if same is None else ORACLES[same]})) AS records" for name, same in _EXPORTED.items()))
+_add("load_rejects", (MACRO,), """
+, docs AS (SELECT series_id, year, CASE WHEN series_id = 'UNRATE' AND year % 2 = 0 THEN 'not JSON' WHEN series_id = 'GS10' AND year % 3 = 0 THEN 'empty document'
+    WHEN series_id = 'CPIAUCSL' AND year % 3 = 1 THEN 'no records of this feed' END AS reason FROM (SELECT DISTINCT series_id, year FROM macro))
+SELECT reason AS state, count(*) AS n FROM docs WHERE reason IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'loaded ' || series_id, count(*) FROM macro JOIN docs USING (series_id, year)
+WHERE reason IS NULL AND NOT (series_id = 'UNRATE' AND value < 5.0) GROUP BY 1""")
+_add("scan_absent", (), """
+SELECT unnest(['NOT_THERE', 'NOR_THIS']) AS series,
+       'no data under the table for series [''NOT_THERE'', ''NOR_THIS''] in 1990-2030' AS message""")
+_add("dq_missing_columns", (QUOTES, MACRO, f"facts AS ({ORACLES['fundamentals']})"), """
+SELECT 'macro' AS "table", count(*) AS row_count, 'Missing columns: [''date'']' AS errors, false AS valid FROM macro
+UNION ALL SELECT 'fundamentals', count(*), 'Missing columns: [''revenue'']', false FROM facts
+UNION ALL SELECT 'quotes', count(*), 'Missing required field: price', false FROM quotes
+UNION ALL SELECT 'quotes', count(*), 'Invalid price: $0', false FROM quotes""")
+_add("completeness_stored", (QUOTES,), """
+, stored AS (SELECT CAST(trading_day AS DATE) AS day, count(DISTINCT symbol) AS n FROM quotes GROUP BY 1),
+days AS (SELECT day FROM stored UNION SELECT CAST(day + INTERVAL 40 DAY AS DATE) FROM stored),
+state AS (SELECT d.day, n, dayofweek(d.day) BETWEEN 1 AND 5 AS trading FROM days d LEFT JOIN stored s ON s.day = d.day)
+SELECT day, CASE WHEN NOT trading THEN 'OK' WHEN n IS NULL THEN 'WARNING' WHEN n = 18 THEN 'OK' ELSE 'ERROR' END AS status,
+  CASE WHEN NOT trading THEN dayname(day) || ' - non-trading day' WHEN n IS NULL THEN 'No data for ' || strftime(day, '%Y-%m-%d')
+    WHEN n <> 18 THEN 'Expected 18 stocks, got ' || n END AS message,
+  CASE WHEN trading THEN n END AS records, CASE WHEN trading AND n = 18 THEN n END AS n_prices FROM state""")
+_add("staleness_stored", (MACRO, PRICES), """
+SELECT 'macro_indicators' AS feed, 'WARNING' AS status, 'Data is 40 days old (expected <=35)' AS message,
+       count(DISTINCT (series_id, year)) AS partitions, 40::BIGINT AS days_since_update FROM macro
+UNION ALL SELECT 'historical_prices', 'OK', NULL, count(DISTINCT symbol), 40 FROM prices
+UNION ALL SELECT 'fundamentals', 'WARNING', 'No fundamentals data found', NULL, NULL""")
+
 _add("sql1_daily_leader", (QUOTES,), """
 SELECT symbol, trading_day, change_percent FROM quotes
 QUALIFY row_number() OVER (PARTITION BY trading_day ORDER BY change_percent DESC, symbol, quote_id) = 1""")

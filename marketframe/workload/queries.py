@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from marketframe.operators.ordered import first_per_key
 from marketframe.operators.panel import max_drawdown, monthly_returns, period_returns, rolling_mean
 from marketframe.plans import backtest, loads, regime, sqlcatalog
 from marketframe.session import cut_lineage, scratch_path
+from marketframe.sinks import snapshots
 from marketframe.sinks import tables as sinks
 from marketframe.sources import landed
 from marketframe.sources import tables as stored
@@ -186,10 +189,10 @@ def incremental_load(spark, sf):
             lambda df: df.withColumn("date", F.col("trading_day")),
         )
     whole = rows.drop("kind").withColumn("date", F.col("trading_day"))
-    sinks.write_table(whole.where("volume % 5 = 0"), root, S.STOCKS, sinks.APPEND)
-    sinks.write_table(whole.where("volume % 7 = 0"), root, S.STOCKS, sinks.SKIP)  # every day is there
-    last = whole.where("volume % 2 = 0 AND date >= '2024-01-20'")
-    sinks.write_table(last, root, S.STOCKS, sinks.OVERWRITE)
+    sinks.write_table(whole, root, S.STOCKS, sinks.APPEND)
+    sinks.write_table(whole, root, S.STOCKS, sinks.SKIP)  # every day is there
+    late = whole.where(F.col("date") >= whole.agg(F.max("date")).scalar())
+    sinks.write_table(late, root, S.STOCKS, sinks.OVERWRITE)
     listed = stored.partitions(spark, root, S.STOCKS.keys)
     return _stock_totals(stored.read_table(spark, S.STOCKS, root).join(listed, "date", "left_semi"))
 
@@ -304,6 +307,82 @@ def catalog_partitions(spark, sf):
     return _and_drop(spark, spark.table(name).groupBy("series", "year").agg(F.count("*").alias("n")), name)
 
 
+@query
+def catalog_tables(spark, sf):
+    """All seven tables published, registered by the partitions written, and read back through the catalog."""
+    month = F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd")
+    crypto = T.load(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("symbol"), F.col("o_totalprice").alias("price"), iso_date("o_orderdate").alias("timestamp"), month.alias("date")
+    )
+    city = T.load(spark, sf, "customer").select(
+        F.col("c_name").alias("city"), F.col("c_acctbal").alias("temperature"), (F.col("c_acctbal") - 1).alias("feels_like"),
+        (F.col("c_custkey") % 100).cast("int").alias("humidity"), F.col("c_mktsegment").alias("description"),
+        (F.col("c_custkey") % 30).cast("double").alias("wind_speed"), F.lit(STAMP).alias("timestamp"), F.concat(F.lit("n"), "c_nationkey").alias("date"),
+    )
+    prices = T.prices(spark, sf).select("symbol", iso_date("date").alias("date"), "close", "volume", F.lit(STAMP).alias("extracted_at"))
+    facts = fundamentals(annual_only(T.filings(spark, sf)), T.CAPEX_TAG, T.REVENUE_TAGS, T.MIN_YEAR, STAMP)
+    frames = [
+        (S.STOCKS, T.quotes(spark, sf).withColumn("date", F.col("trading_day"))), (S.MACRO, _macro_table(spark, sf)),
+        (S.FUNDAMENTALS_BY_YEAR, facts), (S.PRICES, prices), (S.CRYPTO, crypto), (S.WEATHER, city),
+        (S.FORECAST, city.withColumn("forecast_time", F.lit(STAMP))),
+    ]
+    reports = []
+    for table, rows in frames:
+        root = scratch_path(spark, table.name)
+        name = sinks.create_table(spark, table, root, f"{table.name}_{root[-32:]}")
+        snapshots.register_changed(spark, name, table, root, snapshots.publish(rows, root, table))
+        keys = ", ".join(table.keys)
+        counted = spark.sql(f"SELECT '{table.name}' AS name, count(*) AS records, count(DISTINCT {keys}) AS stored FROM {name}")
+        described = counted.withColumn("columns", F.lit(", ".join(spark.table(name).columns)))
+        reports.append(_and_drop(spark, described, name))
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query
+def exports_roundtrip(spark, sf):
+    """All report tables as CSV files with their headings, read back."""
+    out, security, spend = scratch_path(spark, "exports"), T.security(spark, sf), T.known_spend(spark, sf)
+    results = backtest.run_backtest(T.prices(spark, sf), security, spend, _rate(spark, sf), out)
+    written = backtest.export_analyses(results, security, spend, out)
+    reports = []
+    for name in written:
+        read = spark.read.option("header", True).option("escape", '"').csv(f"{out}/{S.EXPORT_FILES.get(name, name)}")
+        headings = F.lit(", ".join(read.columns)).alias("headings")
+        reports.append(read.agg(F.count("*").alias("records")).select(F.lit(name).alias("name"), headings, "records"))
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query
+def load_rejects(spark, sf):
+    """Macro documents of which some are cut short, empty or of another form: why each was set aside, and what was loaded."""
+    landing, root = scratch_path(spark, "broken"), scratch_path(spark, "macro")
+    year = F.regexp_extract("value", '"date":"([0-9]{4})', 1).cast("int")
+    broken = (
+        F.when(F.col("value").contains('"UNRATE"') & (year % 2 == 0), F.substring("value", 1, 40))
+        .when(F.col("value").contains('"GS10"') & (year % 3 == 0), F.lit(""))
+        .when(F.col("value").contains('"CPIAUCSL"') & (year % 3 == 1), F.lit('{"CPIAUCSL": 5}'))
+        .otherwise(F.col("value"))
+    )
+    D.macro_documents(spark, sf).select(broken.alias("value")).write.text(landing)
+    load = loads.load_macro(spark, landing, root, STAMP, per_line=True)
+    loaded = stored.read_table(spark, S.MACRO, root).groupBy(F.concat(F.lit("loaded "), "series_id").alias("state")).agg(F.count("*").alias("n"))
+    return loaded.unionByName(load.rejected.groupBy(F.col("reason").alias("state")).agg(F.count("*").alias("n")))
+
+
+@query
+def scan_absent(spark, sf):
+    """A scan of which no series is stored raises; the series it asked for, with what it said."""
+    root = scratch_path(spark, "scan_absent")
+    sinks.write_table(_macro_table(spark, sf), root, S.MACRO)
+    wanted = spark.createDataFrame([("NOT_THERE",), ("NOR_THIS",)], "series string")
+    try:
+        stored.scan_series(spark, root, ["NOT_THERE", "NOR_THIS"], (1990, 2030))
+    except ValueError as error:
+        said = str(error).replace(root, "the table")
+        return stored.missing_series(wanted, stored.read_table(spark, S.MACRO, root), "series").withColumn("message", F.lit(said))
+    raise AssertionError("the scan should have raised")
+
+
 @query
 def file_inventory(spark, sf):
     root = scratch_path(spark, "inventory")
@@ -598,6 +677,19 @@ def dq_fundamentals(spark, sf):
     return quality.check_fundamentals(rows.withColumnsRenamed({"capex_usd": "capex", "revenue_usd": "revenue"}))
 
 
+@query
+def dq_missing_columns(spark, sf):
+    """The reports of checks whose frame lacks a required column."""
+    macro = quality.check_macro(T.macro(spark, sf).drop("date"), quality.macro_ranges(spark)).withColumn("table", F.lit("macro"))
+    facts = fundamentals(annual_only(T.filings(spark, sf)), T.CAPEX_TAG, T.REVENUE_TAGS, T.MIN_YEAR)
+    filed = quality.check_fundamentals(facts.withColumnsRenamed({"capex_usd": "capex"})).withColumn("table", F.lit("fundamentals"))
+    quotes = quality.check_quotes(T.quotes(spark, sf).drop("price"), keep=["quote_id"])
+    lacking = quotes.where("error LIKE '%price%'").groupBy(F.regexp_replace("error", "^[^:]*: ", "").alias("errors")).agg(F.count("*").alias("row_count"))
+    columns = ["table", "row_count", "errors", "valid"]
+    named = lacking.select(F.lit("quotes").alias("table"), "row_count", "errors", F.lit(False).alias("valid"))
+    return macro.select(*columns).unionByName(filed.select(*columns)).unionByName(named)
+
+
 @query
 def missing_series(spark, sf):
     """Brands of the catalogue without spending data."""
@@ -672,6 +764,35 @@ def staleness(spark, sf):
     return _staleness(spark, sf)
 
 
+@query
+def completeness_stored(spark, sf):
+    """The state of each stored day from its newest file: every day is stored whole, and once more with the first quote per symbol."""
+    root = scratch_path(spark, "stored_quotes")
+    rows = T.quotes(spark, sf).withColumn("date", F.col("trading_day"))
+    sinks.write_table(rows, root, S.STOCKS)
+    first = first_per_key(rows, ["symbol", "trading_day"], [F.col("quote_id").asc()])
+    sinks.write_table(first, root, S.STOCKS, sinks.APPEND)
+    files = freshness.stored_quotes(stored.read_table(spark, S.STOCKS, root))
+    days = stored.partitions(spark, root, S.STOCKS.keys).select(F.to_date("date").alias("day"))
+    state = freshness.completeness(files, days.unionByName(days.select(F.date_add("day", 40).alias("day"))), 18)
+    return state.select("day", "status", "message", "records", F.size(F.map_keys("prices")).cast("bigint").alias("n_prices"))
+
+
+@query
+def staleness_stored(spark, sf):
+    """Stored feeds as seen 40 days after they were written."""
+    macro, prices = scratch_path(spark, "macro_indicators"), scratch_path(spark, "historical_prices")
+    sinks.write_table(_macro_table(spark, sf), macro, S.MACRO)
+    quoted = T.prices(spark, sf).select("symbol", iso_date("date").alias("date"), "close", "volume", F.lit(STAMP).alias("extracted_at"))
+    sinks.write_table(quoted, prices, S.PRICES)
+    files = freshness.stored_feeds(
+        spark, {"macro_indicators": macro, "historical_prices": prices, "fundamentals": scratch_path(spark, "never_written")}
+    )
+    limits = spark.createDataFrame([("macro_indicators", 35), ("historical_prices", 120), ("fundamentals", 120)], "feed string, max_days int")
+    later = datetime.now(timezone.utc) + timedelta(days=40, hours=12)
+    return freshness.staleness(files, later.strftime("%Y-%m-%d %H:%M:%S"), limits)
+
+
 @query
 def health(spark, sf):
     """The roll-up of every day: the day's quotes beside the state of all feeds."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from marketframe import constants as C
+from marketframe import schemas as S
 from marketframe.operators.fundamentals import annual_only, fundamentals
 from marketframe.sources import landed
 
@@ -154,3 +155,32 @@ def test_unreadable_documents_give_no_rows(spark, text):
     assert landed.parse_quotes(df).isEmpty()
     assert landed.parse_macro(df.select("value")).isEmpty()
     assert landed.parse_xbrl(df.select("value")).isEmpty()
+
+
+def test_documents_that_give_nothing_are_told_with_the_reason(spark):
+    texts = [
+        None, "  ", "nonsense", '{"GS10": {"series_id": "GS10"', "[1]", "{}", '{"GS10": 5}', '{"GS10": {"series_id": "x"}}', json.dumps(MACRO), "null",
+    ]
+    frame = spark.createDataFrame([(f"p{i}", t) for i, t in enumerate(texts)], "path string, value string")
+    got = {r.path: r.reason for r in landed.rejected(frame, "macro").collect()}
+    empty, broken, nothing = "empty document", "not JSON", "no records of this feed"
+    assert got == {"p0": empty, "p1": empty, "p2": broken, "p3": broken, **{f"p{i}": nothing for i in (4, 5, 6, 7, 9)}}
+    for feed in ("quotes", "company_facts", "monthly_prices"):
+        assert landed.rejected(frame, feed).count() == len(texts)
+    assert landed.rejected(docs(spark, ("NVDA", quote())), "quotes").count() == 0
+
+
+def test_a_load_sets_broken_documents_aside_and_goes_on(spark, path):
+    from marketframe.plans.loads import load_macro
+    from marketframe.sources import tables as stored
+
+    Path(path("in")).mkdir()
+    write(path("in/good.json"), MACRO)
+    Path(path("in/bad.json")).write_text('{"GS10": ')
+    load = load_macro(spark, path("in"), path("macro"), "now")
+    row = load.rejected.first()
+    assert load.rejected.count() == 1 and row.path.endswith("in/bad.json") and (row.reason, row.value) == ("not JSON", '{"GS10": ')
+    assert load.records.count() > 0 and spark.read.parquet(f"{path('macro')}-rejected").count() == 1
+    Path(path("in/bad.json")).unlink()
+    assert load_macro(spark, path("in"), path("macro"), "now").rejected is None
+    assert stored.read_table(spark, S.MACRO, path("macro")).count() == load.records.count()
