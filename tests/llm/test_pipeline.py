@@ -47,7 +47,7 @@ def test_near_duplicate_stage_leaves_one_of_each_group(stages):
     from test_neardup import brute_force
 
     before, after = by_id(stages[1]), by_id(stages[2])
-    expected = brute_force([(i, r.text) for i, r in before.items()])
+    expected = brute_force([(i, r.text) for i, r in before.items()], percent=80)
     assert set(after) == {i for i, (_, root) in expected.items() if i == root}
     assert all(after[i] == before[i] for i in after)
 
