@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketframe import constants as C
 from marketframe.functions import month_end, simple_return, stable_round, stance_label, signed_percent
+from marketframe.operators.ordered import Segments, by_segment
 from marketframe.operators.panel import monthly_returns
 from marketframe.operators.risk import trailing_sharpe_asof
 from marketframe.session import cut_lineage
@@ -195,20 +196,34 @@ def stance(summary: DataFrame, cuts: Sequence[float] = C.STANCE_CUTS) -> DataFra
     ).orderBy(F.col("avg_builder_premium").desc_nulls_last(), "combined_regime")
 
 
-def regime_runs(panel: DataFrame, drop_last: bool = False, by: Sequence[str] = ()) -> DataFrame:
+def regime_runs(
+    panel: DataFrame, drop_last: bool = False, by: Sequence[str] = (), segments: Segments | None = None
+) -> DataFrame:
     """Runs of consecutive months with one label: start, the month the next run begins, months.
 
-    The last run ends with its own last month; ``drop_last`` leaves it out. ``panel`` has one row per
-    month (and ``by``), so the windows are calendar sized.
+    The last run ends with its own last month; ``drop_last`` leaves it out. ``panel`` has one row per month and ``by``, so without
+    ``segments`` the windows are as long as the calendar. With the ``segments`` of ``by`` along ``month`` a long key is numbered piece by piece; a
+    piece whose first label continues the last one of the piece before shares that run.
     """
-    ordered = W.partitionBy(*by).orderBy("month")
+    rows, keys = by_segment(panel.select(*by, "month", "combined_regime"), by, segments)
+    ordered = W.partitionBy(*keys).orderBy("month")
     label = F.col("combined_regime")
-    starts = panel.select(*by, "month", label, (~label.eqNullSafe(F.lag(label).over(ordered))).cast("int").alias("starts"))
-    numbered = starts.select(*by, "month", label, F.sum("starts").over(ordered).alias("run_id"))
+    before = F.lag(F.struct(label)).over(ordered)  # a struct tells a missing row from a missing label
+    starts = rows.withColumn("starts", (~F.struct(label).eqNullSafe(before)).cast("int"))
+    numbered = starts.withColumn("run_id", F.sum("starts").over(ordered))
+    if segments is not None:
+        numbered = _joined_runs(numbered, by, [k for k in keys if k not in by])
     runs = numbered.groupBy(*by, "run_id", "combined_regime").agg(
         F.min("month").alias("start_month"), F.max("month").alias("last_month"), F.count("*").alias("n_months")
     )
-    out = runs.withColumn("next_start", F.lead("start_month").over(W.partitionBy(*by).orderBy("run_id")))
+    if segments is None:
+        out = runs.withColumn("next_start", F.lead("start_month").over(W.partitionBy(*by).orderBy("run_id")))
+    else:  # a long key may have many runs: each meets the one after it by number
+        later = runs.select(*[F.col(c).alias(f"__{c}") for c in by], (F.col("run_id") - 1).alias("__run"), F.col("start_month").alias("next_start"))
+        same = F.col("run_id") == F.col("__run")
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        out = runs.join(later, same, "left")
     if drop_last:
         out = out.where(F.col("next_start").isNotNull())
     return out.select(
@@ -219,3 +234,22 @@ def regime_runs(panel: DataFrame, drop_last: bool = False, by: Sequence[str] = (
         F.coalesce("next_start", "last_month").alias("end_month"),
         "n_months",
     )
+
+
+def _joined_runs(numbered: DataFrame, by: Sequence[str], piece: Sequence[str]) -> DataFrame:
+    """Run numbers of pieces turned into those of the whole key: one row per piece decides, with its first and last label and its runs."""
+    label = F.struct("combined_regime")
+    pieces = numbered.groupBy(*by, *piece).agg(
+        F.min_by(label, "month").alias("first"), F.max_by(label, "month").alias("last"), F.max("run_id").alias("n")
+    )
+    along = W.partitionBy(*by).orderBy(*piece)
+    continues = F.coalesce((F.lag("last").over(along).eqNullSafe(F.col("first"))).cast("int"), F.lit(0))
+    earlier = along.rowsBetween(W.unboundedPreceding, -1)
+    shifted = pieces.withColumn("continues", continues).select(
+        *[F.col(c).alias(f"__{c}") for c in (*by, *piece)],
+        (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.sum("continues").over(along)).alias("__shift"),
+    )
+    same = F.lit(True)
+    for c in (*by, *piece):
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return numbered.join(shifted, same).withColumn("run_id", F.col("run_id") + F.col("__shift"))

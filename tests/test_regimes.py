@@ -167,3 +167,31 @@ def test_regions_are_classified_and_followed_separately(spark):
     assert got == {("east", "normal"), ("west", "elevated")}
     runs = R.regime_runs(monthly, by=["region"]).where("region = 'west'").orderBy("run_id").collect()
     assert [r.combined_regime for r in runs] == ["falling_normal_elevated", "rising_normal_elevated"]
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_runs_of_a_key_that_holds_all_rows(spark, rare):
+    """Cut into pieces, the runs are those of one pass, also when a run spans several pieces or a label is missing."""
+    from marketframe.operators.ordered import find_segments
+
+    labels = [None if i % 97 == 0 else ("a" if rare and i % 400 else "abc"[i * 7919 % 11 % 3]) for i in range(3000)]
+    expected, previous = [], object()
+    for i, label in enumerate(labels):
+        if label != previous:
+            if expected:
+                expected[-1][3] = i
+            expected.append([len(expected) + 1, label, i, i, 0])
+        expected[-1][4] += 1
+        if i == len(labels) - 1:
+            expected[-1][3] = i
+        previous = label
+    data = [("west", i, label) for i, label in enumerate(labels)] + [(None, 1, "a"), ("east", 1, "b"), ("east", 2, "b")]
+    panel = spark.createDataFrame(data, "region string, month int, combined_regime string").repartition(8)
+    segments = find_segments(panel, ["region"], ["month"])
+    assert segments is not None and segments.longest > 2
+    runs = R.regime_runs(panel, by=["region"], segments=segments)
+    columns = ("run_id", "combined_regime", "start_month", "end_month", "n_months")
+    assert rows(runs.where("region = 'west'"), *columns) == sorted(map(tuple, expected), key=repr)
+    assert rows(runs.where("region = 'east' OR region IS NULL"), "region", *columns) == [("east", 1, "b", 1, 2, 2), (None, 1, "a", 1, 1, 1)]
+    assert rows(R.regime_runs(panel, by=["region"])) == rows(runs)
+    assert R.regime_runs(panel, True, ["region"], segments).count() == len(expected) - 1
