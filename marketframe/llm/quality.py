@@ -1,21 +1,20 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-Every rule rejects documents whose measure is above a cutoff. For each stratum and rule the cutoff is the strictest on a fixed
-ladder for which the labelled good documents prove, by the exact binomial test, that at most ``risk / rules`` of the good documents
-of the stratum are rejected. The ladder is walked from lenient to strict and stops at the first failure (fixed-sequence testing, no
-correction needed along it); strata and rules share the error probability (Bonferroni). With all tests holding together with
-probability ``1 - error``, no stratum loses more than ``risk`` of its good documents to the rules. A stratum with too few labels to prove anything
-rejects nothing.
-
-``pooled`` lets a stratum that has too few labels for these tests, even if no good document were rejected, be tested as a whole: all rules share one
-cutoff, and the documents that any rule rejects are tested at ``risk`` along the same ladder. Which way a stratum is tested depends on its
-number of labels alone, so ``risk`` and ``error`` hold as before.
+Every rule rejects documents whose measure is above its cutoff. The cutoffs of all rules walk one ladder together: each rule has a unit (about
+what published rule sets use for it), and a step of the ladder sets every cutoff to the same multiple of its unit. For each stratum the
+verdict is the strictest step for which the labelled good documents prove, by the exact binomial test, that at most ``risk`` of the good
+documents of the stratum are rejected by any rule. The ladder is walked from lenient to strict and stops at the first failure
+(fixed-sequence testing, no correction needed along it); strata share the error probability (Bonferroni). With all tests holding together with
+probability ``1 - error``, no stratum loses more than ``risk`` of its good documents to the rules. All strata are tested alike; one with too few
+labels to prove anything rejects nothing (``ln(error / strata) / ln(1 - risk)`` are needed: 217 at 2 %, 5 % and four strata).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +33,14 @@ RULES: dict[str, Callable[[], Column]] = {
     "marks": lambda: _per_mille("n_marks", "word_chars"),
     "repeats": lambda: _per_mille("n_repeat_words", "n_words"),
 }
-#: Cutoffs in thousandths, strict to lenient.
-LADDER = [10, 15, 20, 30, 40, 50, 60, 80, 100, 120, 150, 200, 250, 300, 400, 500, 600, 700, 800, 900]
+#: The cutoff of each rule, in thousandths, at a multiple of one.
+UNITS = {"symbols": 20, "capitals": 100, "marks": 20, "repeats": 180}
+#: Multiples of the units in tenths, strict to lenient.
+LADDER = [5, 8, 10, 12, 15, 20, 25, 30, 40, 50, 60, 80, 100, 150, 200]
+
+
+def _cutoff(rule: str, tenths: int) -> int:
+    return UNITS[rule] * tenths // 10
 
 
 def _per_mille(part: str, whole: str) -> Column:
@@ -168,78 +173,90 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(kd < nd * p, F.least(whole, F.lit(1.0))).otherwise(F.lit(1.0))
 
 
-def cutoffs(
-    measured: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.02, error: float = 0.05, pooled: bool = False
-) -> DataFrame:
-    """``(stratum, rule, cutoff)``: the strictest proven cutoffs; no row where none is proven.
+def _above(cutoff: Callable[[str], Column]) -> Column:
+    """Whether any rule's measure is above its cutoff; a null cutoff rejects nothing."""
+    return reduce(or_, (F.coalesce(make() > cutoff(name), F.lit(False)) for name, make in RULES.items()))
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.02, error: float = 0.05) -> DataFrame:
+    """The stratum and ``cut_<rule>`` of every rule at the strictest proven step; no row for a stratum where none is proven.
 
     The holdout is every labelled good document that passes the base rules. A document labelled more than once counts as good
     if one label says so; rows without id or quality count for nothing.
     """
     good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
     holdout = measured.where(~base_failed()).join(good, F.col("__id") == F.col("doc_id"), "left_semi")
-    rejected = [
-        F.array(*[F.sum((make() > c).cast("long")) for c in LADDER]).alias(f"k_{name}") for name, make in RULES.items()
-    ]
-    if pooled:
-        worst = F.greatest(*[make() for make in RULES.values()])
-        rejected.append(F.array(*[F.sum((worst > c).cast("long")) for c in LADDER]).alias("k_any"))
-    counted = holdout.groupBy(stratum).agg(F.count("*").alias("n"), *rejected)
-    level = F.lit(error) / (counted.agg(F.count("*")).scalar() * len(RULES))
-    tested = (
-        counted.select(
-            stratum, "n",
-            F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"k_{name}").alias("ks")) for name in RULES])).alias("r"),
-        )
-        .select(stratum, "n", "r.rule", F.posexplode("r.ks").alias("pos", "k"))
-        .withColumn("cutoff", F.get(F.array(*[F.lit(c) for c in LADDER]), F.col("pos")))
-    )
-    passed = tested.where(binomial_tail(F.col("k"), F.col("n"), risk / len(RULES)) <= level)
-    # The tail grows with k and k with strictness, so the passing cutoffs are the lenient end of the ladder.
-    proven = passed.groupBy(stratum, "rule").agg(F.min("cutoff").alias("cutoff"))
-    if not pooled:
-        return proven
-    few = F.pow(F.lit(1 - risk / len(RULES)), F.col("n")) > level
-    whole = (
-        counted.where(few).select(stratum, "n", F.posexplode("k_any").alias("pos", "k"))
-        .where(binomial_tail(F.col("k"), F.col("n"), risk) <= level * len(RULES))
-        .groupBy(stratum).agg(F.get(F.array(*[F.lit(c) for c in LADDER]), F.min("pos")).alias("cutoff"))
+    rejected = [F.sum(_above(lambda rule, t=t: F.lit(_cutoff(rule, t))).cast("long")) for t in LADDER]
+    counted = holdout.groupBy(stratum).agg(F.count("*").alias("n"), F.array(*rejected).alias("ks"))
+    level = F.lit(error) / counted.agg(F.count("*")).scalar()
+    tested = counted.select(stratum, "n", F.posexplode("ks").alias("pos", "k"))
+    # The tail grows with k and k with strictness, so the passing steps are the lenient end of the ladder.
+    passed = tested.where(binomial_tail(F.col("k"), F.col("n"), risk) <= level).groupBy(stratum).agg(F.min("pos").alias("step"))
+    steps = {name: F.array(*[F.lit(_cutoff(name, t)) for t in LADDER]) for name in RULES}
+    return passed.select(stratum, *[F.get(values, F.col("step")).alias(f"cut_{name}") for name, values in steps.items()])
+
+
+_TEXT_KEY = [F.xxhash64, lambda text: F.xxhash64(F.lit(1), text)]
+
+
+def _verdicts(rows: DataFrame, proven: DataFrame) -> DataFrame:
+    """``rows`` with ``base_failed`` and ``kept``."""
+    # One row per stratum, materialised and counted, so that texts need not be shuffled to meet it.
+    wide = broadcast_if_small(cut_lineage(proven.withColumnRenamed("__stratum", "__proven")))
+    # A caller's filter on the verdict must stay above the counts: pushed below, it would compute them a second time.
+    joined = rows.withColumn("__here", F.monotonically_increasing_id()).join(
+        wide, F.col("__stratum").eqNullSafe(F.col("__proven")), "left"
     )
-    return proven.unionByName(whole.select(stratum, F.explode(F.array(*[F.lit(name) for name in RULES])).alias("rule"), "cutoff"))
+    kept = ~base_failed() & ~_above(lambda rule: F.col(f"cut_{rule}")) & (F.col("__here") >= 0)
+    return joined.withColumns({"base_failed": base_failed(), "kept": kept})
+
+
+def _measured(docs: DataFrame, stratum: str) -> DataFrame:
+    """The counts of every row, written once to the shared folder, with its id, stratum and two hashes of its text."""
+    path = scratch_path(docs.sparkSession, "quality")
+    key = [make(F.col("text")).alias(f"__key{i}") for i, make in enumerate(_TEXT_KEY)]
+    measure(docs, [F.col("doc_id").alias("__id"), F.col(stratum).alias("__stratum"), *key]).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, keep: list[str], stratum: str = "lang", risk: float = 0.02, error: float = 0.05,
-    pooled: bool = False,
+    docs: DataFrame, labels: DataFrame, keep: list[str], stratum: str = "lang", risk: float = 0.02, error: float = 0.05
 ) -> DataFrame:
     """``keep``, the counts, ``base_failed`` and ``kept`` per document (null and repeated rows included, each judged by itself).
 
     The counts the tests need are written once to the shared folder, without ``keep``. If ``keep`` is no more than that, the verdicts
     come from there; otherwise documents are measured again where they are read, which costs time but no second copy of them. A null
-    stratum is a stratum of its own. Other columns of ``docs`` are not read; ``keep`` should not name a result.
+    stratum is a stratum of its own. Other columns of ``docs`` are not read; names in ``keep`` must differ from the results.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "quality")
-    named = [F.col("doc_id").alias("__id"), F.col(stratum).alias("__stratum")]
-    measure(docs, named).write.parquet(path)
-    measured = spark.read.parquet(path)
-    proven = cutoffs(measured, labels, "__stratum", risk, error, pooled)
-    wide = proven.groupBy(F.col("__stratum").alias("__proven")).pivot("rule", list(RULES)).agg(F.min("cutoff"))
-    # One row per stratum, materialised and counted, so that texts need not be shuffled to meet it.
-    wide = broadcast_if_small(cut_lineage(wide.select("__proven", *[F.col(name).alias(f"cut_{name}") for name in RULES])))
-    above = [F.coalesce(make() > F.col(f"cut_{name}"), F.lit(False)) for name, make in RULES.items()]
-    fails = above[0]
-    for rule in above[1:]:
-        fails = fails | rule
+    clash = {*COUNTS, "base_failed", "kept"} & set(keep)
+    if clash:
+        raise ValueError(f"these names are taken by results: {sorted(clash)}")
+    measured = _measured(docs, stratum)
+    proven = cutoffs(measured, labels, "__stratum", risk, error)
     if keep == ["doc_id"]:
         rows = measured.select(F.struct(F.col("__id").alias("doc_id")).alias("__row"), *measured.columns)
     else:
+        named = [F.col("doc_id").alias("__id"), F.col(stratum).alias("__stratum")]
         rows = measure(docs, [F.struct(*[F.col(k) for k in keep]).alias("__row"), *named])
-    # A caller's filter on the verdict must stay above the counts: pushed below, it would compute them a second time.
-    rows = rows.withColumn("__here", F.monotonically_increasing_id())
-    joined = rows.join(wide, F.col("__stratum").eqNullSafe(F.col("__proven")), "left")
-    kept = ~base_failed() & ~fails & (F.col("__here") >= 0)
-    return joined.select("__row.*", *COUNTS, base_failed().alias("base_failed"), kept.alias("kept"))
+    return _verdicts(rows, proven).select("__row.*", *COUNTS, "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, error: float = 0.05) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, unchanged, whatever other columns they have.
+
+    Texts are measured once. The rows rejected are known by id, stratum and two 64-bit hashes of the text, on which alone a verdict depends, and
+    the documents lose them by an anti join; repeated rows share their verdict.
+    """
+    measured = _measured(docs, stratum)
+    judged = _verdicts(measured, cutoffs(measured, labels, "__stratum", risk, error))
+    keys = ["__id", "__stratum", *[f"__key{i}" for i in range(len(_TEXT_KEY))]]
+    rejected = judged.where(~F.col("kept")).select(*[F.col(k).alias(f"{k}_out") for k in keys]).distinct()
+    found = [F.col("doc_id"), F.col(stratum), *[make(F.col("text")) for make in _TEXT_KEY]]
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), *[c.alias(k) for c, k in zip(found, keys)]
+    )
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"{k}_out")) for k in keys))
+    return whole.join(rejected, same, "left_anti").select("__doc.*")
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -256,18 +273,11 @@ def quality_sql(risk: float = 0.02, error: float = 0.05) -> str:
         "marks": ("n_marks", "word_chars"), "repeats": ("n_repeat_words", "n_words"),
     }
     ratio = ", ".join(f"1000 * {a} // greatest({b}, 1) AS m_{name}" for name, (a, b) in measures.items())
-    tests = " UNION ALL ".join(
-        f"SELECT lang, '{name}' AS rule, c AS cutoff, count(*) AS n, count(*) FILTER (m_{name} > c) AS k "
-        f"FROM holdout, ladder GROUP BY lang, c" for name in measures
-    )
-    p = risk / len(RULES)
+    over = " OR ".join(f"m_{name} > {UNITS[name]} * c // 10" for name in measures)
     pmf = (
-        f"exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p!r}) + (n - i) * ln(1 - {p!r}))"
-    )
-    fails = " OR ".join(
-        f"coalesce(m_{name} > (SELECT min(cutoff) FROM passed p WHERE p.rule = '{name}' AND p.lang IS NOT DISTINCT FROM f.lang), false)"
-        for name in measures
+        f"exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk!r}) + (n - i) * ln(1 - {risk!r}))"
     )
+    step = "(SELECT min(c) FROM passed p WHERE p.lang IS NOT DISTINCT FROM f.lang)"
     return f"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, lang, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws,
@@ -287,9 +297,11 @@ m AS (SELECT w.doc_id, lang, len(ws)::BIGINT AS n_words,
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {ratio} FROM m),
 holdout AS (SELECT * FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1)),
 ladder AS (SELECT unnest({LADDER}) AS c),
-tests AS ({tests}),
-tail AS (SELECT lang, rule, cutoff, n, k,
-           CASE WHEN k < n * {p!r} THEN (SELECT sum({pmf}) FROM (SELECT unnest(range(0, k + 1)) AS i)) ELSE 1 END AS tail FROM tests),
-passed AS (SELECT * FROM tail WHERE tail <= {error!r} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM holdout)) * {len(RULES)}))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({fails}) AS kept FROM f
+tests AS (SELECT lang, c, count(*) AS n, count(*) FILTER ({over}) AS k FROM holdout, ladder GROUP BY lang, c),
+tail AS (SELECT lang, c,
+           CASE WHEN k < n * {risk!r} THEN (SELECT sum({pmf}) FROM (SELECT unnest(range(0, k + 1)) AS i)) ELSE 1 END AS tail FROM tests),
+passed AS (SELECT * FROM tail WHERE tail <= {error!r} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM holdout))),
+stepped AS (SELECT *, {step} AS c FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({over}, false) AS kept
+FROM stepped
 """
