@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketframe.llm.bpe import digests, round_trip, vocabulary_path
 from marketframe.llm.mixing import mix
 from marketframe.llm.neardup import near_duplicates
-from marketframe.llm.quality import judge
+from marketframe.llm.quality import keep_good
 from marketframe.llm.substring import remove_repeats
 from marketframe.session import scratch_path
 
@@ -28,8 +28,7 @@ def _with_text(docs: DataFrame, text: Column, row: str) -> list[Column]:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the proven cutoffs."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), "doc_id", "text", "lang")
-    return judge(row, labels, ["__doc"], pooled=True).where("kept").select("__doc.*")
+    return keep_good(docs, labels)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
