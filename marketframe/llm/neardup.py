@@ -2,7 +2,7 @@
 
 A document's set is its distinct 5-word shingles, hashed once; its sketch is the ``k`` smallest hashes. Equal sets are joined
 first by a digest of the whole set, and one of each goes on. Inverted lists of retained values give the candidates: two documents
-that are similar enough share at least ``share * size`` retained values, so both have one of these in the ``size - share * size + 1`` of
+that are similar enough share at least ``share`` percent of their retained values, so both have one of these in the ``size - share * size / 100 + 1`` of
 their values that occur least in the corpus; values of one document alone need no list, and common ones are hardly ever looked at. The
 smallest k of a pair's union then estimate its similarity, and pairs that pass are compared on their full sets.
 
@@ -10,7 +10,9 @@ Lists of up to ``list_rows`` documents give their pairs as rows. Documents on lo
 passages) are joined to groups over those lists, cut into blocks ordered by set size, and compared block against block inside tasks,
 which return a spanning set of the links found; so neither pairs nor texts of a group ever meet in one place.
 
-``share`` is 0.55 for k = 64: a pair at a similarity of 0.85 falls short of it with a probability below 1e-8.
+``share`` is 55 for k = 64: a pair at a similarity of 0.85 falls short of it with a probability below 1e-8. With ``exact`` the sketch is the
+whole set and ``share`` the similarity asked for, which two linked sets cannot fall short of, so no link is lost; lists then hold every
+shingle that two documents have.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from marketframe.session import scratch_path
 
 SHINGLE = 5
 SKETCH = 64
-SHARE = 0.55
+SHARE = 55
+_WHOLE = 1 << 30
 
 
 def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> list[np.ndarray]:
@@ -73,7 +76,7 @@ def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
     return picked.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch array<long>")
 
 
-def rare_values(firsts: DataFrame, share: float = SHARE) -> DataFrame:
+def rare_values(firsts: DataFrame, share: int = SHARE) -> DataFrame:
     """``(value, rows, doc_id, n_shingles)``: per document the retained values on which it may meet others."""
     spread = firsts.select("doc_id", "n_shingles", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     shared = spread.groupBy("value").agg(F.count("*").alias("rows")).where("rows > 1")
@@ -81,7 +84,7 @@ def rare_values(firsts: DataFrame, share: float = SHARE) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("rows", "value"))).alias("values")  # at most the sketch size
     )
     # Values of this document alone come first in the order; the rest of the prefix is taken from the shared ones.
-    left = F.col("size") - F.ceil(F.col("size") * share) + 1 - (F.col("size") - F.size("values"))
+    left = F.expr(f"size - (size * {share} + 99) div 100 + 1 - (size - size(values))")
     return (
         known.where(left > 0)
         .select("doc_id", "n_shingles", F.explode(F.slice("values", F.lit(1), left.cast("int"))).alias("v"))
@@ -100,14 +103,14 @@ def _pairs_of_short_lists(lists: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _likely(pairs: DataFrame, firsts: DataFrame, k: int, share: float) -> DataFrame:
-    """Pairs whose similarity, estimated from the smallest k values of the union of both sketches, is at least ``share``."""
+def _likely(pairs: DataFrame, firsts: DataFrame, k: int, share: int) -> DataFrame:
+    """Pairs whose similarity, estimated from the smallest k values of the union of both sketches, is at least ``share`` percent."""
     a = firsts.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa"))
     b = firsts.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb"))
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     both = pairs.join(a, "a").join(b, "b").withColumn("u", union)
     common = F.size(F.array_intersect("u", F.array_intersect("sa", "sb")))
-    return both.where(common >= share * F.size("u")).select("a", "b")
+    return both.where(100 * common >= share * F.size("u")).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -123,7 +126,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _block_links(percent: int, k: int, share: float):
+def _block_links(percent: int, k: int, share: int):
     """Links between two blocks (or inside one), as a spanning set."""
 
     def estimate(sketch: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -140,7 +143,7 @@ def _block_links(percent: int, k: int, share: float):
         rank = np.cumsum(~twice & (table != filler), axis=1)
         inside = rank <= k
         union = np.minimum(rank[:, -1], k)
-        return (twice & inside).sum(axis=1) >= share * union
+        return 100 * (twice & inside).sum(axis=1) >= share * union
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         ids, blocks = table["doc_id"].to_pylist(), table["block"].to_numpy()
@@ -174,7 +177,7 @@ def _block_links(percent: int, k: int, share: float):
     return run
 
 
-def _links_of_long_lists(lists: DataFrame, texts: DataFrame, percent: int, k: int, share: float, block_rows: int) -> DataFrame:
+def _links_of_long_lists(lists: DataFrame, texts: DataFrame, percent: int, k: int, share: int, block_rows: int) -> DataFrame:
     """Links between documents that meet on long lists."""
     heads = lists.groupBy("value").agg(F.min("doc_id").alias("a"))
     grouped = components(lists.join(heads, "value").select("a", F.col("doc_id").alias("b")))
@@ -205,13 +208,17 @@ def _links_of_long_lists(lists: DataFrame, texts: DataFrame, percent: int, k: in
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, k: int = SKETCH, share: float = SHARE, list_rows: int = 64, block_rows: int = 256
+    docs: DataFrame, percent: int = 85, k: int = SKETCH, share: int = SHARE, list_rows: int = 64, block_rows: int = 256,
+    exact: bool = False,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``.
 
     Texts without words have no set and no link; so has a row without id, whose component is null. Ids are taken to be unique:
     rows that repeat an id are judged each by its own set, and get one row each. Columns besides ``doc_id`` and ``text`` are not read.
+    ``exact`` replaces ``k`` and ``share`` by what cannot lose a link.
     """
+    if exact:
+        k, share = _WHOLE, percent
     spark = docs.sparkSession
     path = scratch_path(spark, "sketches")
     sketches(docs, k).write.parquet(path)

@@ -63,6 +63,18 @@ def test_components_equal_brute_force(spark, seed, list_rows, block_rows):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows)
 
 
+@pytest.mark.parametrize(("percent", "list_rows"), [(40, 64), (57, 2), (85, 4)])
+def test_exact_setting_loses_no_link_at_any_similarity(spark, percent, list_rows):
+    rnd = random.Random(percent)
+    base = [f"u{i}" for i in range(104)]
+    # Nested sets of 10 to 100 shingles: similarities of every degree, ties with the bound among them.
+    rows = corpus(9, families=6) + [(1000 + n, " ".join(base[: 4 + n])) for n in range(10, 101, 5)]
+    rnd.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(docs, percent, list_rows=list_rows, block_rows=3, exact=True).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_force(rows, percent)
+
+
 def test_empty_table_null_ids_and_repeated_rows(spark):
     schema = "doc_id long, text string"
     assert neardup.near_duplicates(spark.createDataFrame([], schema)).collect() == []
