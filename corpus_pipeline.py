@@ -33,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates (similarity 0.8 or more); rows without id stay."""
-    found = near_duplicates(docs.select("doc_id", "text"), percent=80, share=0.5)
+    found = near_duplicates(docs.select("doc_id", "text"), percent=80, share=50)
     others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__other")).distinct()
     return docs.join(others, F.col("doc_id").cast("bigint") == F.col("__other"), "left_anti")
 
