@@ -101,6 +101,8 @@ def over_recent_rows(
     ``expressions`` maps a name to a function of the ordered window. With ``segments`` every segment
     is given a copy of the ``lookback`` rows before it; the copies are dropped afterwards.
     """
+    if not expressions:
+        return df
     if segments is None:
         spec = W.partitionBy(*by).orderBy(*order)
         return df.withColumns({name: make(spec) for name, make in expressions.items()})

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketframe import constants as C
 from marketframe.functions import month_end, simple_return, stable_round, stance_label, signed_percent
-from marketframe.operators.ordered import Segments, by_segment
+from marketframe.operators.ordered import Expressions, Segments, by_segment, over_recent_rows
 from marketframe.operators.panel import monthly_returns
 from marketframe.operators.risk import trailing_sharpe_asof
 from marketframe.session import cut_lineage
@@ -59,29 +59,34 @@ def pivot_series(
 
 
 def classify_regimes(
-    wide: DataFrame, thresholds: Thresholds = Thresholds(), region: str | None = None
+    wide: DataFrame, thresholds: Thresholds = Thresholds(), region: str | None = None, segments: Segments | None = None
 ) -> DataFrame:
     """Label each date by rate, inflation and unemployment.
 
     The rate is compared with its rolling mean, inflation is the 12-row change in percent. A missing
     value never passes a test, so it gets the ordinary label; an absent series gives ``unknown`` and a
-    constant funds rate. ``wide`` has one row per date (and region): its windows are calendar sized.
+    constant funds rate. ``wide`` has one row per date (and region), so without ``segments`` its windows are calendar sized. With the
+    ``segments`` of the region along ``date`` a long region is labelled piece by piece, each with the few rows before it.
     """
     t, present = thresholds, set(wide.columns)
     keys = [region] if region else []
-    ordered = W.partitionBy(*keys).orderBy("date")
-    recent = ordered.rowsBetween(-(t.mean_window - 1), W.currentRow)
+    looks_back: Expressions = {}
 
     if t.rate_series in present:
         rate = F.col(t.rate_series)
-        mean = F.when(F.count(rate).over(recent) >= t.mean_min_obs, F.avg(rate).over(recent))
-        rate_label = F.when(rate > mean, "rising").otherwise("falling")
+
+        def rolling_mean(ordered: WindowSpec) -> Column:
+            recent = ordered.rowsBetween(-(t.mean_window - 1), W.currentRow)
+            return F.when(F.count(rate).over(recent) >= t.mean_min_obs, F.avg(rate).over(recent))
+
+        looks_back["__mean"] = rolling_mean
+        rate_label = F.when(rate > F.col("__mean"), "rising").otherwise("falling")
     else:
         rate_label = F.lit(UNKNOWN)
     if t.inflation_series in present:
         level = F.col(t.inflation_series)
-        change = simple_return(level, F.lag(level, C.MONTHS_PER_YEAR).over(ordered)) * 100
-        inflation_label = F.when(change > t.inflation_pct, "high").otherwise("normal")
+        looks_back["__change"] = lambda ordered: simple_return(level, F.lag(level, C.MONTHS_PER_YEAR).over(ordered)) * 100
+        inflation_label = F.when(F.col("__change") > t.inflation_pct, "high").otherwise("normal")
     else:
         inflation_label = F.lit(UNKNOWN)
     if t.unemployment_series in present:
@@ -91,7 +96,8 @@ def classify_regimes(
         unemployment_label = F.lit(UNKNOWN)
     funds = F.col(t.funds_series) if t.funds_series in present else F.lit(t.constant_rate * 100)
 
-    labelled = wide.select(
+    lookback = max(t.mean_window - 1, C.MONTHS_PER_YEAR)
+    labelled = over_recent_rows(wide, keys, ["date"], lookback, looks_back, segments).select(
         *keys,
         "date",
         month_end("date").alias("month"),

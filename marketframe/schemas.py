@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,12 +103,21 @@ MACRO_DOC = (
     "map<string,struct<series_id:string,description:string,units:string,"
     "observations:array<struct<date:string,value:string>>>>"
 )
-XBRL_DOC = (
-    "map<string,struct<cik:string,entity_name:string,facts:map<string,map<string,struct<units:map<string,"
-    "array<struct<fp:string,form:string,fy:int,val:bigint,`end`:string,filed:string>>>>>>>>"
-)
+FILINGS = "array<struct<fp:string,form:string,fy:int,val:bigint,`end`:string,filed:string>>"
+XBRL_DOC = f"map<string,struct<cik:string,entity_name:string,facts:map<string,map<string,struct<units:map<string,{FILINGS}>>>>>>"
 MONTHLY_DOC = "`Monthly Adjusted Time Series` map<string,struct<`5. adjusted close`:string,`6. volume`:string>>"
 
+
+def picked_facts(tags: Sequence[str], taxonomy: str, unit: str) -> str:
+    """Company facts of which only some tags are read: like ``XBRL_DOC``, with names in place of the maps below ``facts``."""
+
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    by_tag = ",".join(f"{quoted(t)}:struct<units:struct<{quoted(unit)}:{FILINGS}>>" for t in tags)
+    return f"map<string,struct<cik:string,facts:struct<{quoted(taxonomy)}:struct<{by_tag}>>>>"
+
+
 # Nested per-symbol results.
 _METRICS = _struct(
     "symbol string, category string, ai_strategy string, annualized_return double, "

@@ -138,16 +138,25 @@ def parse_xbrl(
 ) -> DataFrame:
     """Documents keyed by company to one row per filing: ``(symbol, cik, tag, pos, fp, form, fy, val, end, filed)``.
 
-    With ``tags`` only those map entries are exploded. A missing taxonomy, tag or unit gives no rows. Positions begin anew in
-    every document, so the columns that tell documents apart, such as ``path``, are kept.
+    With ``tags`` the parser keeps the filings of those tags, this taxonomy and this unit only and passes over all else while it reads, so a
+    large document costs what is asked of it; without, a document becomes one map of everything it holds. A missing taxonomy,
+    tag or unit gives no rows. Positions begin anew in every document, so the columns that tell documents apart, such as ``path``, are kept.
     """
     extra = [c for c in docs.columns if c != text]
-    company = docs.select(*extra, F.explode(F.from_json(text, S.XBRL_DOC)).alias("symbol", "c"))
-    facts = F.try_element_at("c.facts", F.lit(taxonomy))
-    if tags is not None:
-        facts = F.map_filter(facts, lambda tag, _: tag.isin(*tags))
-    by_tag = company.select(*extra, "symbol", "c.cik", F.explode(facts).alias("tag", "t"))
-    filings = F.try_element_at("t.units", F.lit(unit))
+    if tags is None:
+        company = docs.select(*extra, F.explode(F.from_json(text, S.XBRL_DOC)).alias("symbol", "c"))
+        facts = F.try_element_at("c.facts", F.lit(taxonomy))
+        by_tag = company.select(*extra, "symbol", "c.cik", F.explode(facts).alias("tag", "t"))
+        filings = F.try_element_at("t.units", F.lit(unit))
+    elif not tags:
+        return parse_xbrl(docs, None, text, taxonomy, unit).where(F.lit(False))
+    else:
+        wanted = list(dict.fromkeys(tags))
+        company = docs.select(*extra, F.explode(F.from_json(text, S.picked_facts(wanted, taxonomy, unit))).alias("symbol", "c"))
+        by_name = F.col("c.facts").getField(taxonomy)
+        entries = F.array(*[F.struct(F.lit(t).alias("tag"), by_name.getField(t).getField("units").getField(unit).alias("filings")) for t in wanted])
+        by_tag = company.select(*extra, "symbol", "c.cik", F.inline(entries))
+        filings = F.col("filings")
     return by_tag.select(*extra, "symbol", "cik", "tag", F.posexplode(filings).alias("pos", "f")).select(
         *extra, "symbol", "cik", "tag", "pos", "f.*"
     )

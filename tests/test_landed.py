@@ -129,6 +129,25 @@ def test_parsing_can_be_limited_to_tags(spark, path):
     document = {"A": company("1", **{C.CAPEX_TAG: [filing(2022, 5)], "Other": [filing(2022, 6)]})}
     text = landed.read_documents(spark, write(path("x.json"), document))
     assert landed.parse_xbrl(text, [C.CAPEX_TAG]).count() == 1 and landed.parse_xbrl(text).count() == 2
+    assert landed.parse_xbrl(text, []).isEmpty() and landed.parse_xbrl(text, []).columns == landed.parse_xbrl(text).columns
+
+
+def test_tags_are_picked_while_parsing_and_give_the_same_rows(spark):
+    """Asking for tags gives the rows of the whole document with those tags, for gaps, nulls and values of a wrong kind as well."""
+    wanted = [C.CAPEX_TAG, "odd`tag.x", "Absent", C.CAPEX_TAG]
+    whole = company("1", **{C.CAPEX_TAG: [filing(2022, 5), filing(2023, None)], "odd`tag.x": [filing(2021, 4)], "Other": [filing(2022, 6)] * 500})
+    tagless = {"cik": "2", "facts": {"us-gaap": {C.CAPEX_TAG: {"units": {"EUR": [filing(2020, 1)]}}, "Absent": None, "odd`tag.x": {"units": None}}}}
+    wrong = company("3", **{C.CAPEX_TAG: [{"fp": "FY", "form": 7, "fy": "x", "val": "many"}, filing(2020, 2)]})
+    documents = [
+        json.dumps({"A": whole, "B": tagless}), json.dumps({"C": wrong}), json.dumps({"D": {"cik": "4", "facts": {"ifrs-full": {}}}}),
+        json.dumps({"E": None, "F": {"cik": None}}), "{}", "[]", "no json", "", None, json.dumps({"A": whole})[:-40],
+    ]
+    docs = spark.createDataFrame(list(enumerate(documents)), "n int, value string")
+    picked = landed.parse_xbrl(docs, wanted)
+    plain = landed.parse_xbrl(docs).where(F.col("tag").isin(*wanted))
+    assert picked.count() >= 4 and picked.columns == plain.columns
+    assert rows(picked) == rows(plain)
+    assert "Other" not in picked._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_monthly_documents_are_bounded_by_date(spark, path):

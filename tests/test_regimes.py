@@ -195,3 +195,30 @@ def test_runs_of_a_key_that_holds_all_rows(spark, rare):
     assert rows(runs.where("region = 'east' OR region IS NULL"), "region", *columns) == [("east", 1, "b", 1, 2, 2), (None, 1, "a", 1, 1, 1)]
     assert rows(R.regime_runs(panel, by=["region"])) == rows(runs)
     assert R.regime_runs(panel, True, ["region"], segments).count() == len(expected) - 1
+
+
+def test_labels_of_a_key_that_holds_nearly_all_rows(spark):
+    """Cut into pieces, rolling mean and yearly change see the same rows as in one pass, also across cuts and missing values."""
+    from datetime import timedelta
+
+    from marketframe.operators.ordered import find_segments
+
+    first, rate, level = date(2000, 1, 1), [], []
+    for i in range(2000):
+        rate.append(None if i % 31 == 5 else float(i * 7919 % 101))
+        level.append(None if i % 53 == 9 else 100.0 + i * 31 % 17)
+    data = [("west", first + timedelta(i), rate[i], level[i], float(i % 9)) for i in range(2000)]
+    data += [("east", first + timedelta(i), 1.0 + i, 100.0, 4.0) for i in range(9)] + [(None, first, 1.0, 1.0, 9.0)]
+    wide = spark.createDataFrame(data, "region string, date date, GS10 double, CPIAUCSL double, UNRATE double").repartition(8)
+    segments = find_segments(wide, ["region"], ["date"])
+    assert segments is not None and segments.longest > 2
+    labels = R.classify_regimes(wide, region="region", segments=segments)
+    assert rows(labels) == rows(R.classify_regimes(wide, region="region"))
+    t = R.Thresholds()
+    for r in labels.where("region = 'west'").collect():
+        i = (r.date - first).days
+        recent = [x for x in rate[max(0, i - t.mean_window + 1) : i + 1] if x is not None]
+        rising = rate[i] is not None and len(recent) >= t.mean_min_obs and rate[i] > sum(recent) / len(recent)
+        before = level[i - 12] if i >= 12 else None
+        high = None not in (level[i], before) and (level[i] / before - 1) * 100 > t.inflation_pct
+        assert (r.rate_regime, r.inflation_regime) == ("rising" if rising else "falling", "high" if high else "normal"), r
