@@ -1,15 +1,21 @@
-"""A Katz backoff model over words and the scores it gives whole texts.
-
-p(w | h) = d(c) c / (c(h) + 1) for a pair seen c = c(h, w) > 0 times, else a(h) p(w); p(w) = d'(c) c / (N + 1) for a word seen c = c(w) > 0
-times, and the mass left for one unknown word. d and d' are Good-Turing discounts for counts up to 5 (Katz's form, from the numbers of pairs and
-words with each count; 1 where these numbers give none). The backoff weight a(h) is what the pairs seen after h leave of 1, over what the
-words seen after h leave of the lower model, so every distribution sums to one exactly; the 1 in the denominators keeps that mass above zero for
-every history. A history never seen backs off with weight 1.
-
-Work is dealt by hashes, packed (see ``packs``). First by word: one task has all pairs that end in a word, hence their counts and the word's. It
-adds up each text's seen pairs, and sends on what it can't know: per history the numbers that make its backoff weight, per unseen pair a request for
-that weight. These meet by history, and everything returns to the texts. Corpus-wide numbers enter at the end: until then texts keep how many of their
-events fall into each count class. Between the steps lie tables in the shared folder, partitioned by kind.
+"""A Katz backoff model of order three over words and the scores it gives whole texts.
+
+With c counted in the training texts, h the two words before w and h' the last of them:
+
+    p(w | h)  = d3(c) c / (c(h) + 1)   for a triple seen c = c(h, w) > 0 times,  else a(h) p(w | h')
+    p(w | h') = d2(c) c / (c(h') + 1)  for a pair seen c = c(h', w) > 0 times,   else a(h') p(w)
+    p(w)      = d1(c) c / (N + 1)      for a word seen c = c(w) > 0 times,       else the mass left, for one unknown word
+
+The d are Good-Turing discounts for counts up to 5 (Katz's form, from the numbers of triples, pairs and words with each count; 1 where these
+numbers give none). A backoff weight is what the words seen after a history leave of 1, over what the same words leave of the
+lower model, so every distribution sums to one exactly; the 1 in the denominators keeps that mass above zero for every history. A history
+never seen backs off with weight 1. Texts begin with two starts.
+
+Work is dealt by hashes, packed (see ``packs``). First by word, or by word and word before for frequent words: one task has all triples that end in such
+a pair, hence the counts of triple and pair, and of the word (those of frequent words are counted beforehand). It adds up each text's seen events, and
+sends on what it can't know: per history the numbers that make its backoff weight, and requests for the weights of unseen triples and pairs. These meet
+by history, and everything returns to the texts. Corpus-wide numbers enter at the end: until then texts keep how many of their events
+fall into each count class. Between the steps lie tables in the shared folder, partitioned by kind.
 """
 
 from __future__ import annotations
@@ -23,20 +29,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.llm.packs import bucket_bounds, group_starts, pack, pack_ascending, text_bytes, unpack, unpack_ascending
+from marketframe.llm.packs import bucket_bounds, bucket_of, group_starts, pack, pack_ascending, text_bytes, unpack, unpack_ascending
 from marketframe.llm.words import hash_words, mix, row_slices, text_buffers
 from marketframe.session import scratch_path
 
 LARGEST = 5
-_SLICE_BYTES = 14_000_000
-_BUCKET_BYTES = 24_000_000
+_SLICE_BYTES = 10_000_000
+_BUCKET_BYTES = 14_000_000
+#: Words counted beforehand at most: a word outside them has a smaller share of all tokens than one in this many.
+_MOST_FREQUENT = 4096
+_KEY_BYTES = 6
+_KEY_MASK = np.uint64((1 << 8 * _KEY_BYTES) - 1)
 START, END = mix(np.array([0x5354415254, 0x454E44], np.uint64))
-_CELLS = [f"c{i}" for i in range(7)]
+_CELLS = [f"c{i}" for i in range(9)]
 _ROW = "bucket int, kind string, flush long, " + ", ".join(f"{c} binary" for c in _CELLS)
 _NAMES = ["bucket", "kind", "flush", *_CELLS]
 _TYPES = [pa.int32(), pa.string(), pa.int64(), *[pa.binary()] * len(_CELLS)]
-#: Kinds of rows: pairs by word; per text its ids and length; sums of its events; pairs' numbers by history; requests; corpus numbers; answers.
-PAIRS, TEXTS, SUMS, HISTORIES, REQUESTS, NUMBERS, ANSWERS = "pairs texts sums histories requests numbers answers".split()
+#: Kinds of rows: triples by their end; per text its ids and length; sums of its events; numbers of histories of one and of two words; requests for
+#: either; corpus numbers; answers.
+TRIPLES, TEXTS, SUMS, NUMBERS, ANSWERS = "triples texts sums numbers answers".split()
+HISTORIES, LONG_HISTORIES, REQUESTS, LONG_REQUESTS = "histories2 histories3 requests2 requests3".split()
 
 
 def _batches(rows: Iterator[tuple], at_most: int = 512) -> Iterator[pa.RecordBatch]:
@@ -63,8 +75,48 @@ def _run_lengths(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.append(starts, total))
 
 
+def _pack_keys(values: np.ndarray) -> bytes:
+    """Lowest 48 bits, all first bytes first. They tell apart what comes before one pair of words only."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].T.tobytes()
+
+
+def _unpack_keys(cell: bytes) -> np.ndarray:
+    planes = np.frombuffer(cell, np.uint8).reshape(_KEY_BYTES, -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, :_KEY_BYTES] = planes.T
+    return wide.view("<u8").ravel().astype(np.uint64)
+
+
+def _both(word: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return mix(word + mix(before ^ START))
+
+
+class Frequent:
+    """The frequent words, whose work is spread by a neighbour as well, with their counts in training texts; starts and ends are among them."""
+
+    def __init__(self, counts: dict[int, int], texts: int):
+        every = {**counts, int(START): texts, int(END): texts}
+        self.words = np.array(sorted(every), np.uint64)
+        self.counts = np.array([every[int(w)] for w in self.words], np.int64)
+        #: Those that are tokens: the starts are histories only.
+        self.of_tokens = self.counts[self.words != START]
+        self.texts = texts
+
+    def place(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are frequent, and their places."""
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return self.words[at] == words, at
+
+    def dealt(self, words: np.ndarray, neighbour: np.ndarray) -> np.ndarray:
+        """What a word is dealt by: itself or, for a frequent one, both."""
+        frequent, _ = self.place(words)
+        keys = words.copy()
+        keys[frequent] = _both(words[frequent], neighbour[frequent])
+        return keys
+
+
 def _events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Word, history and text of every token: the words of each text, then its end."""
+    """Word, the word before, the one before that, and text of every token: the words of each text, then its end."""
     words, _, _, first = hash_words(data, offsets, lower=True)
     lengths = np.diff(first) + 1
     ends = np.cumsum(lengths) - 1
@@ -72,32 +124,84 @@ def _events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     inside = np.ones(len(tokens), bool)
     inside[ends] = False
     tokens[inside], tokens[ends] = words, END
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.append(0, ends[:-1] + 1)[: len(lengths)]] = START
-    return tokens, before, np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), lengths
+    begins = np.append(0, ends[:-1] + 1)[: len(lengths)]
+
+    def shifted(values: np.ndarray) -> np.ndarray:
+        result = np.empty_like(values)
+        result[1:] = values[:-1]
+        result[begins] = START
+        return result
+
+    before = shifted(tokens)
+    return tokens, before, shifted(before) & _KEY_MASK, np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), lengths
+
 
+def _differs(*columns: np.ndarray) -> np.ndarray:
+    """Where a row is unlike the one before it in any of the columns."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
 
-def _send_pairs(buckets: int):
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per slice of texts how often each word occurs, in all and in training texts; under no word, all tokens and the number of training texts."""
+    for batch in batches:
+        held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        data, offsets = text_buffers(batch.column(2))
+        for low, high in row_slices(offsets, _SLICE_BYTES):
+            part = offsets[low : high + 1]
+            words, _, _, first = hash_words(data[part[0] : part[-1]], part - part[0], lower=True)
+            trained = np.repeat(~held[low:high], np.diff(first))
+            found, place = np.unique(words, return_inverse=True)
+            counts = np.bincount(place, minlength=len(found)), np.bincount(place, trained, len(found))
+            every, train = len(words) + high - low, int((~held[low:high]).sum())
+            yield pa.RecordBatch.from_arrays([
+                pa.array([*found.view(np.int64).tolist(), None], pa.int64()), pa.array(np.append(counts[0], every), pa.int64()),
+                pa.array(np.append(counts[1], train).astype(np.int64)),
+            ], ["word", "n", "trained"])
+
+
+def frequent_words(picked: DataFrame, buckets: int) -> Frequent:
+    """The words with a larger share of all tokens than half a range of words would have, ``_MOST_FREQUENT`` at most (a bounded number of rows)."""
+    counts = picked.mapInArrow(_word_counts, "word long, n long, trained long").groupBy("word").agg(
+        F.sum("n").alias("n"), F.sum("trained").alias("trained")
+    )
+    named = F.col("word").isNotNull()
+    most = min(_MOST_FREQUENT, 2 * buckets)
+    top = counts.orderBy(named, F.desc("n"), "word").limit(most + 1).collect()
+    if not top:
+        return Frequent({}, 0)
+    share = top[0].n / (2 * buckets)
+    return Frequent({r.word % 2**64: r.trained for r in top[1:] if r.n > share}, top[0].trained)
+
+
+def _send_triples(buckets: int, frequent: Frequent):
     def flush_rows(flush: int, ids: pa.Array, held: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
-        words, before, text, lengths = _events(data, offsets)
+        words, before, before2, text, lengths = _events(data, offsets)
         known = ids.is_valid().to_numpy(zero_copy_only=False)
         numbers = ids.fill_null(0).to_numpy()
         yield flush % buckets, TEXTS, flush, numbers.tobytes(), known.tobytes(), held.tobytes(), pack(lengths)
-        order = np.lexsort((text, before, words))
-        words, before, text = words[order], before[order], text[order]
-        new_pair = np.concatenate([[True], (words[1:] != words[:-1]) | (before[1:] != before[:-1])])
-        entry = np.flatnonzero(new_pair | np.concatenate([[True], text[1:] != text[:-1]]))
+        order = np.lexsort((text, before2, before, words))
+        order = order[np.argsort(bucket_of(frequent.dealt(words[order], before[order]), buckets), kind="stable")]
+        words, before, before2, text = words[order], before[order], before2[order], text[order]
+        new_pair = _differs(words, before)
+        new_triple = new_pair | _differs(before2)
+        entry = np.flatnonzero(new_triple | _differs(text))
         counts, text = _run_lengths(entry, len(words)), text[entry]
-        words, before, new_pair = words[entry], before[entry], new_pair[entry]
+        words, before, before2, new_pair, new_triple = (x[entry] for x in (words, before, before2, new_pair, new_triple))
         bits = np.packbits(held).tobytes()
-        found, bounds = bucket_bounds(words, buckets)
-        for bucket, low, high in zip(found, bounds[:-1], bounds[1:]):
-            pair = np.flatnonzero(new_pair[low:high]) + low
-            word = group_starts(words[pair])
+        found, begins = np.unique(bucket_of(frequent.dealt(words, before), buckets), return_index=True)
+        for bucket, low, high in zip(found.tolist(), begins, np.append(begins[1:], len(words))):
+            triple = np.flatnonzero(new_triple[low:high])
+            pair = np.flatnonzero(new_pair[low:high][triple])  # among the triples
+            words_here, before_here = words[low + triple[pair]], before[low + triple[pair]]
+            word = group_starts(words_here)
             yield (
-                int(bucket), PAIRS, flush, words[pair[word]].tobytes(), pack(_run_lengths(word, len(pair))),
-                before[pair].tobytes(), pack(_run_lengths(pair, high)), pack(text[low:high]), pack(counts[low:high]), bits,
+                bucket, TRIPLES, flush, words_here[word].tobytes(), pack(_run_lengths(word, len(pair))),
+                before_here.tobytes(), pack(_run_lengths(pair, len(triple))), _pack_keys(before2[low + triple]),
+                pack(_run_lengths(triple, high - low)), pack(text[low:high]), pack(counts[low:high]), bits,
             )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -112,7 +216,7 @@ def _send_pairs(buckets: int):
                 )
                 flush += 1
 
-    return lambda batches: _batches(rows(batches))
+    return lambda batches: _batches(rows(batches), 64)
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -124,106 +228,158 @@ def _per_text(text: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
     return np.bincount(text, weights, count)
 
 
-def _count_pairs(buckets: int):
-    """All pairs that end in one range of words: counts, sums per text, numbers per history, requests."""
+def _classes(counts: np.ndarray) -> np.ndarray:
+    """How many counts are 1, 2 and so on up to one above the largest that is discounted."""
+    return np.bincount(np.minimum(counts, LARGEST + 2), minlength=LARGEST + 3)[1 : LARGEST + 2]
+
+
+def _count_triples(buckets: int, frequent: Frequent):
+    """All triples of one range: counts, sums per text, numbers per history, requests."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        cells, words, before, trained = [], [], [], []
+        cells, columns = [], []
         for row in _rows(batches):
             if row[1] == TEXTS:
                 yield row
                 continue
-            flush, word_cell, word_runs, history_cell, pair_runs, text_cell, count_cell, bits = row[2:]
-            text, counts = unpack(text_cell), unpack(count_cell)
-            runs = unpack(pair_runs)
+            flush, word_cell, word_runs, history_cell, pair_runs, key_cell, triple_runs, text_cell, count_cell, bits = row[2:]
+            text, counts, runs, triples = unpack(text_cell), unpack(count_cell), unpack(triple_runs), unpack(pair_runs)
             held = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
-            words.append(np.repeat(np.frombuffer(word_cell, np.uint64), unpack(word_runs)))
-            before.append(np.frombuffer(history_cell, np.uint64).copy())
-            trained.append(np.add.reduceat(np.where(held[text], 0, counts), np.cumsum(runs) - runs))
-            cells.append((flush, _narrow(text), _narrow(counts), _narrow(runs), np.frombuffer(bits, np.uint8).copy()))
+            word = np.repeat(np.repeat(np.frombuffer(word_cell, np.uint64), unpack(word_runs)), triples)
+            trained = np.add.reduceat(np.where(held[text], 0, counts), np.cumsum(runs) - runs)
+            columns.append((word, np.repeat(np.frombuffer(history_cell, np.uint64), triples), _unpack_keys(key_cell), trained))
+            cells.append((flush, _narrow(text), _narrow(counts), _narrow(runs)))
         if not cells:
             return
-        sizes = [len(w) for w in words]
-        words, before, trained = (np.concatenate(x) for x in (words, before, trained))
-        order = np.lexsort((before, words))
-        words, before = words[order], before[order]
-        new_word = np.concatenate([[True], words[1:] != words[:-1]])
-        new_pair = new_word | np.concatenate([[True], before[1:] != before[:-1]])
-        del words
+        bounds = np.cumsum([0, *(len(c[0]) for c in columns)])
+        words, before, before2, trained = (np.concatenate(x) for x in zip(*columns))
+        columns.clear()
+        order = np.lexsort((before2, before, words))
+        words, before, before2 = words[order], before[order], before2[order]
+        new_word = _differs(words)
+        new_pair = new_word | _differs(before)
+        new_triple = new_pair | _differs(before2)
         number = np.empty(len(order), np.int32)
-        number[order] = np.cumsum(new_pair, dtype=np.int32) - 1
-        del order
-        pair_count = np.bincount(number, trained).astype(np.int64)
-        first = np.flatnonzero(new_pair)
-        word_number = (np.cumsum(new_word) - 1)[first]
-        word_count = np.bincount(word_number, pair_count).astype(np.int64)
-        of_word = word_count[word_number]  # per distinct pair
-        histories = before[first]
-        del before, trained, new_word, new_pair, word_number
-
-        def classes(counts: np.ndarray) -> np.ndarray:
-            return np.bincount(np.minimum(counts, LARGEST + 2), minlength=LARGEST + 3)[1 : LARGEST + 2]
-
-        numbers = np.concatenate([
-            classes(pair_count), classes(word_count), [word_count.sum(), (word_count > 0).sum()]
-        ]).astype(np.int64)
-        yield 0, NUMBERS, 0, numbers.tobytes()
+        number[order] = np.cumsum(new_triple, dtype=np.int32) - 1
+        first = np.flatnonzero(new_triple)
+        pair_of = (np.cumsum(new_pair, dtype=np.int32) - 1)[first]
+        first_pair = np.flatnonzero(new_pair)
+        word_of = (np.cumsum(new_word, dtype=np.int32) - 1)[first_pair]
+        c3 = np.bincount(number, trained).astype(np.int64)
+        pair_count = np.bincount(pair_of, c3).astype(np.int64)
+        word_count = np.bincount(word_of, pair_count).astype(np.int64)
+        word, pair_history = words[new_word], before[first_pair]
+        before, before2 = before[first], before2[first]
+        del words, trained, order, new_word, new_pair, new_triple, first
+        is_frequent, place = frequent.place(word)
+        here = word_count[~is_frequent]  # a frequent word is in many ranges
+        word_count[is_frequent] = frequent.counts[place[is_frequent]]
+        of_pair = word_count[word_of]
+        is_end = word[word_of] == END
+        numbers = [*_classes(c3), *_classes(pair_count), *_classes(here), here.sum(), (here > 0).sum()]
+        for i, value in enumerate(numbers):
+            yield i, NUMBERS, int(value)
 
         seen = np.flatnonzero(pair_count > 0)
-        seen = seen[np.argsort(histories[seen])]
-        yield from _history_rows(histories[seen], pair_count[seen], of_word[seen], buckets)
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        for (flush, text, counts, runs, bits), low, high in zip(cells, bounds[:-1], bounds[1:]):
-            entry_pair = np.repeat(number[low:high], runs)
-            entry_history = histories[entry_pair]
+        yield from _history_rows(pair_history[seen], pair_count[seen], of_pair[seen], buckets)
+        seen = np.flatnonzero(c3 > 0)
+        yield from _long_history_rows(before[seen], before2[seen], c3[seen], pair_count[pair_of[seen]], buckets, frequent)
+        for (flush, text, counts, runs), low, high in zip(cells, bounds[:-1], bounds[1:]):
+            triple = np.repeat(number[low:high], runs)
+            pair = pair_of[triple]
             # Only texts that have a word of this range: all ranges together send no more rows than the texts have words.
-            present, place = np.unique(text, return_inverse=True)
-            total, every, text = len(present), text, place
-            c2, c1 = pair_count[entry_pair], of_word[entry_pair]
-            is_seen = c2 > 0
-            lower = ~is_seen
-            sums = [
-                _per_text(text, counts * np.log10(c1 + 1.0), total),
-                _per_text(text, counts * np.log10(np.maximum(c2, 1.0)), total),
-                _per_text(text[lower], counts[lower] * np.log10(np.maximum(c1[lower], 1.0)), total),
-            ]
-            small = [_per_text(text, counts * (c1 > 0), total)]
-            small += [_per_text(text, counts * (c2 == r), total) for r in range(1, LARGEST + 1)]
-            small += [_per_text(text[lower], counts[lower] * (c1[lower] == r), total) for r in range(LARGEST + 1)]
-            small += [_per_text(text[lower], counts[lower], total)]
+            present, text = np.unique(text, return_inverse=True)
+            total, n3, n2, n1 = len(present), c3[triple], pair_count[pair], of_pair[pair]
+            lower = n3 == 0
+            lowest = lower & (n2 == 0)
+            # Every pair but the one that ends a text is the history of the next word: its count is a denominator.
+            score = counts * (np.log10(np.maximum(n3, 1.0)) - np.where(is_end[pair], 0.0, np.log10(n2 + 1.0)))
+            score += np.where(lower, counts * np.log10(np.maximum(np.where(lowest, n1, n2), 1.0)), 0.0)
+            small = [_per_text(text, counts * (n1 > 0), total)]
+            small += [_per_text(text, counts * (n3 == r), total) for r in range(1, LARGEST + 1)]
+            below, times, at = lower.nonzero()[0], counts[lower], text[lower]
+            small += [_per_text(at, times * (n2[below] == r), total) for r in range(1, LARGEST + 1)]
+            last = lowest[below]
+            times1, at1, n1_last = times[last], at[last], n1[below[last]]
+            small += [_per_text(at1, times1 * (n1_last == r), total) for r in range(LARGEST + 1)]
+            small += [_per_text(at1, times1, total)]
             yield (
-                0, SUMS, flush, sums[0].tobytes(), sums[1].tobytes(), sums[2].tobytes() if lower.any() else None,
+                0, SUMS, flush, _per_text(text, counts * np.log10(n1 + 1.0), total).tobytes(), _per_text(text, score, total).tobytes(),
                 pack(np.concatenate(small).astype(np.int64)), pack_ascending(present.astype(np.int64)),
             )
-            yield from _request_rows(flush, entry_history[lower], every[lower].astype(np.int64), counts[lower].astype(np.int64), buckets)
+            asking, times = triple[below], times.astype(np.int64)
+            at = present[at].astype(np.int64)
+            yield from _request_rows(flush, before[asking], at, times, np.where(last, times, 0), buckets)
+            yield from _long_request_rows(flush, before[asking], before2[asking], at, times, buckets, frequent)
 
     return lambda batches: _batches(rows(batches), 16)
 
 
-def _history_rows(histories: np.ndarray, pair_count: np.ndarray, word_count: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """Per history: pairs with each small count, words after it with each small count, and the sum of the larger words' counts."""
-    if not len(histories):
-        return
-    starts = group_starts(histories)
-    table = [np.add.reduceat((pair_count == r).astype(np.int64), starts) for r in range(1, LARGEST + 1)]
-    table += [np.add.reduceat((word_count == r).astype(np.int64), starts) for r in range(1, LARGEST + 1)]
-    rest = np.add.reduceat(np.where(word_count > LARGEST, word_count, 0), starts)
-    found, bounds = bucket_bounds(histories[starts], buckets)
-    for bucket, low, high in zip(found, bounds[:-1], bounds[1:]):
-        yield (
-            int(bucket), HISTORIES, 0, histories[starts[low:high]].tobytes(),
-            pack(np.concatenate([t[low:high] for t in table])), pack(rest[low:high]),
-        )
+def _small_counts(own: np.ndarray, lower: np.ndarray, starts: np.ndarray) -> tuple[bytes, bytes]:
+    """Per group: how many of its events have each small count, how many each small count in the lower model, and the sum of the larger of these."""
+    table = [np.add.reduceat((c == r).astype(np.int64), starts) for c in (own, lower) for r in range(1, LARGEST + 1)]
+    return pack(np.concatenate(table)), pack(np.add.reduceat(np.where(lower > LARGEST, lower, 0), starts))
 
 
-def _request_rows(flush: int, histories: np.ndarray, text: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple]:
+def _history_rows(histories: np.ndarray, own: np.ndarray, lower: np.ndarray, buckets: int) -> Iterator[tuple]:
     order = np.argsort(histories)
-    histories, text, counts = histories[order], text[order], counts[order]
+    histories, own, lower = histories[order], own[order], lower[order]
+    found, bounds = bucket_bounds(histories, buckets)
+    for bucket, low, high in zip(found.tolist(), bounds[:-1], bounds[1:]):
+        starts = group_starts(histories[low:high])
+        counts = pack(np.add.reduceat(own[low:high], starts))
+        yield bucket, HISTORIES, 0, histories[low + starts].tobytes(), *_small_counts(own[low:high], lower[low:high], starts), counts
+
+
+def _by_long_history(before: np.ndarray, before2: np.ndarray, buckets: int, frequent: Frequent) -> tuple:
+    """An order by range and history, and the ranges with their bounds in it."""
+    order = np.lexsort((before2, before))
+    bucket = bucket_of(frequent.dealt(before[order], before2[order]), buckets)
+    stable = np.argsort(bucket, kind="stable")
+    found, begins = np.unique(bucket[stable], return_index=True)
+    return order[stable], list(zip(found.tolist(), begins, np.append(begins[1:], len(order))))
+
+
+def _long_keys(before: np.ndarray, before2: np.ndarray, starts: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    before, before2 = before[starts], before2[starts]
+    runs = group_starts(before)
+    return before[runs].tobytes(), pack(_run_lengths(runs, len(before))), _pack_keys(before2)
+
+
+def _long_history_rows(before, before2, own, lower, buckets: int, frequent: Frequent) -> Iterator[tuple]:
+    order, ranges = _by_long_history(before, before2, buckets, frequent)
+    before, before2, own, lower = before[order], before2[order], own[order], lower[order]
+    for bucket, low, high in ranges:
+        first, second = before[low:high], before2[low:high]
+        starts = np.flatnonzero(_differs(first, second))
+        yield bucket, LONG_HISTORIES, 0, *_long_keys(first, second, starts), *_small_counts(own[low:high], lower[low:high], starts)
+
+
+def _request_rows(flush: int, histories, text, counts, unseen, buckets: int) -> Iterator[tuple]:
+    """Requests for denominators (``counts`` times) and backoff weights (``unseen`` times), one per history and text."""
+    order = np.lexsort((text, histories))
+    histories, text, counts, unseen = histories[order], text[order], counts[order], unseen[order]
+    entry = np.flatnonzero(_differs(histories, text))
+    if not len(entry):
+        return
+    histories, text, counts, unseen = histories[entry], text[entry], np.add.reduceat(counts, entry), np.add.reduceat(unseen, entry)
     found, bounds = bucket_bounds(histories, buckets)
-    for bucket, low, high in zip(found, bounds[:-1], bounds[1:]):
+    for bucket, low, high in zip(found.tolist(), bounds[:-1], bounds[1:]):
         starts = group_starts(histories[low:high])
         yield (
-            int(bucket), REQUESTS, flush, histories[low + starts].tobytes(), pack(_run_lengths(starts, high - low)),
+            bucket, REQUESTS, flush, histories[low + starts].tobytes(), pack(_run_lengths(starts, high - low)),
+            pack(text[low:high]), pack(counts[low:high]), pack(unseen[low:high]),
+        )
+
+
+def _long_request_rows(flush: int, before, before2, text, counts, buckets: int, frequent: Frequent) -> Iterator[tuple]:
+    order, ranges = _by_long_history(before, before2, buckets, frequent)
+    before, before2, text, counts = before[order], before2[order], text[order], counts[order]
+    for bucket, low, high in ranges:
+        first, second = before[low:high], before2[low:high]
+        starts = np.flatnonzero(_differs(first, second))
+        yield (
+            bucket, LONG_REQUESTS, flush, *_long_keys(first, second, starts), pack(_run_lengths(starts, high - low)),
             pack(text[low:high]), pack(counts[low:high]),
         )
 
@@ -246,48 +402,84 @@ class Model:
 
     def __init__(self, numbers: np.ndarray):
         k = LARGEST
-        self.tokens, self.vocabulary = int(numbers[2 * k + 2]), int(numbers[2 * k + 3])
-        self.pair, self.word = discounts(numbers[: k + 1]), discounts(numbers[k + 1 : 2 * k + 2])
+        triples, pairs, words = numbers[: 3 * (k + 1)].reshape(3, k + 1)
+        self.tokens, self.vocabulary = int(numbers[3 * k + 3]), int(numbers[3 * k + 4])
+        self.triple, self.pair, self.word = discounts(triples), discounts(pairs), discounts(words)
         r = np.arange(1, k + 1)
-        self.unknown = (1 + ((1 - self.word) * r * numbers[k + 1 : 2 * k + 1]).sum()) / (self.tokens + 1)
+        self.unknown = (1 + ((1 - self.word) * r * words[:k]).sum()) / (self.tokens + 1)
 
-    def backoff(self, pairs: np.ndarray, words: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """a(h) (c(h) + 1) from the numbers of each history (one column each)."""
+    @staticmethod
+    def _backoff(own: np.ndarray, lower: np.ndarray, table: np.ndarray, rest: np.ndarray, denominator) -> np.ndarray:
         r = np.arange(1, LARGEST + 1)[:, None]
-        left = 1 + ((1 - self.pair)[:, None] * r * pairs).sum(0)
-        lower = (rest + (self.word[:, None] * r * words).sum(0)) / (self.tokens + 1)
-        return left / (1 - lower)
+        left = 1 + ((1 - own)[:, None] * r * table[:LARGEST]).sum(0)
+        return left / (1 - (rest + (lower[:, None] * r * table[LARGEST:]).sum(0)) / denominator)
+
+    def backoff(self, table: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """a(h') (c(h') + 1) from the numbers of each history of one word (one column each)."""
+        return self._backoff(self.pair, self.word, table, rest, self.tokens + 1)
+
+    def long_backoff(self, table: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """a(h) (c(h) + 1) for histories of two words, from the counts c(h') of their last word as well."""
+        return self._backoff(self.triple, self.pair, table, rest, counts + 1)
+
 
+def _table(cells: list[tuple]) -> tuple[np.ndarray, ...]:
+    """The rows of some histories (keys, small counts, rest and more) added up by key."""
+    keys = np.concatenate([c[0] for c in cells])
+    order = np.argsort(keys, kind="stable")
+    starts = group_starts(keys[order])
+    added = [np.add.reduceat(np.concatenate(x, axis=-1)[..., order], starts, axis=-1) for x in list(zip(*cells))[1:]]
+    return keys[order][starts], order[starts], *added
 
-def _answer(model: Model):
-    """Backoff weights of one range of histories, added up for the texts that asked."""
+
+def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each key that is wanted, 0 for one that is not there."""
+    if not len(keys):
+        return np.zeros(len(wanted))
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[place] == wanted, values[place], 0.0)
+
+
+def _answer(model: Model, frequent: Frequent):
+    """Denominators and backoff weights of one range of histories, added up for the texts that asked."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        tables, asked = [], []
+        short, long, asked = [], [], []
         for row in _rows(batches):
             if row[1] == HISTORIES:
                 keys = np.frombuffer(row[3], np.uint64)
-                tables.append((keys, unpack(row[4]).reshape(2 * LARGEST, len(keys)), unpack(row[5])))
+                short.append((keys, unpack(row[4]).reshape(2 * LARGEST, len(keys)), unpack(row[5]), unpack(row[6])))
+            elif row[1] == LONG_HISTORIES:
+                before = np.repeat(np.frombuffer(row[3], np.uint64), unpack(row[4]))
+                long.append((before, _both(before, _unpack_keys(row[5])), unpack(row[6]).reshape(2 * LARGEST, len(before)), unpack(row[7])))
             else:
                 asked.append(row)
         if not asked:
             return
-        if tables:
-            keys, table, rest = (np.concatenate(x, axis=-1) for x in zip(*tables))
-            order = np.argsort(keys)
-            starts = group_starts(keys[order])
-            table = np.add.reduceat(table[:, order], starts, axis=1)
-            weights = np.log10(model.backoff(table[:LARGEST], table[LARGEST:], np.add.reduceat(rest[order], starts)))
-            keys = keys[order][starts]
+        keys, counts, weights = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+        if short:
+            keys, _, table, rest, counts = _table(short)
+            weights = np.log10(model.backoff(table, rest))
+        long_keys, long_weights = np.zeros(0, np.uint64), np.zeros(0)
+        if long:
+            before = np.concatenate([c[0] for c in long])
+            long_keys, first, table, rest = _table([c[1:] for c in long])
+            before = before[first]
+            is_frequent, place = frequent.place(before)
+            times = np.where(is_frequent, frequent.counts[place], _look_up(keys, counts, before))
+            long_weights = np.log10(model.long_backoff(table, rest, times))
         for row in asked:
-            histories = np.repeat(np.frombuffer(row[3], np.uint64), unpack(row[4]))
-            text, counts = unpack(row[5]), unpack(row[6])
-            values = np.zeros(len(histories))
-            if tables:
-                place = np.minimum(np.searchsorted(keys, histories), len(keys) - 1)
-                values = np.where(keys[place] == histories, weights[place], 0.0)
+            if row[1] == REQUESTS:
+                wanted = np.repeat(np.frombuffer(row[3], np.uint64), unpack(row[4]))
+                text, times, unseen = unpack(row[5]), unpack(row[6]), unpack(row[7])
+                values = unseen * _look_up(keys, weights, wanted) - times * np.log10(_look_up(keys, counts, wanted) + 1)
+            else:
+                before = np.repeat(np.frombuffer(row[3], np.uint64), unpack(row[4]))
+                wanted = np.repeat(_both(before, _unpack_keys(row[5])), unpack(row[6]))
+                text, times = unpack(row[7]), unpack(row[8])
+                values = times * _look_up(long_keys, long_weights, wanted)
             found, place = np.unique(text, return_inverse=True)
-            yield 0, ANSWERS, row[2], pack(found), np.bincount(place, counts * values).tobytes()
+            yield 0, ANSWERS, row[2], pack(found), np.bincount(place, values).tobytes()
 
     return lambda batches: _batches(rows(batches), 16)
 
@@ -295,7 +487,7 @@ def _answer(model: Model):
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _collect(model: Model):
+def _collect(model: Model, frequent: Frequent):
     """All sums of some flushes of texts, as one row per text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,38 +499,43 @@ def _collect(model: Model):
             elif kind == SUMS:
                 sums.setdefault(flush, []).append(cells)
             else:
-                at = unpack(cells[0])
-                more = extra.setdefault(flush, {})
-                more.setdefault("at", []).append(at)
-                more.setdefault("value", []).append(np.frombuffer(cells[1]))
+                extra.setdefault(flush, []).append(cells)
         for flush, (numbers, known, held, lengths, *_) in texts.items():
             lengths = unpack(lengths)
             count = len(lengths)
-            (base, seen, lower), (known_tokens, *classes) = np.zeros((3, count)), np.zeros((2 * k + 3, count), np.int64)
+            (base, score), (known_tokens, *classes) = np.zeros((2, count)), np.zeros((3 * k + 3, count), np.int64)
             for cells in sums.pop(flush):
-                at = unpack_ascending(cells[4])
-                for whole, cell in zip((base, seen, lower), cells[:3]):
-                    if cell is not None:
-                        whole[at] += np.frombuffer(cell)
-                for whole, part in zip((known_tokens, *classes), unpack(cells[3]).reshape(2 * k + 3, len(at))):
+                at = unpack_ascending(cells[3])
+                for whole, cell in zip((base, score), cells[:2]):
+                    whole[at] += np.frombuffer(cell)
+                for whole, part in zip((known_tokens, *classes), unpack(cells[2]).reshape(3 * k + 3, len(at))):
                     whole[at] += part
-            pair, unseen, all_unseen = np.array(classes[:k]), np.array(classes[k : 2 * k + 1]), classes[2 * k + 1]
-            score = seen + lower + np.log10(model.pair) @ pair + np.log10(model.word) @ unseen[1:]
-            score += unseen[0] * math.log10(model.unknown) - (all_unseen - unseen[0]) * math.log10(model.tokens + 1) - base
-            if flush in extra:
-                at, value = (np.concatenate(extra[flush][x]) for x in ("at", "value"))
-                score = score + np.bincount(at, value, count)[:count]
+            for cells in extra.pop(flush, []):
+                score[unpack(cells[0])] += np.frombuffer(cells[1])
+            seen, lower, lowest, all_lowest = np.array(classes[:k]), np.array(classes[k : 2 * k]), np.array(classes[2 * k : 3 * k + 1]), classes[-1]
+            score += np.log10(model.triple) @ seen + np.log10(model.pair) @ lower + np.log10(model.word) @ lowest[1:]
+            score += lowest[0] * math.log10(model.unknown) - (all_lowest - lowest[0]) * math.log10(model.tokens + 1)
+            score -= math.log10(frequent.texts + 1)  # the denominator of a text's first token
             base_score = base - lengths * math.log10(model.tokens + model.vocabulary + 1)
             ids = pa.array(np.frombuffer(numbers, np.int64), mask=~np.frombuffer(known, bool))
             columns = [
                 ids, pa.array(np.frombuffer(held, bool)), pa.array(lengths), pa.array(known_tokens.astype(np.int64)),
-                pa.array(np.full(count, model.tokens, np.int64)), pa.array(base_score), pa.array(score),
+                pa.array(np.full(count, model.tokens, np.int64)), pa.array(base_score), pa.array(score + 0.0),
             ]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SCORES.split(", ")])
 
     return run
 
 
+def _model(tables: DataFrame, frequent: Frequent) -> Model:
+    """The corpus-wide numbers, added up in Spark, and those of the frequent words."""
+    numbers = np.zeros(3 * LARGEST + 5, np.int64)
+    for r in tables.where(F.col("kind") == NUMBERS).groupBy("bucket").agg(F.sum("flush").alias("n")).collect():  # one row per number
+        numbers[r.bucket] = r.n
+    counts = frequent.of_tokens
+    return Model(numbers + np.concatenate([np.zeros(2 * LARGEST + 2, np.int64), _classes(counts), [counts.sum(), (counts > 0).sum()]]))
+
+
 def score_texts(docs: DataFrame, held_out) -> DataFrame:
     """Train on the rows where ``held_out`` is false (or null) and score every row.
 
@@ -353,17 +550,16 @@ def score_texts(docs: DataFrame, held_out) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"),
         F.col("text").cast("binary").alias("text"),
     )
-    sent = picked.mapInArrow(_send_pairs(buckets), _ROW).repartitionById(buckets, "bucket")
-    sent.mapInArrow(_count_pairs(buckets), _ROW).write.partitionBy("kind").parquet(path)
+    frequent = frequent_words(picked, buckets)
+    sent = picked.mapInArrow(_send_triples(buckets, frequent), _ROW).repartitionById(buckets, "bucket")
+    sent.mapInArrow(_count_triples(buckets, frequent), _ROW).write.partitionBy("kind").parquet(path)
     tables = spark.read.schema(_ROW).parquet(path).select(*_NAMES)
-    # One row of 14 numbers per range of words.
-    found = [np.frombuffer(r[0], np.int64) for r in tables.where(F.col("kind") == NUMBERS).select("c0").collect()]
-    model = Model(np.sum(found, axis=0) if found else np.zeros(2 * LARGEST + 4, np.int64))
-    by_history = tables.where(F.col("kind").isin(HISTORIES, REQUESTS)).repartitionById(buckets, "bucket")
-    answers = by_history.mapInArrow(_answer(model), _ROW)
+    model = _model(tables, frequent)
+    by_history = tables.where(F.col("kind").isin(HISTORIES, LONG_HISTORIES, REQUESTS, LONG_REQUESTS)).repartitionById(buckets, "bucket")
+    answers = by_history.mapInArrow(_answer(model, frequent), _ROW)
     back = tables.where(F.col("kind").isin(TEXTS, SUMS)).unionByName(answers)
     home = F.pmod(F.xxhash64("flush"), F.lit(buckets)).cast("int")
-    return back.repartitionById(buckets, home).mapInArrow(_collect(model), _SCORES)
+    return back.repartitionById(buckets, home).mapInArrow(_collect(model, frequent), _SCORES)
 
 
 def op2_katz(spark, sf_dir: str) -> DataFrame:

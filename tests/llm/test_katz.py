@@ -6,6 +6,8 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -15,17 +17,24 @@ from marketframe.llm import katz
 
 class Direct:
     def __init__(self, texts):
-        self.pairs, self.words = Counter(), Counter()
+        self.triples, self.pairs, self.words = Counter(), Counter(), Counter()
         for text in texts:
             tokens = self.tokens_of(text)
             self.words.update(tokens)
             self.pairs.update(zip(["<s>", *tokens], tokens))
+            self.triples.update(self.triples_of(tokens))
         self.total = sum(self.words.values())
-        self.after = {}
+        self.after, self.after_two = {}, {}
         for (h, w), c in self.pairs.items():
             self.after.setdefault(h, {})[w] = c
+        for (h2, h, w), c in self.triples.items():
+            self.after_two.setdefault((h2, h), {})[w] = c
         number = lambda counts: [sum(c == r for c in counts.values()) for r in range(1, 7)]
-        self.d2, self.d1 = katz.discounts(number(self.pairs)), katz.discounts(number(self.words))
+        self.d3, self.d2, self.d1 = (katz.discounts(number(c)) for c in (self.triples, self.pairs, self.words))
+
+    @staticmethod
+    def triples_of(tokens):
+        return list(zip(["<s>", "<s>", *tokens], ["<s>", *tokens], tokens))
 
     @staticmethod
     def tokens_of(text):
@@ -50,9 +59,18 @@ class Direct:
         left = 1 - sum(self.discounted(c, self.d2) for c in seen.values()) / whole
         return left / (1 - sum(self.word(x) for x in seen)) * self.word(w)
 
+    def triple(self, h2, h, w):
+        seen = self.after_two.get((h2, h))
+        if not seen:
+            return self.pair(h, w)
+        whole = sum(seen.values()) + 1
+        if w in seen:
+            return self.discounted(seen[w], self.d3) / whole
+        left = 1 - sum(self.discounted(c, self.d3) for c in seen.values()) / whole
+        return left / (1 - sum(self.pair(h, x) for x in seen)) * self.pair(h, w)
+
     def score(self, text):
-        tokens = self.tokens_of(text)
-        return sum(math.log10(self.pair(h, w)) for h, w in zip(["<s>", *tokens], tokens))
+        return sum(math.log10(self.triple(*t)) for t in self.triples_of(self.tokens_of(text)))
 
     def base(self, text):
         return sum(math.log10((self.words[t] + 1) / (self.total + 1 * (len(self.words) + 1))) for t in self.tokens_of(text))
@@ -71,8 +89,9 @@ def corpus(seed, count=160):
     return list(enumerate(texts + texts[5:20]))
 
 
-@pytest.mark.parametrize(("seed", "size", "parts", "piece"), [(1, 32_000_000, 3, 24_000_000), (2, 1500, 4, 900)])
-def test_scores_follow_the_definition(spark, monkeypatch, seed, size, parts, piece):
+@pytest.mark.parametrize(("seed", "size", "parts", "piece", "most"), [(1, 32_000_000, 3, 24_000_000, 4096), (2, 1500, 4, 900, 4096), (3, 900, 2, 2500, 1)])
+def test_scores_follow_the_definition(spark, monkeypatch, seed, size, parts, piece, most):
+    monkeypatch.setattr(katz, "_MOST_FREQUENT", most)
     monkeypatch.setattr(katz, "_BUCKET_BYTES", size)
     monkeypatch.setattr(katz, "_SLICE_BYTES", piece)
     rows = corpus(seed)
@@ -92,6 +111,27 @@ def test_scores_follow_the_definition(spark, monkeypatch, seed, size, parts, pie
     for h in ["<s>", b"w0", b"w149", b"never", next(iter(direct.after))]:
         total = sum(direct.pair(h, w) for w in direct.words) + direct.pair(h, "unknown")
         assert total == pytest.approx(1, abs=1e-12)
+    for h2, h in [("<s>", "<s>"), ("<s>", b"w0"), (b"w0", b"w1"), ("never", b"w0"), next(iter(direct.after_two))]:
+        total = sum(direct.triple(h2, h, w) for w in direct.words) + direct.triple(h2, h, "unknown")
+        assert total == pytest.approx(1, abs=1e-12)
+
+
+def test_a_frequent_word_is_spread(spark, monkeypatch):
+    """A word that is a third of all tokens, and the ends of texts, go to many ranges, and are counted as one."""
+    monkeypatch.setattr(katz, "_BUCKET_BYTES", 1000)
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["hot", f"w{rnd.randrange(40)}", f"w{rnd.randrange(400)}"]) for _ in range(40)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    picked = docs.select("doc_id", F.lit(False).alias("held"), F.col("text").cast("binary").alias("text"))
+    frequent = katz.frequent_words(picked, 9)
+    word = katz.hash_words(*katz.text_buffers(pa.array([b"hot"])), lower=True)[0]
+    assert word[0] in frequent.words and katz.END in frequent.words
+    neighbours = katz.mix(np.arange(500, dtype=np.uint64))
+    assert len(set(katz.bucket_of(frequent.dealt(np.repeat(word, 500), neighbours), 9).tolist())) == 9
+    direct = Direct([t for i, t in enumerate(texts) if not held(i)])
+    assert frequent.texts == 60
+    for r in katz.score_texts(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2).collect():
+        assert r.score == pytest.approx(direct.score(texts[r.doc_id]), abs=1e-9)
 
 
 def test_held_out_texts_score_better_than_the_base(spark):
