@@ -34,8 +34,8 @@ from marketframe.llm.words import hash_words, mix, row_slices, text_buffers
 from marketframe.session import scratch_path
 
 LARGEST = 5
-_SLICE_BYTES = 10_000_000
-_BUCKET_BYTES = 14_000_000
+_SLICE_BYTES = 7_000_000
+_BUCKET_BYTES = 6_000_000
 #: Words counted beforehand at most: a word outside them has a smaller share of all tokens than one in this many.
 _MOST_FREQUENT = 4096
 _KEY_BYTES = 6
