@@ -159,3 +159,44 @@ def test_discounts_are_good_turing_or_one():
     common = 6 * 5 / 100
     assert d[0] == pytest.approx((2 * 40 / 100 - common) / (1 - common))
     assert (katz.discounts([0] * 6) == 1).all() and (katz.discounts([5, 0, 0, 9, 9, 9]) == 1).all()
+
+
+def test_tables_between_the_steps_stay_small(spark, monkeypatch, tmp_path):
+    """Nearly every triple is another one; many ranges must not add a row of sums for each text and range."""
+    monkeypatch.setattr(katz, "_BUCKET_BYTES", 40_000)
+    monkeypatch.setattr(katz, "scratch_path", lambda spark, label: str(tmp_path / label))
+    rnd = random.Random(3)
+    weight = [1 / (i + 1) for i in range(3000)]
+    texts = [" ".join(f"w{i}" for i in rnd.choices(range(3000), weight, k=300)) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    assert katz.score_texts(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2).count() == 400
+    size = 0
+    for file in tmp_path.rglob("*.parquet"):
+        for column in pq.ParquetFile(file).read().columns:
+            if pa.types.is_binary(column.type):
+                size += sum(len(x) for x in column.to_pylist() if x)
+    assert size < 15 * 400 * 301
+
+
+def test_texts_that_come_otherwise_in_the_second_pass(spark, monkeypatch):
+    monkeypatch.setattr(katz, "_BUCKET_BYTES", 1000)
+    rows = corpus(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    flag = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    expected = {r.doc_id: r for r in katz.score_texts(docs, flag).collect()}
+    monkeypatch.setattr(katz, "_digest", lambda *_: os.urandom(16))
+    found = {r.doc_id: r for r in katz.score_texts(docs, flag).collect()}
+    assert found.keys() == expected.keys()
+    for i, r in found.items():
+        assert r[:5] == expected[i][:5]
+        assert r[5:] == pytest.approx(expected[i][5:], abs=1e-9)
+
+
+def test_words_and_keys_keep_their_value():
+    words = katz.mix(np.arange(1, 500, dtype=np.uint64))
+    frequent = katz.Frequent({int(words[0]): 3}, 2, words[:100].tolist())
+    assert (frequent.unpack_words(frequent.pack_words(words, frequent.codes(words))) == words).all()
+    keys = words & katz._KEY_MASK
+    assert (frequent.unpack_words(frequent.pack_words(keys, frequent.key_codes(keys), 6), 6) == keys).all()
+    for values in (np.zeros(0, np.int64), np.arange(70000), np.full(1000, 3), np.array([1 << 40])):
+        assert (katz.unpress(katz.press(values)) == values).all()
